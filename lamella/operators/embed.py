@@ -18,13 +18,14 @@ MAX_SHIPPED_CLASSES = 10_000
 
 
 def encode(tiles: DataFrame, make_encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], model: str,
-           batch_size: int = 64, pixels: str = "pixels") -> DataFrame:
+           width: int, batch_size: int = 64, pixels: str = "pixels") -> DataFrame:
     """Add ``features`` by running an encoder over batches of tiles.
 
     ``make_encoder`` is called once per Python worker and returns a function from
-    a [batch, values] array to a [batch, dims] array.
+    a [batch, width] array to a [batch, dims] array.
     """
-    run = predict_batch_udf(make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    run = predict_batch_udf(make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size,
+                            input_tensor_shapes=[[width]])
     return tiles.withColumn("features", run(F.col(pixels))).withColumn("model", F.lit(model))
 
 

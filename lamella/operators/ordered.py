@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lamella.session import stable
 
-_CHUNK, _GROUP = "_chunk", "_group"
+_CHUNK, _GROUP = "__chunk", "__group"
 
 
 def _named(order: Sequence[str | Column]) -> list[Column]:

@@ -71,16 +71,16 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
     Training, search and scoring run in Spark ML; the driver holds the grid only.
     """
     spark = rows.sparkSession
-    data = rows.select(F.col(group).alias("_group"), F.col(label).cast("double").alias("label"),
+    data = rows.select(F.col(group).alias("_unit"), F.col(label).cast("double").alias("label"),
                        array_to_vector(F.col(features)).alias("vector")).persist()
-    per_group = data.groupBy("_group").agg(F.mode("label", True).alias("label"))
+    per_group = data.groupBy("_unit").agg(F.mode("label", True).alias("label"))
     parts, grid_rows, coefficients, best = [], [], [], {}
     try:
         for seed in range(random_state, random_state + seeds):
-            chosen = splits.select(F.col(group).alias("_group"), "split") if splits is not None else stratified_split(
-                per_group, _seeded(F.col("_group"), seed), test_size, val_size, tie="_group").select("_group", "split")
-            fold = F.pmod(F.xxhash64("_group", F.lit(seed)), F.lit(folds)).cast("int")
-            split = data.join(chosen, "_group").withColumn("fold", fold).persist()
+            chosen = splits.select(F.col(group).alias("_unit"), "split") if splits is not None else stratified_split(
+                per_group, _seeded(F.col("_unit"), seed), test_size, val_size, tie="_unit").select("_unit", "split")
+            fold = F.pmod(F.xxhash64("_unit", F.lit(seed)), F.lit(folds)).cast("int")
+            split = data.join(chosen, "_unit").withColumn("fold", fold).persist()
             train = split.where(F.col("split") == "train")
             n = max(train.count(), 1)
             scale = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True, withStd=True)
@@ -104,7 +104,7 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
             best.setdefault("l1_ratio", grid_rows[-len(grid) + top][2])
             best.setdefault("best_cv_auc", grid_rows[-len(grid) + top][3])
             parts.append(fitted.transform(split.where(F.col("split") != "train")).select(
-                F.lit(seed).alias("seed"), "split", "_group", "label", "prediction",
+                F.lit(seed).alias("seed"), "split", "_unit", "label", "prediction",
                 vector_to_array("probability").alias("probabilities")))
         predictions = parts[0]
         for part in parts[1:]:

@@ -242,7 +242,7 @@ def state_export(t: Tables) -> DataFrame:
 
 _BATCH_SQL = """
 batches AS (
-  SELECT strftime(o_orderdate, '%Y%m%dT%H%M%S') || '_' || lpad(to_hex(o_orderkey), 8, '0') AS batch_id,
+  SELECT strftime(o_orderdate, '%Y%m%dT%H%M%S') || '_' || lpad(lower(to_hex(o_orderkey)), 8, '0') AS batch_id,
          CASE o_orderstatus WHEN 'P' THEN 'RUNNING' WHEN 'F' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
          CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS pid, o_orderpriority <> '4-NOT SPECIFIED' AS alive,
          o_totalprice > 30000 AS resumable, o_orderkey, o_orderdate, o_totalprice FROM orders)
@@ -313,7 +313,7 @@ def recent_batches(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH {_BATCH_SQL}
-SELECT CASE o_orderkey % 3 WHEN 0 THEN 'dispatcher_r' || lpad(to_hex(o_orderkey), 8, '0') WHEN 1 THEN lpad(to_hex(o_orderkey), 8, '0')
+SELECT CASE o_orderkey % 3 WHEN 0 THEN 'dispatcher_r' || lpad(lower(to_hex(o_orderkey)), 8, '0') WHEN 1 THEN lpad(lower(to_hex(o_orderkey)), 8, '0')
             ELSE 'dispatcher_' || batch_id END AS run_name, batch_id FROM batches""")
 def runs_with_batches(t: Tables) -> DataFrame:
     """Run names of three forms matched to their batches."""
@@ -418,8 +418,8 @@ def undispatched(t: Tables) -> DataFrame:
 
 _JOBS_SQL = """
 jobs AS (
-  SELECT event_id, event_type, user_id, value, CAST(value * 100 AS BIGINT) AS seconds,
-         CASE WHEN user_id % 7 = 0 THEN NULL ELSE '20240101T000000_' || lpad(to_hex(user_id), 8, '0') END AS batch_id,
+  SELECT event_id, event_type, user_id, value, CAST(floor(value * 100) AS BIGINT) AS seconds,
+         CASE WHEN user_id % 7 = 0 THEN NULL ELSE '20240101T000000_' || lpad(lower(to_hex(user_id)), 8, '0') END AS batch_id,
          CASE WHEN event_type IN ('click', 'view') THEN 'RUNNING' WHEN event_type = 'signup' THEN 'PENDING' ELSE 'COMPLETING' END AS state FROM events)
 """
 
@@ -458,8 +458,8 @@ def pending_reasons(t: Tables) -> DataFrame:
 @query(f"""
 WITH {_JOBS_SQL},
 per AS (SELECT batch_id, count(*) FILTER (state = 'RUNNING') AS jobs_running, count(*) FILTER (state = 'PENDING') AS jobs_pending FROM jobs GROUP BY 1)
-SELECT '20240101T000000_' || lpad(to_hex(c_custkey), 8, '0') AS batch_id, jobs_running, jobs_pending
-FROM customer LEFT JOIN per ON per.batch_id = '20240101T000000_' || lpad(to_hex(c_custkey), 8, '0')""")
+SELECT '20240101T000000_' || lpad(lower(to_hex(c_custkey)), 8, '0') AS batch_id, jobs_running, jobs_pending
+FROM customer LEFT JOIN per ON per.batch_id = '20240101T000000_' || lpad(lower(to_hex(c_custkey)), 8, '0')""")
 def batches_with_jobs(t: Tables) -> DataFrame:
     known = t.customer.select(F.concat(F.lit("20240101T000000_"), F.lpad(F.lower(F.hex("c_custkey")), 8, "0")).alias("batch_id"))
     return progress.batches_with_jobs(known, _jobs(t)).select("batch_id", "jobs_running", "jobs_pending")
@@ -468,7 +468,7 @@ def batches_with_jobs(t: Tables) -> DataFrame:
 _HISTORY_SQL = """
 history AS (
   SELECT CASE event_type WHEN 'view' THEN 'COMPLETED' WHEN 'click' THEN 'FAILED' WHEN 'error' THEN 'CANCELLED by 0' WHEN 'signup' THEN 'TIMEOUT' ELSE 'COMPLETED' END AS state,
-         CAST(value * 100 AS BIGINT) AS seconds, CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k FROM events)
+         CAST(floor(value * 100) AS BIGINT) AS seconds, CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k FROM events)
 """
 
 

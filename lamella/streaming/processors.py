@@ -38,7 +38,7 @@ class Readiness(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "length long, modified double, since double, emitted boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         seen = pd.concat(list(rows)).sort_values("observed_at", kind="stable")
         state = self.last.get() if self.last.exists() else None
         times, modified = _seconds(seen["observed_at"]), _seconds(seen["modified"])
@@ -92,7 +92,7 @@ class BatchTrigger(StatefulProcessor):
         self.queue = handle.getListState("queue", "slide_id string, at double")
         self.head = handle.getValueState("head", "batch_no long, first_at double")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows)).sort_values(["arrived_at", "slide_id"], kind="stable")
         arrived["at"] = _seconds(arrived["arrived_at"])
         pending = [tuple(r) for r in self.queue.get()] if self.queue.exists() else []
@@ -104,17 +104,17 @@ class BatchTrigger(StatefulProcessor):
                 first_at = at
             pending += [(s, float(at)) for s in group["slide_id"]]
             batch_no, first_at = self._drain(key, pending, batch_no, first_at, at, out, by_time=False)
-        self._keep(pending, batch_no, first_at, timer_values)
+        self._keep(pending, batch_no, first_at, timerValues)
         if out:
             yield pd.DataFrame(out, columns=["queue", "batch_no", "slide_id"])
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         pending = [tuple(r) for r in self.queue.get()] if self.queue.exists() else []
         batch_no, first_at = self._head()
         out: list = []
-        now = timer_values.getCurrentProcessingTimeInMs() / 1000
+        now = timerValues.getCurrentProcessingTimeInMs() / 1000
         batch_no, first_at = self._drain(key, pending, batch_no, first_at, now, out, by_time=True)
-        self._keep(pending, batch_no, first_at, timer_values)
+        self._keep(pending, batch_no, first_at, timerValues)
         if out:
             yield pd.DataFrame(out, columns=["queue", "batch_no", "slide_id"])
 
@@ -132,7 +132,7 @@ class BatchTrigger(StatefulProcessor):
             batch_no += 1
         return batch_no, first_at
 
-    def _keep(self, pending, batch_no, first_at, timer_values) -> None:
+    def _keep(self, pending, batch_no, first_at, timerValues) -> None:
         self.head.update((batch_no, float(first_at)))
         if pending:
             self.queue.put(pending)
@@ -143,7 +143,7 @@ class BatchTrigger(StatefulProcessor):
                 self.handle.deleteTimer(expiry)
             if pending:
                 due = int((first_at + self.max_wait_s) * 1000)
-                self.handle.registerTimer(max(due, timer_values.getCurrentProcessingTimeInMs() + 1))
+                self.handle.registerTimer(max(due, timerValues.getCurrentProcessingTimeInMs() + 1))
 
     def close(self) -> None:
         pass
@@ -171,7 +171,7 @@ class Watchdog(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", "at_ms long, finished boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         beats = pd.concat(list(rows))
         at_ms = int(_seconds(beats["at"]).max() * 1000)
         finished = bool(beats["finished"].any())
@@ -185,7 +185,7 @@ class Watchdog(StatefulProcessor):
             self.handle.registerTimer(at_ms + self.limit_ms)
         return iter([])
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at_ms, _ = self.last.get()
         yield pd.DataFrame({"batch_id": [str(key[0])], "last_at": [pd.Timestamp(int(at_ms), unit="ms")]})
 
@@ -209,7 +209,7 @@ class GroupCompletion(StatefulProcessor):
         self.items = handle.getListState("items", "slide_id string")
         self.done = handle.getValueState("done", "emitted boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows))
         if self.done.exists():
             return
