@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from lamella.operators import metrics
 from lamella.operators.embed import pool
 from lamella.operators.ordered import with_row_number
 from lamella.operators.tiles import HASH_CHUNKS, HASH_RANGE
+from lamella.session import stable
 
 # Default search space and seeds of the probes.
 C_VALUES = (0.00001, 0.0001, 0.001, 0.01, 0.1, 1.0, 10.0)
@@ -60,6 +63,24 @@ def _seeded(key: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(HASH_RANGE))
 
 
+def cross_validate(estimator: Pipeline, grid: Sequence[dict], judge, train: DataFrame, folds: int,
+                   parallelism: int = 8) -> list[float]:
+    """Mean validation metric per grid point; ``train`` has a ``fold`` column.
+
+    Folds are plain filters on the cached rows, so no row passes through Python,
+    and fits of different folds and grid points overlap.
+    """
+    def score(task: tuple[int, dict]) -> float:
+        fold, params = task
+        model = estimator.fit(train.where(F.col("fold") != fold), params)
+        return judge.evaluate(model.transform(train.where(F.col("fold") == fold)))
+
+    tasks = [(fold, params) for params in grid for fold in range(folds)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        scores = pool.map(inheritable_thread_target(train.sparkSession)(score), tasks)
+    return [sum(scores[i * folds:(i + 1) * folds]) / folds for i in range(len(grid))]
+
+
 def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id", features: str = "features",
                  splits: DataFrame | None = None, c_values: Sequence[float] = C_VALUES,
                  penalties: Sequence[str] = ("l2",), folds: int = 5, seeds: int = 5, replicates: int = 1000,
@@ -75,12 +96,14 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
                        array_to_vector(F.col(features)).alias("vector")).persist()
     per_group = data.groupBy("_unit").agg(F.mode("label", True).alias("label"))
     parts, grid_rows, coefficients, best = [], [], [], {}
+    cached = [data]
     try:
         for seed in range(random_state, random_state + seeds):
             chosen = splits.select(F.col(group).alias("_unit"), "split") if splits is not None else stratified_split(
                 per_group, _seeded(F.col("_unit"), seed), test_size, val_size, tie="_unit").select("_unit", "split")
             fold = F.pmod(F.xxhash64("_unit", F.lit(seed)), F.lit(folds)).cast("int")
             split = data.join(chosen, "_unit").withColumn("fold", fold).persist()
+            cached.append(split)
             train = split.where(F.col("split") == "train")
             n = max(train.count(), 1)
             scale = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True, withStd=True)
@@ -91,14 +114,14 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
                     .addGrid(regression.elasticNetParam, [ELASTIC_NET[p] for p in penalties]).build())
             judge = (MulticlassClassificationEvaluator(metricName="f1") if multiclass
                      else BinaryClassificationEvaluator(metricName="areaUnderROC"))
-            search = CrossValidator(estimator=Pipeline(stages=[scale, regression]), estimatorParamMaps=grid,
-                                    evaluator=judge, numFolds=folds, foldCol="fold", parallelism=4)
-            fitted = search.fit(train)
-            top = max(range(len(grid)), key=lambda i: fitted.avgMetrics[i])
+            pipeline = Pipeline(stages=[scale, regression])
+            found = cross_validate(pipeline, grid, judge, train, folds)
+            top = max(range(len(grid)), key=lambda i: found[i])
+            fitted = pipeline.fit(train, grid[top])
             for i, params in enumerate(grid):
                 grid_rows.append((seed, 1.0 / (params[regression.regParam] * n),
-                                  float(params[regression.elasticNetParam]), float(fitted.avgMetrics[i])))
-            weights = fitted.bestModel.stages[-1].coefficientMatrix.toArray()
+                                  float(params[regression.elasticNetParam]), float(found[i])))
+            weights = fitted.stages[-1].coefficientMatrix.toArray()
             coefficients += [(seed, k, j, float(w)) for k, row in enumerate(weights) for j, w in enumerate(row)]
             best.setdefault("C", grid_rows[-len(grid) + top][1])
             best.setdefault("l1_ratio", grid_rows[-len(grid) + top][2])
@@ -109,7 +132,7 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
         predictions = parts[0]
         for part in parts[1:]:
             predictions = predictions.unionByName(part)
-        predictions = predictions.withColumn("score", F.col("probabilities")[1]).persist()
+        predictions = stable(predictions.withColumn("score", F.col("probabilities")[1]))
         by = ["seed", "split"]
         if multiclass:
             scored = predictions.withColumn("scores", F.map_from_arrays(
@@ -133,7 +156,8 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
         importance = spark.createDataFrame(coefficients, "seed int, class int, dim int, weight double")
         return ProbeResult(values, summary, intervals, predictions, report, cv, importance, best)
     finally:
-        data.unpersist()
+        for frame in cached:
+            frame.unpersist()
 
 
 def bag_probe(tiles: DataFrame, labels: DataFrame, how: str = "mean", **options) -> ProbeResult:
