@@ -38,9 +38,9 @@ def sql_file_source(spark: SparkSession, path: str | None = None, query: str | N
     return sql_source(spark, query.strip().rstrip(";"), args)
 
 
-def feature_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Tile feature rows; unreadable files are skipped."""
-    return spark.read.option("ignoreCorruptFiles", True).parquet(path)
+def feature_scan(spark: SparkSession, path: str, schema: str = schemas.FEATURES) -> DataFrame:
+    """Tile feature rows; unreadable files are skipped. The schema is given, so none of them is asked for it."""
+    return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path)
 
 
 def explode_matrix(rows: DataFrame, features: str = "features") -> DataFrame:
