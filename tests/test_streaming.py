@@ -72,7 +72,7 @@ def test_rotation_minimum_and_kept_first_arrival(spark, tmp_path):
 
 
 def test_watchdog(spark, tmp_path):
-    beats = [("quiet", 0, False), ("alive", 0, False), ("done", 0, False), ("done", 10, True), ("alive", 7000, False), ("late", 9000, False), ("alive", 14000, False), ("tick", 20000, False)]
+    beats = [("quiet", 100, False), ("alive", 100, False), ("done", 100, False), ("done", 110, True), ("alive", 7000, False), ("late", 9000, False), ("alive", 14000, False), ("tick", 20000, False)]
     df = stamped(spark, beats, "batch_id:string at:bigint finished:boolean")
     frames = [df.where(F.col("at").cast("long").between(lo, hi)) for lo, hi in ((0, 5000), (5001, 10000), (10001, 15000), (15001, 30000))]
     stuck = jobs.drain(processors.stuck_batches(feed(spark, str(tmp_path), frames), 7200), "w")
