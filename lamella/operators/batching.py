@@ -82,3 +82,14 @@ def size_or_time_batches(arrivals: DataFrame, arrived_at: str, unique_id: str, s
         "_at", F.unix_micros(F.col(arrived_at).cast("timestamp")) / F.lit(1e6))
     out = greedy_segments(timed, by, [arrived_at, unique_id], "_one", size, "_at", max_wait_s, name=name)
     return out.select(*arrivals.columns, name)
+
+
+def transpose(batches: DataFrame, lists: Sequence[str]) -> DataFrame:
+    """Rows of parallel list columns: the i-th entries of all lists make one row."""
+    rest = [c for c in batches.columns if c not in lists]
+    return batches.select(*rest, F.explode(F.arrays_zip(*lists)).alias("_z")).select(*rest, "_z.*")
+
+
+def attach_metadata(outputs: DataFrame, meta: DataFrame) -> DataFrame:
+    """Outputs matched to their slides by id; outputs of unknown slides are dropped."""
+    return outputs.join(meta, "slide_id")

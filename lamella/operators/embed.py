@@ -6,13 +6,17 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyarrow import dataset
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamella.functions import rules
+from lamella.session import open_path, scratch_dir
+
 # Class tables up to this many vectors travel with the tasks; larger ones are joined.
 MAX_SHIPPED_CLASSES = 10_000
 
@@ -67,25 +71,18 @@ def class_prototypes(features: DataFrame, label: str = "class") -> DataFrame:
     return pooled.select(F.col(label).alias("class"), F.col("mean_features").alias("embedding"))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    def dot(u: Column, v: Column) -> Column:
-        products = F.zip_with(u, v, lambda x, y: x.cast("double") * y.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-    return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
-
-
 def zero_shot(tiles: DataFrame, classes: DataFrame, code: str | None = None, temperature: float = 1.0) -> DataFrame:
     """Best class per tile by cosine similarity: adds ``class``, ``similarity`` and softmax ``score``.
 
     ``classes``: class, embedding and, when ``code`` names a tile column, that
     column too: a tile then competes over the classes of its code only. A class
     table of checked size goes to the tasks as one matrix. A larger one is
-    grouped per code and joined.
+    written once to the shared folder, and tasks read it block by block.
     """
     columns = [code] if code else []
     head = classes.select(*columns, "class", "embedding").limit(MAX_SHIPPED_CLASSES + 1).collect()
     if len(head) > MAX_SHIPPED_CLASSES:
-        return _zero_shot_joined(tiles, classes, code, temperature)
+        return _zero_shot_from_folder(tiles, classes, code, temperature)
     kind = classes.schema["class"].dataType.simpleString()
     tables: dict = {}
     for row in sorted(head, key=lambda r: r["class"]):
@@ -116,17 +113,47 @@ def zero_shot(tiles: DataFrame, classes: DataFrame, code: str | None = None, tem
     return picked.select(*tiles.columns, "_best.*")
 
 
-def _zero_shot_joined(tiles: DataFrame, classes: DataFrame, code: str | None, temperature: float) -> DataFrame:
-    key = F.col(code) if code else F.lit(0)
-    lists = classes.groupBy(key.alias("_code")).agg(F.collect_list(F.struct("class", "embedding")).alias("_classes"))
-    joined = tiles.withColumn("_code", key).join(lists, "_code", "left")
-    scored = joined.withColumn("_all", F.transform("_classes", lambda c: F.struct(
-        cosine(F.col("features"), c["embedding"]).alias("similarity"), c["class"].alias("class"))))
-    best = F.array_max(F.col("_all.similarity"))
-    winners = F.filter(F.col("_all"), lambda c: c["similarity"] == best)
-    total = F.aggregate(F.col("_all"), F.lit(0.0), lambda a, c: a + F.exp((c["similarity"] - best) / temperature))
-    return scored.select(*tiles.columns, F.array_min(F.transform(winners, lambda c: c["class"])).alias("class"),
-                         best.alias("similarity"), (F.lit(1.0) / total).alias("score"))
+def _zero_shot_from_folder(tiles: DataFrame, classes: DataFrame, code: str | None, temperature: float,
+                           block: int = 4096) -> DataFrame:
+    """``zero_shot`` against a written class table; memory is one batch of tiles and one block of classes."""
+    folder = scratch_dir(tiles.sparkSession, "classes")
+    key = F.col(code).cast("string") if code else F.lit("")
+    classes.select(key.alias("code"), "class", "embedding").write.parquet(folder)
+    kind = classes.schema["class"].dataType.simpleString()
+    columns = tiles.columns
+
+    def best(batches):
+        filesystem, path = open_path(folder)
+        for batch in batches:
+            x = np.stack(batch["features"].to_list()).astype(np.float64)
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            mine = batch[code].astype("string").fillna("").to_numpy() if code else np.full(len(x), "")
+            top, weight, name = np.full(len(x), -np.inf), np.zeros(len(x)), np.full(len(x), None, dtype=object)
+            for part in dataset.dataset(path, filesystem=filesystem, format="parquet").to_batches(batch_size=block):
+                if part.num_rows == 0:
+                    continue
+                names = np.array(part.column("class").to_pylist(), dtype=object)
+                order = np.argsort(names)
+                m = np.array(part.column("embedding").to_pylist(), dtype=np.float64)[order]
+                m /= np.linalg.norm(m, axis=1, keepdims=True)
+                similarity = x @ m.T
+                codes = np.array(part.column("code").to_pylist(), dtype=object)[order]
+                similarity[mine[:, None] != codes[None, :]] = -np.inf
+                at = similarity.argmax(1)
+                found, rival = similarity[np.arange(len(x)), at], names[order][at]
+                ahead = (found > top) | ((found == top) & np.isfinite(found) & np.array([n is None or r < n for r, n in zip(rival, name)]))
+                base = np.maximum(top, found)
+                shift = np.where(np.isfinite(base), base, 0.0)
+                weight = weight * np.exp((top - shift) / temperature) + np.exp((similarity - shift[:, None]) / temperature).sum(1)
+                name, top = np.where(ahead, rival, name), base
+            known = np.isfinite(top)
+            out = batch[columns].copy()
+            out["class"], out["similarity"] = name, np.where(known, top, np.nan)
+            out["score"] = np.where(known, 1 / np.where(weight > 0, weight, 1), np.nan)
+            yield out
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields)
+    return tiles.mapInPandas(best, f"{fields}, class {kind}, similarity double, score double")
 
 
 def slide_classes(slides: DataFrame, class_map: DataFrame, default: Sequence[str]) -> DataFrame:
@@ -138,9 +165,8 @@ def slide_classes(slides: DataFrame, class_map: DataFrame, default: Sequence[str
 
 
 def tile_index(annotated: DataFrame, classes: Sequence) -> DataFrame:
-    """Per slide the sorted tile numbers of the wanted classes. Lists hold numbers, never pixels."""
-    return (annotated.where(F.col("class").isin(*classes)).groupBy("slide_id")
-            .agg(F.sort_array(F.collect_list("tile_idx")).alias("tile_idxs")))
+    """(slide_id, tile_idx) of the tiles of the wanted classes, the index of a tile cache."""
+    return annotated.where(F.col("class").isin(*classes)).select("slide_id", "tile_idx")
 
 
 def precision_variants(features: DataFrame, precisions: Sequence[str]) -> DataFrame:
@@ -156,6 +182,10 @@ def precision_variants(features: DataFrame, precisions: Sequence[str]) -> DataFr
     return out
 
 
-def probe_inputs(features: DataFrame, slide_encoders: Sequence[str]) -> DataFrame:
-    """Features a tile probe can use: slide encoders have no tile rows and are left out."""
-    return features.where(~F.col("model").isin(*slide_encoders))
+def probe_inputs(features: DataFrame, patch_features: DataFrame) -> DataFrame:
+    """Tile features for a probe: slide encoders go, the tiles of their patch encoders come in, once each."""
+    encoders = F.col("model").isin(*rules.SLIDE_TO_PATCH)
+    wanted = (features.where(encoders).select(rules.patch_encoder(F.col("model")).alias("model")).distinct())
+    own = features.where(~encoders)
+    needed = patch_features.join(wanted, "model", "left_semi").join(own.select("model").distinct(), "model", "left_anti")
+    return own.unionByName(needed)

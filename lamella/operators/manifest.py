@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,12 +62,11 @@ def done_counts(manifest: DataFrame, models: Sequence[str], inventory_total: Col
     ``done_min`` is the smallest per-model count (0 for a model without entries),
     ``done_all`` counts slides that have them all. Both are capped at the total.
     """
-    pairs = manifest.where(F.col("model").isin(*models)).select("slide_id", "model").distinct()
-    per_slide = pairs.groupBy("slide_id").agg(
-        F.count("*").alias("_n"), *[F.count_if(F.col("model") == m).alias(f"_has_{i}") for i, m in enumerate(models)])
+    flags = [F.max((F.col("model") == m).cast("int")).alias(f"_has_{i}") for i, m in enumerate(models)]
+    per_slide = manifest.where(F.col("model").isin(*models)).groupBy("slide_id").agg(*flags)
     totals = [F.coalesce(F.sum(f"_has_{i}"), F.lit(0)) for i in range(len(models))]
     smallest = F.least(*totals) if len(totals) > 1 else totals[0]
-    every = F.count_if(F.col("_n") == len(models))
+    every = F.count_if(reduce(and_, [F.col(f"_has_{i}") == 1 for i in range(len(models))]))
     if inventory_total is not None:
         smallest, every = F.least(smallest, inventory_total), F.least(every, inventory_total)
     return per_slide.agg(smallest.alias("done_min"), every.alias("done_all"))
@@ -84,11 +85,24 @@ def manifest_gap(state: DataFrame, manifest: DataFrame, models: Sequence[str]) -
 
 
 def complete_groups(rows: DataFrame, key: str, item: str, expected: str, remainder: bool = False) -> DataFrame:
-    """Items listed per key, with ``complete`` telling whether the expected number has arrived.
+    """Items of the keys whose expected number has arrived; with ``remainder`` all items, flagged.
 
-    Groups are samples of slides: lists hold identifiers, never payloads.
+    Items stay rows: a group is counted, never gathered, so its size does not matter.
     """
-    grouped = rows.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"),
-                                    F.max(expected).alias("expected"))
-    marked = grouped.withColumn("complete", F.size("items") == F.col("expected"))
-    return marked if remainder else marked.where("complete")
+    counts = rows.groupBy(key).agg((F.count_distinct(item) >= F.max(expected)).alias("complete"))
+    marked = rows.select(key, item).distinct().join(counts, key)
+    return marked if remainder else marked.where("complete").drop("complete")
+
+
+def grid_attributes(meta: DataFrame, workflow_id: str, paths: Sequence[str] = ()) -> DataFrame:
+    """Attributes of tile grids as key/value rows; a missing pixel size reads 'unknown', a missing path is left out."""
+    known = {c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in ("native_mpp", "mpp_is_fallback")}
+    cells = [F.struct(F.lit(c).alias("key"), value.alias("value")) for c, value in known.items()]
+    cells += [F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in paths]
+    rows = meta.select("slide_id", F.lit(workflow_id).alias("workflow_id"), F.explode(F.array(*cells)).alias("_c"))
+    return rows.select("slide_id", "workflow_id", "_c.*").where(F.col("value").isNotNull())
+
+
+def intermediate_models(results: DataFrame, destinations: Sequence[str]) -> DataFrame:
+    """Models with result files that are no shard destination, with their number of files. Nothing is deleted."""
+    return (results.where(~F.col("model").isin(*destinations)).groupBy("model").agg(F.count("*").alias("n_files")))

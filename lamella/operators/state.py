@@ -275,3 +275,19 @@ def manifest_paths(batches: DataFrame) -> DataFrame:
 def all_slides(state: DataFrame) -> DataFrame:
     return state.select("slide_path", "slide_id", "oncotree_code", "status", "error_msg",
                         "first_seen_at", "completed_at")
+
+
+def by_path(state: DataFrame, slide_path: str) -> DataFrame:
+    return state.where(F.col("slide_path") == slide_path)
+
+
+def by_slide(state: DataFrame, slide_id: str) -> DataFrame:
+    return state.where(F.col("slide_id") == slide_id)
+
+
+def by_batch(batches: DataFrame, batch_id: str) -> DataFrame:
+    return batches.where(F.col("batch_id") == batch_id)
+
+
+def download_paths(state: DataFrame, batch_id: str) -> DataFrame:
+    return by_batch(state, batch_id).where(F.col("download_path").isNotNull()).select("download_path")

@@ -19,25 +19,30 @@ def fan_out(df: DataFrame, models: Sequence[str], name: str = "model") -> DataFr
     return df.withColumn(name, F.explode(F.array(*[F.lit(m) for m in models])))
 
 
+def _by_model(rows: DataFrame, models: Sequence[str], value: str, name: str) -> DataFrame:
+    """One row per slide with an array holding the value of each model, in list order."""
+    cells = [F.max(F.when(F.col("model") == m, F.col(value))) for m in models]
+    return rows.where(F.col("model").isin(*models)).groupBy("slide_id").agg(F.array(*cells).alias(name))
+
+
 def build_status(inventory: DataFrame, models: Sequence[str], results: DataFrame, shards: DataFrame,
                  failures: DataFrame, mpp: DataFrame, now: Column) -> DataFrame:
     """Status rows from the inventory and four lookups.
 
     ``results``: slide_id, model, path; ``shards``: slide_id, model, wds_path;
     ``failures``: slide_id, reason; ``mpp``: slide_id, native_mpp, mpp_is_fallback.
-    Lookups keep one row per key; the slide-level ones are joined before the
-    rows are multiplied by model.
+    Every lookup is first reduced to one row per slide, so all joins share one
+    partitioning by slide. Rows are multiplied by model only after the last join.
     """
-    results = results.groupBy("slide_id", "model").agg(F.max("path").alias("_path"))
-    shards = shards.groupBy("slide_id", "model").agg(F.max("wds_path").alias("_shard"))
-    failures = failures.groupBy("slide_id").agg(F.max("reason").alias("_failure"))
-    mpp = mpp.select("slide_id", "native_mpp", "mpp_is_fallback")
+    models = list(models)
     slides = inventory.withColumn("slide_id", text.slide_id_from_filename(F.col("file_name")))
-    per_slide = slides.join(failures, "slide_id", "left").join(mpp, "slide_id", "left")
-    per_model = (fan_out(per_slide, models)
-                 .join(results, ["slide_id", "model"], "left")
-                 .join(shards, ["slide_id", "model"], "left"))
-    status, path, reason = rules.status_rule(F.col("_path"), F.col("_shard"), F.col("_failure"))
+    joined = (slides
+              .join(_by_model(results, models, "path", "_paths"), "slide_id", "left")
+              .join(_by_model(shards, models, "wds_path", "_shards"), "slide_id", "left")
+              .join(failures.groupBy("slide_id").agg(F.max("reason").alias("_failure")), "slide_id", "left")
+              .join(mpp.select("slide_id", "native_mpp", "mpp_is_fallback"), "slide_id", "left"))
+    per_model = joined.select("*", F.posexplode(F.array(*[F.lit(m) for m in models])).alias("_i", "model"))
+    status, path, reason = rules.status_rule(F.get("_paths", F.col("_i")), F.get("_shards", F.col("_i")), F.col("_failure"))
     return (per_model
             .withColumns({"status": status, "wds_path": path, "failure_reason": reason, "last_updated": now,
                           "tiling_mpp": numeric.tiling_mpp(F.col("native_mpp"), F.col("mpp_is_fallback"))})

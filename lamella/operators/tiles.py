@@ -98,11 +98,17 @@ def remove_artifacts(tiles: DataFrame, excluded: Sequence[int], max_loss: float
     return tiles.join(shares, "slide_id").where(kept | fallback).select(*tiles.columns)
 
 
-def annotate(classed: DataFrame, mapping: Mapping[int, int] | None = None) -> DataFrame:
-    """Drop raw background (0), then remap; unmapped classes go when a mapping is given."""
+def annotate(classed: DataFrame, mapping: Mapping[int, int] | DataFrame | None = None) -> DataFrame:
+    """Drop raw background (0), then remap; unmapped classes go when a mapping is given.
+
+    The mapping is a dict or a frame (raw, mapped) as ``class_mapping_scan`` reads it.
+    """
     rows = classed.where(F.col("class") != 0)
     if mapping is None:
         return rows.withColumn("annotation", F.col("class"))
+    if isinstance(mapping, DataFrame):
+        pairs = mapping.select(F.col("raw").alias("class"), F.col("mapped").alias("annotation"))
+        return rows.join(pairs, "class").select(*rows.columns, "annotation")
     table = F.create_map(*[F.lit(v) for pair in mapping.items() for v in pair])
     return rows.withColumn("annotation", table[F.col("class")]).where(F.col("annotation").isNotNull())
 

@@ -493,14 +493,14 @@ def slide_class_lists(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH groups AS (SELECT o_custkey, count(*) AS n, string_agg(CAST(o_orderkey AS VARCHAR), '|' ORDER BY o_orderkey) AS items FROM orders GROUP BY 1),
-expected AS (SELECT c_custkey, 8 + c_nationkey % 6 AS n FROM customer)
-SELECT o_custkey AS sample_id, items FROM groups JOIN expected ON c_custkey = o_custkey WHERE groups.n = expected.n""")
+WITH groups AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
+SELECT o_custkey AS sample_id, o_orderkey FROM orders JOIN groups USING (o_custkey) JOIN customer ON c_custkey = o_custkey
+WHERE groups.n >= 8 + c_nationkey % 6""")
 def complete_groups(t: Tables) -> DataFrame:
-    """Samples whose expected number of slides has arrived, with the list of them."""
+    """Slides of the samples whose expected number has arrived."""
     expected = t.customer.select(F.col("c_custkey").alias("o_custkey"), (F.lit(8) + F.col("c_nationkey") % 6).alias("n"))
     rows = t.orders.join(expected, "o_custkey").select(F.col("o_custkey").alias("sample_id"), "o_orderkey", "n")
-    return manifest.complete_groups(rows, "sample_id", "o_orderkey", "n").select("sample_id", F.array_join("items", "|").alias("items"))
+    return manifest.complete_groups(rows, "sample_id", "o_orderkey", "n")
 
 
 @query("""
@@ -554,3 +554,30 @@ def encoder_settings(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", encoder.alias("encoder"),
                              rules.resolve_precision(encoder, {"optimus": "float16"}).alias("precision"),
                              rules.resolve_batch_size(encoder, {"GigaPath": 32}).alias("batch_size"))
+
+
+@query("""
+SELECT 'S' || s_suppkey AS slide_id, 'w' AS workflow_id, unnest(['native_mpp', 'mpp_is_fallback']) AS key,
+       unnest([CASE WHEN s_nationkey < 5 THEN 'unknown' WHEN s_nationkey < 15 THEN '0.25' ELSE '0.5' END, CASE WHEN s_nationkey < 5 THEN 'unknown' ELSE 'false' END]) AS value FROM supplier
+UNION ALL SELECT 'S' || s_suppkey, 'w', 'tiles_h5_path', 'tiles/' || s_name FROM supplier WHERE s_acctbal > 0""")
+def grid_attributes(t: Tables) -> DataFrame:
+    known = F.col("s_nationkey") >= 5
+    meta = t.supplier.select(F.concat(F.lit("S"), "s_suppkey").alias("slide_id"),
+                             F.when(known, F.when(F.col("s_nationkey") < 15, 0.25).otherwise(0.5)).alias("native_mpp"),
+                             F.when(known, False).alias("mpp_is_fallback"),
+                             F.when(F.col("s_acctbal") > 0, F.concat(F.lit("tiles/"), "s_name")).alias("tiles_h5_path"))
+    return manifest.grid_attributes(meta, "w", ["tiles_h5_path"])
+
+
+@query("SELECT lang AS model, count(*) AS n_files FROM documents WHERE lang NOT IN ('en', 'fr') GROUP BY 1")
+def intermediate_models(t: Tables) -> DataFrame:
+    return manifest.intermediate_models(t.documents.select(F.col("lang").alias("model")), ["en", "fr"])
+
+
+@query("""
+SELECT l_orderkey, l_partkey AS slide_id, l_suppkey AS output, p_name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size <= 40""")
+def transposed_outputs(t: Tables) -> DataFrame:
+    """List columns of a batch turned into rows and matched to their slides by id, unmatched ones dropped."""
+    lists = t.lineitem.select("l_orderkey", F.array("l_partkey").alias("slide_id"), F.array("l_suppkey").alias("output"))
+    meta = t.part.where("p_size <= 40").select(F.col("p_partkey").alias("slide_id"), "p_name")
+    return batching.attach_metadata(batching.transpose(lists, ["slide_id", "output"]), meta).select("l_orderkey", "slide_id", "output", "p_name")

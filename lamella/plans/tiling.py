@@ -215,13 +215,11 @@ def zero_shot_label(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH {_ZERO_SHOT_SQL}
-SELECT label AS slide_id, string_agg(CAST(vec_id AS VARCHAR), '|' ORDER BY vec_id) AS tile_idxs
-FROM best JOIN embeddings USING (vec_id) WHERE class IN (1, 3, 5) GROUP BY 1""")
+SELECT label AS slide_id, vec_id AS tile_idx FROM best JOIN embeddings USING (vec_id) WHERE class IN (1, 3, 5)""")
 def tile_class_index(t: Tables) -> DataFrame:
     """Per slide the numbers of its tiles of the wanted classes."""
     rows = t.embeddings.select(F.col("vec_id").alias("tile_idx"), F.col("label").alias("slide_id"), F.col("embedding").alias("features"))
-    index = embed.tile_index(embed.zero_shot(rows, _prototypes(t)), [1, 3, 5])
-    return index.select("slide_id", F.array_join("tile_idxs", "|").alias("tile_idxs"))
+    return embed.tile_index(embed.zero_shot(rows, _prototypes(t)), [1, 3, 5])
 
 
 _WEIGHTS = np.array([[((i * 31 + j * 17) % 7 - 3) / 7 for j in range(4)] for i in range(64)])

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import posixpath
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -77,3 +79,10 @@ def ship_package(spark: SparkSession) -> None:
             archive.write(source, source.relative_to(root.parent))
     context.addPyFile(str(target))
     context._lamella_shipped = True
+
+
+def open_path(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and inner path of a URI, also of the short form ``file:/…`` that Spark lists."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
+    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else posixpath.abspath(path))

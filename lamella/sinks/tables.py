@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lamella.operators import merge, quality
+from lamella.session import stable
 from lamella.sources import shards
 
 
@@ -40,21 +41,32 @@ def versioned_sink(df: DataFrame, folder: str, version: int) -> str:
     return path
 
 
-def shard_sink(features: DataFrame, assigned: DataFrame, path: str, coords: bool = True) -> None:
+# Assignments up to this many slides (a few hundred MB) are sent to every executor.
+MAX_BROADCAST_SLIDES = 2_000_000
+
+
+def shard_sink(features: DataFrame, assigned: DataFrame, path: str, coords: bool = True, tasks: int | None = None) -> None:
     """Write tile rows as tar shards.
 
     ``assigned``: model, group, slide_id, shard_file. Packing was done on this
     metadata; the payload joins it here, is gathered by shard and ordered by
-    slide and tile within.
+    slide and tile within. The metadata is counted first: that gives one task per
+    shard, and a join without shuffle while the assignment is small enough, so
+    that the payload moves once.
     """
     shards.register(features.sparkSession)
-    rows = features.join(assigned.select("model", "group", "slide_id", "shard_file"), ["model", "slide_id"])
-    for name, kind in (("x", "bigint"), ("y", "bigint")):
-        if name not in rows.columns:
-            rows = rows.withColumn(name, F.lit(None).cast(kind))
     keys = ["model", "group", "shard_file"]
-    (rows.select("model", "group", "shard_file", "slide_id", "tile_idx", "features", "x", "y", "precision")
-     .repartition(*keys).sortWithinPartitions(*keys, "slide_id", "tile_idx")
+    placed = stable(assigned.select(*keys, "slide_id"))
+    size = placed.agg(F.count("*").alias("slides"), F.count_distinct(*keys).alias("shards")).first()
+    if size.slides == 0:
+        return
+    lookup = F.broadcast(placed) if size.slides <= MAX_BROADCAST_SLIDES else placed
+    rows = features.join(lookup, ["model", "slide_id"])
+    for name in ("x", "y"):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("bigint"))
+    (rows.select(*keys, "slide_id", "tile_idx", "features", "x", "y", "precision")
+     .repartition(tasks or size.shards, *keys).sortWithinPartitions(*keys, "slide_id", "tile_idx")
      .write.format("tarshards").option("coords", str(coords).lower()).mode("append").save(path))
 
 

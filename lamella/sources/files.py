@@ -89,3 +89,10 @@ def intake_candidates(listing: DataFrame, in_progress: DataFrame | None = None,
     if in_progress is not None:
         rows = rows.join(in_progress.select(F.col("key").alias("path")).distinct(), "path", "left_anti")
     return rows.withColumn("slide_id", text.stem(F.col("path")))
+
+
+def shard_listing(spark: SparkSession, dest: str) -> DataFrame:
+    """(model, path, length) of everything below a shard destination; the model is the first folder."""
+    listing = object_listing(spark, dest)
+    return listing.where(F.col("key").contains("/")).select(
+        F.substring_index("key", "/", 1).alias("model"), F.col("key").alias("path"), "length")

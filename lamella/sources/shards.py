@@ -3,9 +3,7 @@
 A shard is a tar of ``{slide_id}.features.npy`` and ``{slide_id}.coords.npy``.
 Reading makes one partition per shard and streams its members, so memory is
 bounded by one slide. Writing expects each shard's rows in one task, ordered by
-slide and tile (see ``sinks.shard_sink``). Tasks write to a staging folder, and
-the commit moves finished shards into place, so a retried or failed task leaves
-nothing behind.
+slide and tile (see ``sinks.shard_sink``).
 """
 
 from __future__ import annotations
@@ -24,14 +22,12 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     WriterCommitMessage)
 
 from lamella.functions.precision import bfloat16_bits, bfloat16_values
+from lamella.session import open_path
 
 SCHEMA = ("model string, group string, shard_file string, slide_id string, tile_idx int,"
           " features array<float>, x bigint, y bigint, precision string")
 FEATURES, COORDS = ".features.npy", ".coords.npy"
-
-
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else posixpath.abspath(path))
+OBJECT_STORES = ("s3", "gcs", "abfs")
 
 
 def encode_features(values: np.ndarray, precision: str) -> np.ndarray:
@@ -79,7 +75,7 @@ class ShardReader(DataSourceReader):
         self.columns = schema.fieldNames()
 
     def partitions(self) -> list[ShardFile]:
-        filesystem, base = _open(self.root)
+        filesystem, base = open_path(self.root)
         found = filesystem.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
         shards = []
         for entry in sorted(f.path for f in found if f.type == pafs.FileType.File and f.path.endswith(".tar")):
@@ -89,7 +85,7 @@ class ShardReader(DataSourceReader):
         return shards
 
     def read(self, partition: ShardFile) -> Iterator[pa.RecordBatch]:
-        filesystem, _ = _open(self.root)
+        filesystem, _ = open_path(self.root)
         with filesystem.open_input_stream(partition.path) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
             slide, features, coords = None, None, None
             for member in tar:
@@ -128,29 +124,42 @@ class ShardReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
+    """(written path, final path) of the shards of one task."""
+
     files: list = field(default_factory=list)
 
 
 class ShardWriter(DataSourceArrowWriter):
+    """Tasks do the writing and the size check; the commit only renames, where renames are cheap.
+
+    In an object store a file appears whole or not at all, and a move would copy
+    it, so tasks write to the final name there. Elsewhere they write to a staging
+    folder.
+    """
+
     def __init__(self, root: str, coords: bool) -> None:
         self.root = root.rstrip("/")
         self.coords = coords
         self.staging = f"_staging_{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        filesystem, base = _open(self.root)
-        message, shard, tar, stream, staged = Written(), None, None, None, None
+        filesystem, base = open_path(self.root)
+        direct = filesystem.type_name in OBJECT_STORES
+        message, shard, tar, stream, target = Written(), None, None, None, None
         done: set = set()
 
         def close() -> None:
             nonlocal tar
-            if tar is not None:
-                tar.close()
-                stream.close()
-                size = filesystem.get_file_info(staged).size
-                message.files.append(("/".join(shard), staged, size))
-                done.add(shard)
-                tar = None
+            if tar is None:
+                return
+            tar.close()
+            written = stream.tell()
+            stream.close()
+            if filesystem.get_file_info(target).size != written:
+                raise IOError(f"{target} has another size than was written")
+            message.files.append((target, f"{base}/{'/'.join(shard)}"))
+            done.add(shard)
+            tar = None
 
         for key, slide, precision, matrix, coords in self._slides(iterator):
             if key != shard:
@@ -158,9 +167,9 @@ class ShardWriter(DataSourceArrowWriter):
                 if key in done:
                     raise ValueError(f"rows of shard {'/'.join(key)} are not together; use shard_sink")
                 shard = key
-                staged = f"{base}/{self.staging}/{uuid.uuid4().hex}.tar"
-                filesystem.create_dir(posixpath.dirname(staged), recursive=True)
-                stream = filesystem.open_output_stream(staged)
+                target = f"{base}/{'/'.join(key)}" if direct else f"{base}/{self.staging}/{uuid.uuid4().hex}.tar"
+                filesystem.create_dir(posixpath.dirname(target), recursive=True)
+                stream = filesystem.open_output_stream(target)
                 tar = tarfile.open(fileobj=stream, mode="w|")
             tar.addfile(*_member(slide + FEATURES, _npy(encode_features(matrix, precision))))
             if coords is not None:
@@ -202,18 +211,21 @@ class ShardWriter(DataSourceArrowWriter):
             yield finish()
 
     def commit(self, messages: list[Written]) -> None:
-        filesystem, base = _open(self.root)
-        for message in filter(None, messages):
-            for name, staged, size in message.files:
-                target = f"{base}/{name}"
-                filesystem.create_dir(posixpath.dirname(target), recursive=True)
-                filesystem.move(staged, target)
-                if filesystem.get_file_info(target).size != size:
-                    raise IOError(f"{target} has another size than was written")
+        filesystem, base = open_path(self.root)
+        moves = [pair for message in filter(None, messages) for pair in message.files if pair[0] != pair[1]]
+        for folder in sorted({posixpath.dirname(final) for _, final in moves}):
+            filesystem.create_dir(folder, recursive=True)
+        for written, final in moves:
+            filesystem.move(written, final)
         self._drop_staging(filesystem, base)
 
     def abort(self, messages: list[Written]) -> None:
-        self._drop_staging(*_open(self.root))
+        filesystem, base = open_path(self.root)
+        for message in filter(None, messages):
+            for written, _ in message.files:
+                if filesystem.get_file_info(written).type == pafs.FileType.File:
+                    filesystem.delete_file(written)
+        self._drop_staging(filesystem, base)
 
     def _drop_staging(self, filesystem: pafs.FileSystem, base: str) -> None:
         folder = f"{base}/{self.staging}"
@@ -258,9 +270,7 @@ def shard_members(spark, path: str):
         import pandas as pd
         for batch in batches:
             for shard in batch["path"]:
-                filesystem, inner = pafs.FileSystem.from_uri(shard.replace("file:/", "file:///", 1)
-                                                             if shard.startswith("file:/") and not shard.startswith("file:///")
-                                                             else shard)
+                filesystem, inner = open_path(shard)
                 with filesystem.open_input_stream(inner) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
                     names = [m.name for m in tar] or [None]
                 yield pd.DataFrame({"shard": shard, "member": pd.Series(names, dtype=object)})

@@ -94,8 +94,9 @@ def parse_manifest_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     Lines have four cells, or five in the older form whose second is dropped.
     """
     quoted = r'^"(.*)"$'
-    cells = F.transform(F.split("value", _COMMA), lambda c: F.when(
+    unquoted = F.transform(F.split("value", _COMMA), lambda c: F.when(
         c.rlike(quoted), F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"'))).otherwise(c))
+    cells = F.when(F.col("value").contains('"'), unquoted).otherwise(F.split("value", ","))
     rest = [c for c in lines.columns if c != "value"]
     split = lines.where(F.trim("value") != "").select("value", *rest, cells.alias("cells"))
     arity = F.size("cells")

@@ -94,16 +94,22 @@ class BatchTrigger(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows)).sort_values(["arrived_at", "slide_id"], kind="stable")
-        arrived["at"] = _seconds(arrived["arrived_at"])
+        times = _seconds(arrived["arrived_at"]).to_list()
+        slides = arrived["slide_id"].to_list()
         pending = [tuple(r) for r in self.queue.get()] if self.queue.exists() else []
         batch_no, first_at = self._head()
         out: list = []
-        for at, group in arrived.groupby("at", sort=True):
+        start = 0
+        while start < len(times):
+            at, stop = times[start], start
+            while stop < len(times) and times[stop] == at:
+                stop += 1
             batch_no, first_at = self._drain(key, pending, batch_no, first_at, at, out, by_time=True)
             if not pending:
                 first_at = at
-            pending += [(s, float(at)) for s in group["slide_id"]]
+            pending += [(s, at) for s in slides[start:stop]]
             batch_no, first_at = self._drain(key, pending, batch_no, first_at, at, out, by_time=False)
+            start = stop
         self._keep(pending, batch_no, first_at, timerValues)
         if out:
             yield pd.DataFrame(out, columns=["queue", "batch_no", "slide_id"])
@@ -203,24 +209,34 @@ def stuck_batches(heartbeats: DataFrame, limit_s: float, late: str = "1 minute")
 # Group completion -----------------------------------------------------------
 
 class GroupCompletion(StatefulProcessor):
-    """Emits a sample as soon as its expected number of slides has arrived; state keeps ids only."""
+    """Emits a sample as soon as its expected number of slides has arrived.
+
+    The state is a set of ids that grows entry by entry and a count; nothing is
+    rewritten per micro-batch, and the ids go when the sample is complete.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.items = handle.getListState("items", "slide_id string")
-        self.done = handle.getValueState("done", "emitted boolean")
+        self.seen = handle.getMapState("seen", "slide_id string", "present boolean")
+        self.count = handle.getValueState("count", "n int, emitted boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows))
-        if self.done.exists():
-            return
-        have = {r[0] for r in self.items.get()} if self.items.exists() else set()
-        have |= set(arrived["slide_id"].astype(str))
-        if len(have) < int(arrived["n_slides"].max()):
-            self.items.put([(s,) for s in sorted(have)])
+        n, emitted = self.count.get() if self.count.exists() else (0, False)
+        expected = 0
+        for part in rows:
+            if emitted:
+                continue
+            expected = max(expected, int(part["n_slides"].max()))
+            for slide in part["slide_id"].astype(str).unique():
+                if not self.seen.containsKey((slide,)):
+                    self.seen.updateValue((slide,), (True,))
+                    n += 1
+        if emitted:
             return
-        self.items.clear()
-        self.done.update((True,))
-        yield pd.DataFrame({"sample_id": [str(key[0])], "n_slides": [len(have)]})
+        complete = n >= expected
+        self.count.update((n, complete))
+        if complete:
+            self.seen.clear()
+            yield pd.DataFrame({"sample_id": [str(key[0])], "n_slides": [n]})
 
     def close(self) -> None:
         pass

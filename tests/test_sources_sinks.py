@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lamella.operators import embed, manifest, quality, sharding
+from lamella.operators import batching, embed, manifest, progress, quality, sharding
 from lamella.sinks import tables
 from lamella.sources import documents, files, sheets, shards
 from tests.conftest import rows
@@ -243,3 +243,15 @@ def test_quality(spark):
         quality.require_columns(expected, ["key"], exact=True)
     good, bad = quality.split_errors(spark.createDataFrame([(1, None), (2, "x")], "v int, error string"))
     assert rows(good) == [(1,)] and rows(bad) == [(2, "x")]
+
+
+def test_shard_listing_and_attributes(spark, tmp_path):
+    for name in ("m1/all/000000.tar", "m1/all/000001.tar", "m1/wds_index.json", "m2/g/000000.tar"):
+        write(tmp_path / name, "x")
+    counts = progress.shard_counts(files.shard_listing(spark, str(tmp_path)))
+    assert rows(counts) == [("m1", 3, 2), ("m2", 1, 1)]
+    meta = spark.createDataFrame([("a", 0.25, True, "t/a"), ("b", None, None, None)], "slide_id string, native_mpp double, mpp_is_fallback boolean, tiles string")
+    assert rows(manifest.grid_attributes(meta, "w", ["tiles"]), "slide_id", "key", "value") == [
+        ("a", "mpp_is_fallback", "true"), ("a", "native_mpp", "0.25"), ("a", "tiles", "t/a"), ("b", "mpp_is_fallback", "unknown"), ("b", "native_mpp", "unknown")]
+    lists = spark.createDataFrame([("b1", ["a", "b"], [1, 2])], "batch string, slide_id array<string>, out array<int>")
+    assert rows(batching.transpose(lists, ["slide_id", "out"])) == [("b1", "a", 1), ("b1", "b", 2)]

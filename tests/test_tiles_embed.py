@@ -177,5 +177,16 @@ def test_encode_classify_and_variants(vectors):
     assert sorted(r[0] for r in variants.select("model").distinct().collect()) == ["uni", "uni_bfloat16", "uni_float16"]
     assert variants.count() == 270
     index = embed.tile_index(vectors.select(F.col("code").alias("slide_id"), "tile_idx", F.col("label").alias("class")), [1])
-    assert rows(index, "slide_id")[0] == ("c0",) and index.first().tile_idxs == sorted(index.first().tile_idxs)
-    assert embed.probe_inputs(variants, ["uni_float16"]).count() == 180
+    assert rows(index.select("tile_idx")) == sorted(((i,) for i in range(90) if i % 3 == 1), key=repr)
+
+
+def test_probe_inputs_replace_slide_encoders(spark):
+    features = spark.createDataFrame([("titan_slide", 1), ("uni", 2)], "model string, v int")
+    patches = spark.createDataFrame([("conch1_5", 3), ("gigapath", 4), ("uni", 5)], "model string, v int")
+    assert rows(embed.probe_inputs(features, patches)) == [("conch1_5", 3), ("uni", 2)]
+
+
+def test_mapping_frame(spark):
+    df = spark.createDataFrame([(0,), (1,), (4,), (9,)], "class int")
+    pairs = spark.createDataFrame([(0, 5), (1, 1), (4, 0)], "raw int, mapped int")
+    assert rows(tiles.annotate(df, pairs), "class", "annotation") == [(1, 1), (4, 0)]
