@@ -55,6 +55,20 @@ def cast_precision(features: Column, target: str) -> Column:
     return rounded(features)
 
 
+def cast_to(features: Column, target: Column) -> Column:
+    """As ``cast_precision`` with the target per row."""
+
+    @F.pandas_udf("array<float>")
+    def rounded(batch: pd.Series, wanted: pd.Series) -> pd.Series:
+        out = batch.copy()
+        for precision, at in wanted.groupby(wanted).groups.items():
+            if precision in ("float16", "bfloat16"):
+                out.loc[at] = _by_row(batch.loc[at], lambda flat, p=precision: round_to(flat, p))
+        return out
+
+    return rounded(features, target)
+
+
 def bfloat16_encode(features: Column) -> Column:
     """Raw bfloat16 bits as whole numbers (0..65535)."""
 

@@ -39,7 +39,7 @@ def with_sample_sizes(rows: DataFrame, key: str = "sample_id", name: str = "n_sl
     An aggregate joined back instead of a window: counts combine before the
     shuffle, and the join of a hot sample can be split or broadcast.
     """
-    return rows.join(rows.groupBy(key).agg(F.count("*").alias(name)), key)
+    return rows.join(rows.groupBy(key).agg(F.count("*").alias(name)), key, "left")
 
 
 def multi_slide(rows: DataFrame) -> DataFrame:

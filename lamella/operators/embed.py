@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamella.functions import rules
+from lamella.functions.precision import cast_to
 from lamella.session import open_path, scratch_dir
 
 # Class tables up to this many vectors travel with the tasks; larger ones are joined.
@@ -26,10 +27,12 @@ def encode(tiles: DataFrame, make_encoder: Callable[[], Callable[[np.ndarray], n
     """Add ``features`` by running an encoder over batches of tiles.
 
     ``make_encoder`` is called once per Python worker and returns a function from
-    a [batch, width] array to a [batch, dims] array.
+    a [batch, width] array to a [batch, dims] array. The call is marked as not
+    deterministic, so that no optimizer rule may copy the inference into a second
+    place (an exploded result would otherwise be computed twice).
     """
     run = predict_batch_udf(make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size,
-                            input_tensor_shapes=[[width]])
+                            input_tensor_shapes=[[width]]).asNondeterministic()
     return tiles.withColumn("features", run(F.col(pixels))).withColumn("model", F.lit(model))
 
 
@@ -170,16 +173,19 @@ def tile_index(annotated: DataFrame, classes: Sequence) -> DataFrame:
 
 
 def precision_variants(features: DataFrame, precisions: Sequence[str]) -> DataFrame:
-    """Base rows plus one copy per other precision, its model name suffixed and its values rounded."""
-    from lamella.functions.precision import cast_precision
-
-    out = features
-    for target in precisions:
-        source = features.where(F.col("precision") != target)
-        out = out.unionByName(source.withColumns({
-            "features": cast_precision(F.col("features"), target), "precision": F.lit(target),
-            "model": F.concat(F.col("model"), F.lit(f"_{target}"))}))
-    return out
+    """Base rows plus one copy per other precision, its model name suffixed and its values rounded.
+
+    Copies are made by exploding the targets, so the features are read once.
+    """
+    base = F.col("precision")
+    targets = F.array(F.lit(None).cast("string"), *[F.when(base != t, t) for t in precisions])
+    variants = F.array_append(F.array_compact(targets), F.lit(None).cast("string"))
+    rows = features.withColumn("_target", F.explode(variants))
+    changed = F.col("_target").isNotNull()
+    return rows.withColumns({
+        "features": cast_to(F.col("features"), F.col("_target")),
+        "model": F.when(changed, F.concat_ws("_", "model", "_target")).otherwise(F.col("model")),
+        "precision": F.coalesce("_target", "precision")}).drop("_target")
 
 
 def probe_inputs(features: DataFrame, patch_features: DataFrame) -> DataFrame:

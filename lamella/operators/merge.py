@@ -79,5 +79,6 @@ def create_like(source: DataFrame, table: str) -> None:
 
 def audit_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source and target row counts as one row."""
-    return (source.agg(F.count("*").alias("source_rows")).withColumn("_k", F.lit(1))
-            .join(target.agg(F.count("*").alias("target_rows")).withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = source.select(one.alias("s"), zero.alias("t")).unionAll(target.select(zero.alias("s"), one.alias("t")))
+    return both.agg(F.coalesce(F.sum("s"), zero).alias("source_rows"), F.coalesce(F.sum("t"), zero).alias("target_rows"))

@@ -24,15 +24,11 @@ def score_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
 
 
-def _totals(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    return counts.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-
-
-def _with_totals(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    totals = _totals(counts, by)
+def _with_totals(points: DataFrame, counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Points with the positives and negatives of their group; without groups these are scalar subqueries."""
     if by:
-        return counts.join(totals, list(by))
-    return counts.withColumn("_k", F.lit(1)).join(totals.withColumn("_k", F.lit(1)), "_k").drop("_k")
+        return points.join(counts.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N")), list(by))
+    return points.withColumns({"_P": counts.agg(F.sum("pos")).scalar(), "_N": counts.agg(F.sum("neg")).scalar()})
 
 
 def roc_auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -58,7 +54,7 @@ def average_precision(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def curves(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """ROC and precision-recall points per threshold."""
-    points = _with_totals(_from_top(scored, by), by)
+    points = _with_totals(_from_top(scored, by), score_counts(scored, by), by)
     return points.select(
         *by, F.col("score").alias("threshold"),
         (F.col("fp") / F.nullif(F.col("_N"), F.lit(0))).alias("fpr"),

@@ -58,7 +58,7 @@ def with_running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str |
     inside = Window.partitionBy(_GROUP, _CHUNK).orderBy(*_named(order)).rowsBetween(Window.unboundedPreceding, -1)
     local = parts.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_in_{n}")
                                 for n, v in values.items()])
-    joined = local.join(offsets, [_GROUP, _CHUNK])
+    joined = local.join(offsets, [_GROUP, _CHUNK], "left")
     return joined.select(*df.columns, *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(n) for n in values])
 
 
@@ -199,7 +199,7 @@ def greedy_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], weig
         return out
 
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    located = slim.join(starts.withColumnRenamed(_GROUP + "_key", "_key"), ["_key", _CHUNK])
+    located = slim.join(starts.withColumnRenamed(_GROUP + "_key", "_key"), ["_key", _CHUNK], "left")
     numbered = located.groupBy("_key", _CHUNK).applyInPandas(
         number, ", ".join(f"`{c}` {fields[c]}" for c in ordered) + f", _key string, {name} bigint")
-    return keyed.join(numbered, ["_key", *ordered]).select(*df.columns, name)
+    return keyed.join(numbered, ["_key", *ordered], "left").select(*df.columns, name)

@@ -41,7 +41,7 @@ def stratified_split(slides: DataFrame, order: Column, test_size: float = 0.2, v
     n_test = F.round(F.col("_n") * test_size)
     n_val = F.round(F.col("_n") * val_size)
     split = F.when(F.col("_rank") <= n_test, "test").when(F.col("_rank") <= n_test + n_val, "val").otherwise("train")
-    return ranked.join(sizes, label).withColumn("split", split).select(*slides.columns, "split")
+    return ranked.join(sizes, label, "left").withColumn("split", split).select(*slides.columns, "split")
 
 
 @dataclass

@@ -58,7 +58,7 @@ def assign_by_count(slides: DataFrame, by: Sequence[str], order: Sequence[str],
     sizes = sizes.select(*by, start.alias("_start"),
                          F.greatest(F.lit(NAME_WIDTH), F.length(last.cast("string"))).alias("_width"))
     number = (F.col("_start") + F.floor((F.col("_rn") - 1) / cap)).cast("bigint")
-    return (numbered.join(sizes, list(by)).withColumn("shard", number)
+    return (numbered.join(sizes, list(by), "left").withColumn("shard", number)
             .withColumn("shard_file", shard_name(F.col("shard"), F.col("_width"), prefix))
             .select(*slides.columns, "shard", "shard_file"))
 

@@ -45,10 +45,12 @@ def tile_class(tiles: DataFrame, mask: DataFrame, block: int) -> DataFrame:
     """Tiles whose centre lies in a mask rectangle, with its class.
 
     Both sides meet on (slide, block), so even a single huge slide is spread.
+    Size estimates know nothing of exploded rows, and a grid that looks small may
+    be billions of tiles: the merge hint rules out a broadcast on such an estimate.
     """
     centred = tiles.withColumns({"cx": F.col("x") + F.floor(F.col("side") / 2), "cy": F.col("y") + F.floor(F.col("side") / 2)})
     keyed = centred.withColumns({"bx": F.floor(F.col("cx") / block), "by": F.floor(F.col("cy") / block)})
-    joined = keyed.join(_mask_cells(mask, block), ["slide_id", "bx", "by"])
+    joined = keyed.hint("merge").join(_mask_cells(mask, block), ["slide_id", "bx", "by"])
     inside = ((F.col("cx") >= F.col("x0")) & (F.col("cx") < F.col("x1"))
               & (F.col("cy") >= F.col("y0")) & (F.col("cy") < F.col("y1")))
     return joined.where(inside).select(*tiles.columns, "class")
@@ -63,7 +65,7 @@ def class_shares(tiles: DataFrame, mask: DataFrame, block: int) -> DataFrame:
     x_end, y_end = F.col("x") + F.col("side"), F.col("y") + F.col("side")
     cells = (tiles.withColumn("bx", F.explode(F.sequence(F.floor(F.col("x") / block), F.floor((x_end - 1) / block))))
              .withColumn("by", F.explode(F.sequence(F.floor(F.col("y") / block), F.floor((y_end - 1) / block)))))
-    joined = cells.join(_mask_cells(mask, block), ["slide_id", "bx", "by"])
+    joined = cells.hint("merge").join(_mask_cells(mask, block), ["slide_id", "bx", "by"])
 
     def overlap(lo: Column, hi: Column, r0: str, r1: str, b: str) -> Column:
         left = F.greatest(lo, F.col(r0), F.col(b) * block)
@@ -95,7 +97,7 @@ def remove_artifacts(tiles: DataFrame, excluded: Sequence[int], max_loss: float
     kept = F.coalesce(clean, F.lit(True))
     shares = tiles.groupBy("slide_id").agg(F.avg(kept.cast("double")).alias("_kept"))
     fallback = F.col("_kept") < F.lit(1 - max_loss) - 1e-12
-    return tiles.join(shares, "slide_id").where(kept | fallback).select(*tiles.columns)
+    return tiles.join(shares, "slide_id", "left").where(kept | fallback).select(*tiles.columns)
 
 
 def annotate(classed: DataFrame, mapping: Mapping[int, int] | DataFrame | None = None) -> DataFrame:
@@ -126,7 +128,7 @@ def annotated_features(features: DataFrame, tiles: DataFrame, mask: DataFrame, b
                    .groupBy("slide_id", "x", "y").agg(F.sum("share").alias("_share"))
                    .where(F.col("_share") >= min_share))
         classed = classed.join(covered.select("slide_id", "x", "y"), ["slide_id", "x", "y"], "left_semi")
-    return features.join(classed.select("slide_id", "tile_idx", "annotation"), ["slide_id", "tile_idx"])
+    return features.join(classed.select("slide_id", "tile_idx", "annotation").hint("merge"), ["slide_id", "tile_idx"])
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

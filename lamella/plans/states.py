@@ -401,12 +401,9 @@ SELECT n AS completed_in_window, rate AS throughput_per_hour, remaining, CAST(ro
 def throughput_eta(t: Tables) -> DataFrame:
     slides = t.orders.select(F.when(F.col("o_orderstatus") == "F", "SUCCEEDED").when(F.col("o_orderstatus") == "O", "PENDING")
                              .otherwise("DISPATCHED").alias("status"), ts("o_orderdate").alias("completed_at"))
-    counts = progress.undispatched(t.lineitem, t.orders).select("n_undispatched")
-    now = F.lit("2001-06-30").cast("timestamp")
-    figures = progress.throughput(slides, now, 720, F.lit(0)).drop("eta", "eta_seconds").withColumn("_k", F.lit(1))
-    joined = figures.join(counts.withColumn("_k", F.lit(1)), "_k").withColumn("remaining", F.col("remaining") + F.col("n_undispatched"))
-    eta = F.round(F.col("remaining") / F.nullif(F.col("throughput_per_hour"), F.lit(0.0)) * 3600).cast("bigint")
-    return joined.select("completed_in_window", "throughput_per_hour", "remaining", eta.alias("eta_seconds"))
+    more = progress.undispatched(t.lineitem, t.orders).select("n_undispatched").scalar()
+    figures = progress.throughput(slides, F.lit("2001-06-30").cast("timestamp"), 720, more)
+    return figures.select("completed_in_window", "throughput_per_hour", "remaining", "eta_seconds")
 
 
 @query("""
