@@ -9,8 +9,6 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.session import ship_package
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -35,7 +33,6 @@ def query(sql: str | None = None):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            ship_package(spark)
             return fn(Tables(spark, sf_dir))
 
         QUERIES[fn.__name__] = run

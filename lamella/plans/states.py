@@ -64,7 +64,7 @@ def count_by_status(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH {_STATE_SQL},
-wanted AS (SELECT slide_path, 'N' || (o_custkey // 100) AS b FROM slides WHERE o_custkey >= 300),
+wanted AS (SELECT slide_path, 'N' || (o_custkey // 100) AS b FROM slides WHERE fail_count >= 1),
 claimed AS (
   SELECT s.*, w.b FROM slides s LEFT JOIN wanted w USING (slide_path))
 SELECT slide_path, slide_id, CASE WHEN b IS NOT NULL AND status = 'PENDING' THEN 'DISPATCHED' ELSE status END AS status,
@@ -72,7 +72,7 @@ SELECT slide_path, slide_id, CASE WHEN b IS NOT NULL AND status = 'PENDING' THEN
 def claim_slides(t: Tables) -> DataFrame:
     current = _state(t)
     customer = F.substring("slide_id", 2, 20).cast("bigint")
-    wanted = current.where(customer >= 300).select("slide_path", F.concat(F.lit("N"), F.floor(customer / 100)).alias("batch_id"))
+    wanted = current.where("fail_count >= 1").select("slide_path", F.concat(F.lit("N"), F.floor(customer / 100)).alias("batch_id"))
     return state.claim(current, wanted, _now()).select(*_SHOWN)
 
 
@@ -100,14 +100,12 @@ def complete_batches(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH {_STATE_SQL},
-results AS (SELECT slide_path, batch_id, o_orderkey < 7000 AS good FROM slides WHERE o_custkey >= 500 AND batch_id IS NOT NULL)
+results AS (SELECT slide_path, batch_id, fail_count < 3 AS good FROM slides WHERE fail_count <> 1 AND batch_id IS NOT NULL)
 SELECT s.slide_path, slide_id, CASE WHEN good IS NULL THEN status WHEN good THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
        s.batch_id, fail_count, error_msg FROM slides s LEFT JOIN results r ON r.slide_path = s.slide_path AND r.batch_id = s.batch_id""")
 def complete_slides(t: Tables) -> DataFrame:
     current = _state(t)
-    order = F.regexp_extract("slide_path", r"(\d+)$", 1).cast("bigint")
-    results = current.where((F.substring("slide_id", 2, 20).cast("bigint") >= 500) & F.col("batch_id").isNotNull()).select(
-        "slide_path", "batch_id", (order < 7000).alias("ok"))
+    results = current.where("fail_count <> 1 AND batch_id IS NOT NULL").select("slide_path", "batch_id", (F.col("fail_count") < 3).alias("ok"))
     return state.complete_slides(current, results, _now()).select(*_SHOWN)
 
 

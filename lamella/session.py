@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import posixpath
+import sys
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -67,18 +67,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, for sessions started without it on their path."""
-    context = spark.sparkContext
-    if getattr(context, "_lamella_shipped", False):
-        return
-    root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / "lamella.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for source in sorted(root.rglob("*.py")):
-            archive.write(source, source.relative_to(root.parent))
-    context.addPyFile(str(target))
-    context._lamella_shipped = True
+def ship_package() -> None:
+    """Let functions of this package travel to Python workers whole, so that none has to have it installed."""
+    cloudpickle.register_pickle_by_value(sys.modules["lamella"])
 
 
 def open_path(path: str) -> tuple[pafs.FileSystem, str]:
