@@ -34,13 +34,15 @@ def round_to(values: np.ndarray, precision: str) -> np.ndarray:
 
 
 def _by_row(batch: pd.Series, change) -> pd.Series:
-    """Apply ``change`` to all values of the batch at once, then cut the rows apart again."""
-    present = batch.dropna()
-    if present.empty:
-        return pd.Series([None] * len(batch), index=batch.index, dtype=object)
-    lengths = present.map(len).to_numpy()
-    flat = change(np.concatenate(present.to_list()))
-    return pd.Series(np.split(flat, np.cumsum(lengths)[:-1]), index=present.index).reindex(batch.index)
+    """Apply ``change`` to all values of the batch at once, then cut the rows apart again; NULL stays NULL."""
+    out = np.empty(len(batch), dtype=object)
+    at = np.flatnonzero(batch.notna().to_numpy())
+    if len(at):
+        rows = batch.iloc[at].to_list()
+        flat = change(np.concatenate(rows))
+        for i, part in zip(at, np.split(flat, np.cumsum([len(r) for r in rows])[:-1])):
+            out[i] = part
+    return pd.Series(out, index=batch.index)
 
 
 def cast_precision(features: Column, target: str) -> Column:
@@ -60,11 +62,12 @@ def cast_to(features: Column, target: Column) -> Column:
 
     @F.pandas_udf("array<float>")
     def rounded(batch: pd.Series, wanted: pd.Series) -> pd.Series:
-        out = batch.copy()
-        for precision, at in wanted.groupby(wanted).groups.items():
-            if precision in ("float16", "bfloat16"):
-                out.loc[at] = _by_row(batch.loc[at], lambda flat, p=precision: round_to(flat, p))
-        return out
+        out = batch.to_numpy(dtype=object, copy=True)
+        for precision in ("float16", "bfloat16"):
+            at = np.flatnonzero((wanted == precision).to_numpy())
+            if len(at):
+                out[at] = _by_row(batch.iloc[at], lambda flat, p=precision: round_to(flat, p)).to_numpy()
+        return pd.Series(out, index=batch.index)
 
     return rounded(features, target)
 

@@ -184,3 +184,11 @@ def test_precisions_against_numpy(spark):
     ties = np.array([1 + 2**-8, 1 + 3 * 2**-8], np.float32)
     np.testing.assert_array_equal(precision.round_to(ties, "bfloat16"), np.array([1.0, 1 + 2**-6], np.float32))
     assert df.select(precision.cast_precision(F.col("f"), "int8").alias("f")).first().f[0] == pytest.approx(values[0])
+
+
+def test_cast_to_mixed_targets(spark):
+    x = 1 + 2**-9
+    df = spark.createDataFrame([(i, [x, float(i)], t) for i, t in enumerate(["float16", "bfloat16", None, "float32", "float16"])] + [(9, None, "float16")],
+                               "i int, f array<float>, t string").coalesce(1)
+    got = {r.i: r.f for r in df.select("i", precision.cast_to(F.col("f"), F.col("t")).alias("f")).collect()}
+    assert got == {0: [x, 0.0], 1: [1.0, 1.0], 2: [x, 2.0], 3: [x, 3.0], 4: [x, 4.0], 9: None}
