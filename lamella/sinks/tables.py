@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamella.operators import merge, quality
@@ -106,10 +106,13 @@ def audit_sink(spark, path: str, source_file: str, source_rows: int, target_rows
         return False
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Frame whose rows are counted while it is written, without a second pass."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def written_rows(spark, path: str) -> int:
+    """Rows of a written table for the audit, from the Parquet footers alone.
+
+    Not an ``Observation``: once a session has one, models that keep their training
+    summary can no longer be sent to executors.
+    """
+    return spark.read.parquet(path).count()
 
 
 def sync_status_sink(spark, path: str, ok: bool, message: str, rows: int) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lamella import schemas
 from lamella.operators import sharding, state
 from lamella.plans import ORACLES, QUERIES, flows
+from lamella.session import stable
 from lamella.sources import shards
 from tests.conftest import rows
 from tests.test_inventory_status import INVENTORY
@@ -34,9 +35,9 @@ def test_poll_fail_recover_succeed(spark):
     assert view(again.next_state) == view(first.next_state)
     claims = first.next_state.select("slide_path", F.lit("B1").alias("batch_id"))
     flying = state.claim(first.next_state, claims, now)
-    failed = state.complete_batches(flying, spark.createDataFrame([("B1", 1, 600.0)], "batch_id string, exit_code int, duration_s double"), now)
-    queued = state.retry_failed(failed, 3)
-    done = state.complete_batches(state.claim(queued, claims, now), spark.createDataFrame([("B1", 0, 600.0)], "batch_id string, exit_code int, duration_s double"), now)
+    failed = state.complete_batches(stable(flying), spark.createDataFrame([("B1", 1, 600.0)], "batch_id string, exit_code int, duration_s double"), now)
+    queued = stable(state.retry_failed(failed, 3))
+    done = stable(state.complete_batches(state.claim(queued, claims, now), spark.createDataFrame([("B1", 0, 600.0)], "batch_id string, exit_code int, duration_s double"), now))
     assert {v for v in view(done).values()} == {("SUCCEEDED", "B1", 1)}
     settled = poll(spark, done, results=[("S1", "m1", "/r"), ("S2", "m1", "/r")], remote=["f1/S1.a.svs"])
     assert view(settled.next_state) == view(done) and settled.samples.count() == 0
