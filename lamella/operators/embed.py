@@ -19,7 +19,7 @@ from lamella.functions.precision import cast_to
 from lamella.session import open_path, scratch_dir
 
 # Class tables up to this many vectors travel with the tasks; larger ones are joined.
-MAX_SHIPPED_CLASSES = 10_000
+MAX_SHIPPED_CLASSES = 1_000
 
 
 def encode(tiles: DataFrame, make_encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], model: str,

@@ -132,10 +132,10 @@ def test_batch_rows_and_migration(spark, now):
     assert rows(done, "batch_id", "status") == [("b1", "SUCCEEDED"), ("b2", "FAILED")]
     up = state.upsert(b, spark.createDataFrame([("b1", "X"), ("b3", "Y")], "batch_id string, status string"), "batch_id")
     assert rows(up, "batch_id", "status") == [("b1", "X"), ("b2", "FAILED"), ("b3", "Y")]
-    old = spark.createDataFrame([("b", "s")], "batch_id string, nf_session_id string")
-    new = state.migrate(old, {"nf_session_id": "session_id"}, {"pid": F.lit(None).cast("int")})
+    old = spark.createDataFrame([("b", "s")], "batch_id string, old_session_id string")
+    new = state.migrate(old, {"old_session_id": "session_id"}, {"pid": F.lit(None).cast("int")})
     assert new.columns == ["batch_id", "session_id", "pid"]
-    assert state.migrate(new, {"nf_session_id": "session_id"}, {"pid": F.lit(1)}).columns == new.columns
+    assert state.migrate(new, {"old_session_id": "session_id"}, {"pid": F.lit(1)}).columns == new.columns
 
 
 def test_sheet_prefers_real_paths(spark):
