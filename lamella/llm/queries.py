@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.llm import line_rules, pii, simhash
+from lamella.llm import fm_quality, language, line_rules, pii, simhash
+from lamella.llm.common import fold
 from lamella.plans.catalog import Query, Tables
 
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,13 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op4_factorisation_machine(t: Tables) -> DataFrame:
+    machine = fm_quality.fit(t.documents, t.labels, fold("doc_id", 3) != 1)
+    scored = fm_quality.with_score(t.documents.select("doc_id", "text", "n_chars"), machine)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query()
 def op6_pii_anchors(t: Tables) -> DataFrame:
     found = pii.find_spans(t.documents.select("doc_id", "text"))
@@ -37,6 +45,12 @@ def op8_simhash_blocks(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents)
 
 
+@query()
+def op9_ftrl_language(t: Tables) -> DataFrame:
+    model = language.fit(t.documents, fold("doc_id", 4) != 2)
+    return language.identify(t.documents, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS body FROM documents),
 w AS (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS words FROM d),
