@@ -166,5 +166,8 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", floor: int
 
 def clean(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that are kept, all columns, their boilerplate lines removed."""
-    judged = _judged(docs, text, host, FLOOR, SHARE, DEPLETED).filter("kept")
+    # A filter may not pass a column that is not deterministic. Without it the optimizer would move the filter below
+    # the steps of ``with_base`` and repeat them inside each other.
+    judged = _judged(docs, text, host, FLOOR, SHARE, DEPLETED).withColumn("row", F.monotonically_increasing_id())
+    judged = judged.filter(F.col("kept") & (F.col("row") >= 0))
     return judged.select(*[(F.col("rest") if c == text else F.col(f"in_{i}")).alias(c) for i, c in enumerate(docs.columns)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.llm import fm_quality, language, line_rules, pii, simhash
+from lamella.llm import fm_quality, language, line_rules, packing, pii, simhash
 from lamella.llm.common import fold
 from lamella.plans.catalog import Query, Tables
 
@@ -32,6 +32,11 @@ def op4_factorisation_machine(t: Tables) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query()
+def op5_pattern_packing(t: Tables) -> DataFrame:
+    return packing.pack_documents(t.documents)
+
+
 @query()
 def op6_pii_anchors(t: Tables) -> DataFrame:
     found = pii.find_spans(t.documents.select("doc_id", "text"))
