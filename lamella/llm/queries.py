@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.llm import fm_quality, language, line_rules, packing, pii, simhash
+from lamella.llm import chunked_bpe, fm_quality, language, line_rules, orc_tokens, packing, pii, simhash
 from lamella.llm.common import fold
 from lamella.plans.catalog import Query, Tables
+from lamella.session import scratch_dir
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op3_chunked_bpe(t: Tables) -> DataFrame:
+    return chunked_bpe.encode(t.documents).drop("ids")
+
+
 @query()
 def op4_factorisation_machine(t: Tables) -> DataFrame:
     machine = fm_quality.fit(t.documents, t.labels, fold("doc_id", 3) != 1)
@@ -45,6 +51,13 @@ def op6_pii_anchors(t: Tables) -> DataFrame:
                         pii.listed(F.col("spans")).alias("spans"))
 
 
+@query()
+def op7_orc_tokens(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "orc-tokens")
+    orc_tokens.write(t.documents, path)
+    return orc_tokens.located(t.spark, path)
+
+
 @query()
 def op8_simhash_blocks(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents)
