@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.llm import chunked_bpe, fm_quality, language, line_rules, orc_tokens, packing, pii, simhash
+from lamella.llm import chunked_bpe, collision_ann, fm_quality, language, line_rules, orc_tokens, packing, pii, simhash
 from lamella.llm.common import fold
 from lamella.plans.catalog import Query, Tables
 from lamella.session import scratch_dir
@@ -26,6 +26,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_collision_counting(t: Tables) -> DataFrame:
+    return collision_ann.search(t.embeddings, F.col("vec_id") % 20 == 0)
+
+
 @query()
 def op3_chunked_bpe(t: Tables) -> DataFrame:
     return chunked_bpe.encode(t.documents).drop("ids")

@@ -159,7 +159,8 @@ def test_plan_uses_every_length():
                 used[length] += count
         assert used.tolist() == histogram.tolist()
         least = -(-int((histogram * np.arange(capacity)).sum()) // capacity)
-        assert sum(c for _, c in contents) <= least * 1.02 + 2
+        if capacity >= 64:  # with few lengths no packing need come close to the volume
+            assert sum(c for _, c in contents) <= least * 1.02 + 2
 
 
 def test_numbers_of_a_hot_length_are_unique(spark, monkeypatch):
