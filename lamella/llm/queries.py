@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.llm import chunked_bpe, collision_ann, fm_quality, language, line_rules, orc_tokens, packing, pii, simhash
+from lamella.llm import chunked_bpe, collision_ann, fm_quality, language, line_rules, orc_tokens, packing, pii, quote_links, simhash
 from lamella.llm.common import fold
 from lamella.plans.catalog import Query, Tables
 from lamella.session import scratch_dir
@@ -26,6 +26,45 @@ def query(sql: str | None = None):
     return register
 
 
+@query("""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text) - 1 AS id,
+         conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+cut AS (SELECT id, conv_id, string_split(text, chr(10)) AS parts FROM m),
+each AS (SELECT id, conv_id, i AS pos, parts[i] AS line FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM cut)),
+marked AS (SELECT *, regexp_extract(line, '^((?:[ \\t]*>)*)', 1) AS marks FROM each),
+leveled AS (SELECT *, length(marks) - length(replace(marks, '>', '')) AS level FROM marked),
+said AS (SELECT *, CASE WHEN level > 0 THEN substr(line, length(marks) + 1) ELSE line END AS words FROM leveled),
+plained AS (SELECT *, trim(regexp_replace(lower(words), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS plain FROM said),
+announced AS (SELECT *, coalesce(regexp_matches(words, '^[ \\t]*On\\b.*\\bwrote:[ \\t\\r]*$')
+                AND lead(level) OVER (PARTITION BY id ORDER BY pos) > level, false) AS announces,
+              lag(level) OVER (PARTITION BY id ORDER BY pos) AS above FROM plained),
+lines AS (SELECT *, sum(CASE WHEN above IS DISTINCT FROM level OR plain = '' OR announces THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY id ORDER BY pos) AS passage FROM announced),
+used AS (SELECT * FROM lines WHERE plain <> '' AND NOT announces),
+pieces AS (SELECT id, conv_id, level, passage, string_agg(plain, ' ' ORDER BY pos) AS plain FROM used GROUP BY ALL
+           UNION SELECT id, conv_id, level, passage, plain FROM used),
+originals AS (SELECT conv_id, plain, min(id) AS source FROM pieces WHERE level = 0 GROUP BY ALL),
+found AS (SELECT q.*, CASE WHEN o.source < q.id THEN o.source END AS source FROM pieces q LEFT JOIN originals o
+          ON q.plain = o.plain AND q.conv_id IS NOT DISTINCT FROM o.conv_id WHERE level > 0),
+counts AS (SELECT id, count(*) AS n_quoted, count(*) FILTER (n > 0) AS n_linked
+           FROM (SELECT id, passage, count(source) AS n FROM found GROUP BY ALL) GROUP BY id),
+best AS (SELECT id, source FROM (SELECT id, level, source, sum(length(plain)) AS size FROM found WHERE source IS NOT NULL GROUP BY ALL)
+         QUALIFY row_number() OVER (PARTITION BY id ORDER BY level, size DESC, source DESC) = 1),
+tree AS (SELECT m.*, coalesce(source, lag(m.id) OVER (PARTITION BY conv_id ORDER BY m.id)) AS parent FROM m LEFT JOIN best USING (id)),
+walk AS (SELECT id, [id] AS path FROM tree WHERE parent IS NULL
+         UNION ALL SELECT t.id, list_append(w.path, t.id) FROM walk w JOIN tree t ON t.parent = w.id),
+bodies AS (SELECT id, string_agg(line, chr(10) ORDER BY pos) AS body FROM lines WHERE level = 0 AND NOT announces GROUP BY id)
+SELECT t.conv_id, t.turn, t.role, row_number() OVER (PARTITION BY t.conv_id ORDER BY path) - 1 AS position,
+       CAST(len(path) - 1 AS BIGINT) AS depth, p.turn AS reply_to, coalesce(n_quoted, 0) AS n_quoted,
+       coalesce(n_linked, 0) AS n_linked, coalesce(body, '') AS body
+FROM tree t JOIN walk USING (id) LEFT JOIN tree p ON p.id = t.parent LEFT JOIN counts c ON c.id = t.id
+LEFT JOIN bodies b ON b.id = t.id
+""")
+def op1_quote_links(t: Tables) -> DataFrame:
+    return quote_links.conversations(t.conversations)
+
+
 @query()
 def op2_collision_counting(t: Tables) -> DataFrame:
     return collision_ann.search(t.embeddings, F.col("vec_id") % 20 == 0)
