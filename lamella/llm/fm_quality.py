@@ -125,7 +125,7 @@ def fit_machine(buckets: list[np.ndarray], stats: np.ndarray, labels: np.ndarray
                     rng.normal(0, 0.05, (BUCKETS + STATS, FACTORS)).astype(np.float32),
                     stats.mean(axis=0) if len(labels) else np.zeros(STATS, dtype=np.float32),
                     np.maximum(stats.std(axis=0), 1e-3) if len(labels) else np.ones(STATS, dtype=np.float32))
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         model.factors[:] = 0
         model.bias = 0.0 if not len(labels) else (30.0 if share else -30.0)
         return model
