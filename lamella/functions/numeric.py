@@ -61,7 +61,9 @@ def ci_half_widths(mean: Column, lo: Column, hi: Column) -> tuple[Column, Column
 
 
 def portable_hash(*keys: Column, seed: int = 0) -> Column:
-    """A multiplicative hash in [0, 2**32) of whole-number keys that plain SQL can repeat.
+    """A multiplicative hash in [0, 2**32) of whole-number or text keys that plain SQL can repeat.
+
+    A text counts with the first eight hex digits of its MD5, a negative number with its remainder modulo 2**32.
 
     Values stay below 2**32 and the multipliers are small enough that no product
     leaves the range of a BIGINT. One step alone maps consecutive keys to an
@@ -69,6 +71,8 @@ def portable_hash(*keys: Column, seed: int = 0) -> Column:
     """
     h = F.lit(seed % 4294967296).cast("bigint")
     for key in keys:
-        h = ((h + key.cast("bigint") % 4294967296) * 747796405) % 4294967296
+        whole = F.coalesce(key.try_cast("bigint"),
+                           F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint"))
+        h = ((h + F.pmod(whole, F.lit(4294967296))) * 747796405) % 4294967296
         h = ((h + F.floor(h / 65536).cast("bigint")) * 1540483477) % 4294967296
     return h

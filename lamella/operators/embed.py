@@ -18,10 +18,6 @@ from lamella.functions import rules
 from lamella.functions.precision import cast_to
 from lamella.session import open_path, scratch_dir
 
-# Class tables up to this many vectors travel with the tasks; larger ones are joined.
-MAX_SHIPPED_CLASSES = 1_000
-
-
 def encode(tiles: DataFrame, make_encoder: Callable[[], Callable[[np.ndarray], np.ndarray]], model: str,
            width: int, batch_size: int = 64, pixels: str = "pixels") -> DataFrame:
     """Add ``features`` by running an encoder over batches of tiles.
@@ -63,100 +59,86 @@ def pool(tiles: DataFrame, by: Sequence[str], how: Sequence[str] = ("mean", "max
                       F.col("_s.count").alias("n_tiles"))
 
 
-def identity_pool(tiles: DataFrame) -> DataFrame:
-    """Patch encoders have no slide vector: features pass through."""
-    return tiles
-
-
 def class_prototypes(features: DataFrame, label: str = "class") -> DataFrame:
     """Mean vector per class, used as the class embedding."""
     pooled = pool(features, [label], ("mean",))
     return pooled.select(F.col(label).alias("class"), F.col("mean_features").alias("embedding"))
 
 
-def zero_shot(tiles: DataFrame, classes: DataFrame, code: str | None = None, temperature: float = 1.0) -> DataFrame:
+def zero_shot(tiles: DataFrame, classes: DataFrame, code: str | None = None, temperature: float = 1.0,
+              block: int = 4096, rows_at_once: int = 65_536) -> DataFrame:
     """Best class per tile by cosine similarity: adds ``class``, ``similarity`` and softmax ``score``.
 
     ``classes``: class, embedding and, when ``code`` names a tile column, that
-    column too: a tile then competes over the classes of its code only. A class
-    table of checked size goes to the tasks as one matrix. A larger one is
-    written once to the shared folder, and tasks read it block by block.
-    """
-    columns = [code] if code else []
-    head = classes.select(*columns, "class", "embedding").limit(MAX_SHIPPED_CLASSES + 1).collect()
-    if len(head) > MAX_SHIPPED_CLASSES:
-        return _zero_shot_from_folder(tiles, classes, code, temperature)
-    kind = classes.schema["class"].dataType.simpleString()
-    tables: dict = {}
-    for row in sorted(head, key=lambda r: r["class"]):
-        tables.setdefault(row[code] if code else None, []).append(row)
-    matrices = {}
-    for key, rows in tables.items():
-        m = np.array([r["embedding"] for r in rows], dtype=np.float64)
-        matrices[key] = (m / np.linalg.norm(m, axis=1, keepdims=True), [r["class"] for r in rows])
-
-    @F.pandas_udf(f"class {kind}, similarity double, score double")
-    def best(features: pd.Series, key: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"class": pd.Series([None] * len(features), dtype=object), "similarity": np.nan, "score": np.nan})
-        groups = key.groupby(key).indices.items() if code else [(None, np.arange(len(features)))]
-        for value, at in groups:
-            if value not in matrices or len(at) == 0:
-                continue
-            matrix, names = matrices[value]
-            x = np.stack(features.iloc[at].to_list()).astype(np.float64)
-            similarity = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ matrix.T
-            top = similarity.argmax(1)
-            weight = np.exp((similarity - similarity.max(1, keepdims=True)) / temperature)
-            out.loc[at, "class"] = np.array(names, dtype=object)[top]
-            out.loc[at, "similarity"] = similarity[np.arange(len(at)), top]
-            out.loc[at, "score"] = weight[np.arange(len(at)), top] / weight.sum(1)
-        return out
+    column too: a tile then competes over the classes of its code only. The class
+    table is written once to the shared folder and read block by block, once for
+    every ``rows_at_once`` tiles of a task, whatever its size.
 
-    picked = tiles.withColumn("_best", best(F.col("features"), F.col(code) if code else F.lit("")))
-    return picked.select(*tiles.columns, "_best.*")
-
-
-def _zero_shot_from_folder(tiles: DataFrame, classes: DataFrame, code: str | None, temperature: float,
-                           block: int = 4096) -> DataFrame:
-    """``zero_shot`` against a written class table; memory is one batch of tiles and one block of classes."""
+    A tile without a vector, with a zero vector, or whose code is NULL or has no
+    class, gets NULL in all three columns. Classes without a vector or with a zero
+    vector take no part. Ties go to the class that sorts first.
+    """
     folder = scratch_dir(tiles.sparkSession, "classes")
     key = F.col(code).cast("string") if code else F.lit("")
-    classes.select(key.alias("code"), "class", "embedding").write.parquet(folder)
+    usable = key.isNotNull() & F.exists("embedding", lambda v: v != 0)
+    classes.select(key.alias("code"), "class", "embedding").where(usable).write.parquet(folder)
     kind = classes.schema["class"].dataType.simpleString()
     columns = tiles.columns
 
-    def best(batches):
+    def labelled(held: pd.DataFrame) -> pd.DataFrame:
         filesystem, path = open_path(folder)
-        for batch in batches:
-            x = np.stack(batch["features"].to_list()).astype(np.float64)
+        vectors = held["features"]
+        there = np.array([v is not None and len(v) > 0 and np.any(v) for v in vectors])
+        mine = held[code].astype(object) if code else pd.Series("", index=held.index, dtype=object)
+        there &= mine.notna().to_numpy()
+        out = held[columns].copy()
+        name, top, weight = np.full(len(held), None, dtype=object), np.full(len(held), -np.inf), np.zeros(len(held))
+        if there.any():
+            at_rows = np.flatnonzero(there)
+            x = np.stack(vectors.iloc[at_rows].to_list()).astype(np.float64)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
-            mine = batch[code].astype("string").fillna("").to_numpy() if code else np.full(len(x), "")
-            top, weight, name = np.full(len(x), -np.inf), np.zeros(len(x)), np.full(len(x), None, dtype=object)
+            own = mine.iloc[at_rows].astype(str).to_numpy(dtype=object)
+            best, total, label = np.full(len(x), -np.inf), np.zeros(len(x)), np.full(len(x), None, dtype=object)
             for part in dataset.dataset(path, filesystem=filesystem, format="parquet").to_batches(batch_size=block):
                 if part.num_rows == 0:
                     continue
                 names = np.array(part.column("class").to_pylist(), dtype=object)
-                order = np.argsort(names)
+                order = np.argsort(names, kind="stable")
+                names, codes = names[order], np.array(part.column("code").to_pylist(), dtype=object)[order]
                 m = np.array(part.column("embedding").to_pylist(), dtype=np.float64)[order]
                 m /= np.linalg.norm(m, axis=1, keepdims=True)
-                similarity = x @ m.T
-                codes = np.array(part.column("code").to_pylist(), dtype=object)[order]
-                similarity[mine[:, None] != codes[None, :]] = -np.inf
-                at = similarity.argmax(1)
-                found, rival = similarity[np.arange(len(x)), at], names[order][at]
-                ahead = (found > top) | ((found == top) & np.isfinite(found) & np.array([n is None or r < n for r, n in zip(rival, name)]))
-                base = np.maximum(top, found)
-                shift = np.where(np.isfinite(base), base, 0.0)
-                weight = weight * np.exp((top - shift) / temperature) + np.exp((similarity - shift[:, None]) / temperature).sum(1)
-                name, top = np.where(ahead, rival, name), base
-            known = np.isfinite(top)
-            out = batch[columns].copy()
-            out["class"], out["similarity"] = name, np.where(known, top, np.nan)
-            out["score"] = np.where(known, 1 / np.where(weight > 0, weight, 1), np.nan)
-            yield out
+                for value in np.unique(codes):
+                    rows, cols = np.flatnonzero(own == value), np.flatnonzero(codes == value)
+                    if len(rows) == 0:
+                        continue
+                    similarity = x[rows] @ m[cols].T
+                    at = similarity.argmax(1)
+                    found, rival = similarity[np.arange(len(rows)), at], names[cols][at]
+                    tie = (found == best[rows]) & np.array([n is not None and r < n for r, n in zip(rival, label[rows])])
+                    ahead = (found > best[rows]) | tie
+                    base = np.maximum(best[rows], found)
+                    total[rows] = total[rows] * np.exp((best[rows] - base) / temperature) + np.exp((similarity - base[:, None]) / temperature).sum(1)
+                    label[rows], best[rows] = np.where(ahead, rival, label[rows]), base
+            name[at_rows], top[at_rows], weight[at_rows] = label, best, total
+        known = np.isfinite(top)
+        out["class"], out["similarity"] = name, np.where(known, top, np.nan)
+        out["score"] = np.where(known, 1 / np.where(weight > 0, weight, 1), np.nan)
+        return out
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows >= rows_at_once:
+                yield labelled(pd.concat(held, ignore_index=True))
+                held, rows = [], 0
+        if rows:
+            yield labelled(pd.concat(held, ignore_index=True))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields)
-    return tiles.mapInPandas(best, f"{fields}, class {kind}, similarity double, score double")
+    named = tiles.mapInPandas(run, f"{fields}, class {kind}, similarity double, score double")
+    return named.withColumns({c: F.when(F.col("class").isNotNull(), F.col(c)) for c in ("similarity", "score")})
 
 
 def slide_classes(slides: DataFrame, class_map: DataFrame, default: Sequence[str]) -> DataFrame:

@@ -26,10 +26,16 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], delete_miss
 
     Matched rows take every column the source has; target-only columns keep their
     value on update and are NULL on insert. With ``evolve`` source-only columns
-    are added, otherwise left out. Unmatched target rows go or stay. A key that
-    occurs twice in the source would multiply rows: reduce it with
-    ``latest_per_key`` first.
+    are added, otherwise left out. Unmatched target rows go or stay. Of source rows
+    with one key the largest (column by column) counts, so that no row multiplies;
+    ``latest_per_key`` picks by another rule before.
     """
+    rest = [c for c in source.columns if c not in keys]
+    if rest:
+        source = source.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(
+            *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in source.columns])
+    else:
+        source = source.distinct()
     columns = target.columns + ([c for c in source.columns if c not in target.columns] if evolve else [])
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys],
                       F.lit(True).alias("_in_t"))

@@ -67,7 +67,11 @@ def complete_batches(state: DataFrame, results: DataFrame, now: Column, quick_fa
     one to every failed row of the batch. A failure within ``quick_failure_s``
     says nothing about the slides: they return to PENDING free of charge.
     """
-    joined = state.join(results.select("batch_id", "exit_code", "duration_s"), "batch_id", "left")
+    # Several results of one batch: the worst exit code counts, with its shortest duration. Rows without a batch stay out of
+    # the join, where they would meet under one key.
+    once = results.groupBy("batch_id").agg(F.max(F.struct("exit_code", (-F.col("duration_s")).alias("quick"))).alias("_r"))
+    once = once.select("batch_id", F.col("_r.exit_code").alias("exit_code"), (-F.col("_r.quick")).alias("duration_s"))
+    joined = state.where(F.col("batch_id").isNotNull()).join(once, "batch_id", "left")
     flying = F.col("status") == "DISPATCHED"
     ok = F.col("exit_code") == 0
     quick = (F.col("exit_code") != 0) & (F.col("duration_s") < quick_failure_s)
@@ -80,7 +84,8 @@ def complete_batches(state: DataFrame, results: DataFrame, now: Column, quick_fa
         "completed_at": F.when(flying & (ok | slow), now).otherwise(F.col("completed_at")),
         "fail_count": F.when(charged, F.col("fail_count") + 1).otherwise(F.col("fail_count")),
     }
-    return joined.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in state.columns])
+    done = joined.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in state.columns])
+    return done.unionByName(state.where(F.col("batch_id").isNull()))
 
 
 def complete_slides(state: DataFrame, results: DataFrame, now: Column) -> DataFrame:
@@ -209,9 +214,10 @@ def finish_batches(batches: DataFrame, results: DataFrame, now: Column) -> DataF
 
 
 def set_attributes(table: DataFrame, values: DataFrame, key: str) -> DataFrame:
-    """Overwrite the columns that ``values`` brings, for its keys only."""
+    """Overwrite the columns that ``values`` brings, for its keys only. Of several values of one key the largest row counts."""
     changed = [c for c in values.columns if c != key]
-    new = values.select(key, *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_hit"))
+    once = values.groupBy(key).agg(F.max(F.struct(*changed)).alias("_v")).select(key, "_v.*")
+    new = once.select(key, *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_hit"))
     return _update(table.join(new, key, "left"), F.col("_hit"),
                    {c: F.col(f"_new_{c}") for c in changed}).select(*table.columns)
 

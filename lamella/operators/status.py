@@ -14,9 +14,9 @@ from lamella.schemas import NUMERIC_EXPORT_COLUMNS, STATUS_COLUMNS
 STATES = ["done", "failed", "pending"]
 
 
-def fan_out(df: DataFrame, models: Sequence[str], name: str = "model") -> DataFrame:
-    """One row per input row and model; the list is a literal, so nothing is joined or shuffled."""
-    return df.withColumn(name, F.explode(F.array(*[F.lit(m) for m in models])))
+def fan_out(df: DataFrame, models: Sequence[str] | Column, name: str = "model") -> DataFrame:
+    """One row per input row and model; the list is a literal or one value, so nothing is joined or shuffled."""
+    return df.withColumn(name, F.explode(models if isinstance(models, Column) else F.array(*[F.lit(m) for m in models])))
 
 
 def _by_model(rows: DataFrame, models: Sequence[str], value: str, name: str) -> DataFrame:
@@ -69,7 +69,7 @@ def export_with_inventory(status: DataFrame, inventory: DataFrame,
     return out.withColumns(typed)
 
 
-def export_from_state(slides: DataFrame, shards: DataFrame, models: Sequence[str],
+def export_from_state(slides: DataFrame, shards: DataFrame, models: Sequence[str] | Column,
                       arrival: Column) -> DataFrame:
     """One row per slide id and model from the state table and the shard manifest.
 
@@ -88,15 +88,13 @@ def export_from_state(slides: DataFrame, shards: DataFrame, models: Sequence[str
         reason.alias("failure_reason"), blank(F.col("wds_path")).alias("wds_path"), "first_seen_at", "completed_at")
 
 
-def models_or_unknown(shards: DataFrame, models: Sequence[str] | None, limit: int = 10_000) -> list[str]:
+def models_or_unknown(shards: DataFrame, models: Sequence[str] | None) -> Sequence[str] | Column:
     """The given models, else those of the manifest, else 'unknown'.
 
-    Model names come back to the driver as the fan-out list, so their number is
-    checked: beyond ``limit`` distinct names the manifest column is wrong.
+    The names of the manifest are a scalar subquery: they are found when the export
+    runs and never come to the driver's program.
     """
     if models:
         return list(models)
-    found = [r.model for r in shards.select("model").distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} model names in the shard manifest")
-    return sorted(found) or ["unknown"]
+    found = shards.agg(F.sort_array(F.collect_set("model")).alias("models"))
+    return found.select(F.when(F.size("models") > 0, F.col("models")).otherwise(F.array(F.lit("unknown")))).scalar()

@@ -139,9 +139,9 @@ def shard_distribution(t: Tables) -> DataFrame:
 @query("""
 WITH per AS (SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem GROUP BY 1),
 m AS (SELECT l_returnflag, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1)
-SELECT least((SELECT min(n) FROM m), 9000) AS done_min, least((SELECT count(*) FROM per WHERE n = 3), 9000) AS done_all""")
+SELECT least((SELECT min(n) FROM m), (SELECT count(*) FROM orders)) AS done_min, least((SELECT count(*) FROM per WHERE n = 3), (SELECT count(*) FROM orders)) AS done_all""")
 def done_all_models(t: Tables) -> DataFrame:
-    return manifest.done_counts(_entries(t), ["A", "N", "R"], F.lit(9000).cast("bigint"))
+    return manifest.done_counts(_entries(t), ["A", "N", "R"], t.orders.agg(F.count(F.lit(1))).scalar())
 
 
 @query("""

@@ -11,7 +11,7 @@ from lamella.plans.catalog import Tables, query, text
 
 _SCORED_SQL = """
 scored AS (
-  SELECT d.lang, l.quality AS label, round(least(d.n_chars, 4000) / 4000.0, 2) AS score, l.toxic
+  SELECT d.lang, l.quality AS label, round(d.n_chars / (d.n_chars + 2000.0), 6) AS score, l.toxic
   FROM labels l JOIN documents d USING (doc_id)),
 lines AS (
   SELECT l_returnflag, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS label, round((l_quantity / 50 + l_discount * 5 + l_tax) / 2, 4) AS score FROM lineitem)
@@ -20,7 +20,7 @@ lines AS (
 
 def _scored(t: Tables) -> DataFrame:
     return t.labels.join(t.documents.select("doc_id", "lang", "n_chars"), "doc_id").select(
-        "lang", F.col("quality").alias("label"), F.round(F.least("n_chars", F.lit(4000)) / 4000, 2).alias("score"), "toxic")
+        "lang", F.col("quality").alias("label"), F.round(F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0)), 6).alias("score"), "toxic")
 
 
 def _lines(t: Tables) -> DataFrame:

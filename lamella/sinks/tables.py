@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.operators import merge, quality
@@ -41,32 +41,32 @@ def versioned_sink(df: DataFrame, folder: str, version: int) -> str:
     return path
 
 
-# Assignments up to this many slides (a few hundred MB) are sent to every executor.
-MAX_BROADCAST_SLIDES = 2_000_000
-
-
 def shard_sink(features: DataFrame, assigned: DataFrame, path: str, coords: bool = True, tasks: int | None = None) -> None:
     """Write tile rows as tar shards.
 
     ``assigned``: model, group, slide_id, shard_file. Packing was done on this
     metadata; the payload joins it here, is gathered by shard and ordered by
-    slide and tile within. The metadata is counted first: that gives one task per
-    shard, and a join without shuffle while the assignment is small enough, so
-    that the payload moves once.
+    slide and tile within. Shards are numbered first, one row each, and every
+    number is a task of its own (with fewer ``tasks``, they share them evenly).
+    Spark chooses the join by the measured size of the assignment. Shards that
+    exist already are never replaced: the write fails.
     """
     shards.register(features.sparkSession)
     keys = ["model", "group", "shard_file"]
-    placed = stable(assigned.select(*keys, "slide_id"))
-    size = placed.agg(F.count("*").alias("slides"), F.count_distinct(*keys).alias("shards")).first()
-    if size.slides == 0:
+    own = assigned.select(*keys, "slide_id")
+    numbers = own.select(*keys).distinct().withColumn("_shard", F.row_number().over(Window.orderBy(*keys)) - 1)
+    placed = stable(own.join(numbers, keys))
+    last = placed.agg(F.max("_shard")).first()[0]
+    if last is None:
         return
-    lookup = F.broadcast(placed) if size.slides <= MAX_BROADCAST_SLIDES else placed
-    rows = features.join(lookup, ["model", "slide_id"])
+    rows = features.join(placed, ["model", "slide_id"])
     for name in ("x", "y"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("bigint"))
-    (rows.select(*keys, "slide_id", "tile_idx", "features", "x", "y", "precision")
-     .repartition(tasks or size.shards, *keys).sortWithinPartitions(*keys, "slide_id", "tile_idx")
+    number = min(tasks or last + 1, last + 1)
+    (rows.repartitionById(number, (F.col("_shard") % number).cast("int"))
+     .select(*keys, "slide_id", "tile_idx", "features", "x", "y", "precision")
+     .sortWithinPartitions(*keys, "slide_id", "tile_idx")
      .write.format("tarshards").option("coords", str(coords).lower()).mode("append").save(path))
 
 

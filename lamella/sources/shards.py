@@ -213,6 +213,10 @@ class ShardWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written]) -> None:
         filesystem, base = open_path(self.root)
         moves = [pair for message in filter(None, messages) for pair in message.files if pair[0] != pair[1]]
+        taken = [info.path for info in filesystem.get_file_info([final for _, final in moves])
+                 if info.type != pafs.FileType.NotFound] if moves else []
+        if taken:
+            raise FileExistsError(f"{len(taken)} shards exist already, among them {min(taken)}")
         for folder in sorted({posixpath.dirname(final) for _, final in moves}):
             filesystem.create_dir(folder, recursive=True)
         for written, final in moves:

@@ -15,20 +15,20 @@ from lamella.sinks.tables import versioned_sink
 from lamella.sources.files import latest_snapshot, path_exists
 
 Step = Callable[[DataFrame, int], None]
-TIMEOUT_S = 600
 
 
-def drain(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Run a stream over what is there now into a Parquet table, and read that table."""
+def drain(stream: DataFrame, name: str, path: str | None = None, limit_s: float | None = None) -> DataFrame:
+    """Run a stream over what is there now into a Parquet table, and read that table. It may take as long as it takes,
+    unless the caller sets a limit."""
     spark = stream.sparkSession
     base = path or scratch_dir(spark, name)
     query = (stream.writeStream.format("parquet").option("path", f"{base}/rows")
              .option("checkpointLocation", f"{base}/progress").outputMode("append").trigger(availableNow=True).start())
-    _finish(query)
+    _finish(query, limit_s)
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
-def drain_updates(stream: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def drain_updates(stream: DataFrame, keys: Sequence[str], name: str, limit_s: float | None = None) -> DataFrame:
     """As ``drain`` for aggregates in update mode: the newest row per key.
 
     Each micro-batch overwrites its own folder, so a repeated batch changes nothing.
@@ -40,15 +40,17 @@ def drain_updates(stream: DataFrame, keys: Sequence[str], name: str) -> DataFram
 
     query = (stream.writeStream.outputMode("update").option("checkpointLocation", f"{base}/progress")
              .trigger(availableNow=True).foreachBatch(write).start())
-    _finish(query)
+    _finish(query, limit_s)
     rows = stream.sparkSession.read.option("basePath", f"{base}/rows").parquet(f"{base}/rows")
     return merge.latest_per_key(rows, keys, "batch_no").drop("batch_no")
 
 
-def _finish(query: StreamingQuery) -> None:
-    if not query.awaitTermination(TIMEOUT_S):
+def _finish(query: StreamingQuery, limit_s: float | None) -> None:
+    if limit_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(limit_s):
         query.stop()
-        raise TimeoutError(f"stream {query.id} did not finish within {TIMEOUT_S} s")
+        raise TimeoutError(f"stream {query.id} did not finish within {limit_s} s")
 
 
 def in_order(steps: Sequence[tuple[str, Step]], done_folder: str) -> Step:

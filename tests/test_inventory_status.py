@@ -95,8 +95,9 @@ def test_state_export(spark):
                                    "slide_path string, slide_id string, status string, error_msg string, n int")
     slides = slides.withColumns({"oncotree_code": F.lit(None).cast("string"), "first_seen_at": F.lit(None).cast("timestamp"), "completed_at": F.lit(None).cast("timestamp")})
     shards = spark.createDataFrame([("S2", "uni", "s3://w")], "slide_id string, model string, wds_path string")
-    assert status.models_or_unknown(shards, None) == ["uni"]
-    assert status.models_or_unknown(shards.limit(0), []) == ["unknown"]
+    one = spark.range(1)
+    assert rows(status.fan_out(one, status.models_or_unknown(shards, None)), "model") == [("uni",)]
+    assert rows(status.fan_out(one, status.models_or_unknown(shards.limit(0), [])), "model") == [("unknown",)]
     assert status.models_or_unknown(shards, ["a", "b"]) == ["a", "b"]
     out = status.export_from_state(slides, shards, ["uni", "gig"], F.col("n"))
     got = {(r.slide_id, r.model): (r.slide_path, r.status, r.failure_reason, r.wds_path) for r in out.collect()}

@@ -149,13 +149,11 @@ def _loop_best(frame, classes):
     return out
 
 
-@pytest.mark.parametrize("joined", [False, True])
-def test_zero_shot_equals_loop(spark, vectors, joined, monkeypatch):
-    if joined:
-        monkeypatch.setattr(embed, "MAX_SHIPPED_CLASSES", 0)
+@pytest.mark.parametrize("block,rows_at_once", [(4096, 65_536), (1, 7)])
+def test_zero_shot_equals_loop(spark, vectors, block, rows_at_once):
     classes = [("c0", n, [float(v) for v in np.eye(6)[i]]) for i, n in enumerate("xyz")] + [("c1", "x", [0.0, 1.0, 1.0, 0.0, 0.0, 0.0])]
     table = spark.createDataFrame(classes, "code string, class string, embedding array<double>")
-    got = {r.tile_idx: (r["class"], r.similarity) for r in embed.zero_shot(vectors, table, "code").collect()}
+    got = {r.tile_idx: (r["class"], r.similarity) for r in embed.zero_shot(vectors, table, "code", block=block, rows_at_once=rows_at_once).collect()}
     want = _loop_best(vectors.toPandas(), classes)
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert all(got[k][1] == pytest.approx(want[k][1], abs=1e-6) for k in want)
@@ -163,6 +161,20 @@ def test_zero_shot_equals_loop(spark, vectors, joined, monkeypatch):
     assert unknown.where("class IS NOT NULL").count() == 0 and unknown.count() == 90
 
 
+@pytest.mark.parametrize("block", [1, 4096])
+@pytest.mark.parametrize("copies", [1, 1500])
+def test_zero_shot_without_vector_or_code(spark, block, copies):
+    """NULL codes and zero vectors are treated alike at any class count."""
+    tiles = spark.createDataFrame([(0, "a", [1.0, 0.0]), (1, None, [1.0, 0.0]), (2, "a", [0.0, 0.0]), (3, "a", None), (4, "", [0.0, 1.0])],
+                                  "tile_idx int, code string, features array<float>")
+    table = [("a", f"k{i:04d}", [1.0, 0.0]) for i in range(copies)] + [("", "blank", [0.0, 1.0]), (None, "none", [1.0, 0.0]), ("a", "zero", [0.0, 0.0])]
+    classes = spark.createDataFrame(table, "code string, class string, embedding array<double>")
+    if block == 1 and copies > 1:
+        block = 100
+    got = {r.tile_idx: (r["class"], r.similarity) for r in embed.zero_shot(tiles, classes, "code", block=block).collect()}
+    assert got == {0: ("k0000", 1.0), 1: (None, None), 2: (None, None), 3: (None, None), 4: ("blank", 1.0)}
+
+
 def test_encode_classify_and_variants(vectors):
     weights = np.arange(12, dtype=float).reshape(6, 2)
     encoded = embed.encode(vectors.withColumnRenamed("features", "pixels"), embed.projection_encoder(weights), "proj", 6, batch_size=7).toPandas()
