@@ -7,14 +7,15 @@ Frames have a ``label`` (0/1) and a ``score`` unless stated, and ``by`` columns.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamella.operators.ordered import with_running_totals
+from lamella.operators.ordered import chunked, with_running_totals
 
 
 def score_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -138,52 +139,60 @@ def seed_summary(values: DataFrame, by: Sequence[str] = ("model", "split", "metr
     return values.groupBy(*by).agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
-def _replicate_metrics(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> dict[str, np.ndarray]:
-    """AUC, average precision and F1 per replicate from [score, replicate] counts, scores rising."""
-    total_pos, total_neg = pos.sum(0), neg.sum(0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        below = np.cumsum(neg, 0) - neg
-        auc = (pos * (below + neg / 2)).sum(0) / (total_pos * total_neg)
-        tp, fp = np.cumsum(pos[::-1], 0), np.cumsum(neg[::-1], 0)
-        ap = np.where(tp + fp > 0, pos[::-1] * tp / np.maximum(tp + fp, 1), 0).sum(0) / total_pos
-        cut = score >= 0.5
-        f1 = 2 * pos[cut].sum(0) / (pos[cut].sum(0) + neg[cut].sum(0) + total_pos)
-    return {"roc_auc": auc, "average_precision": ap, "f1": np.where(np.isfinite(f1), f1, 0.0)}
-
-
-def bootstrap_ci(scored: DataFrame, by: Sequence[str] = (), replicates: int = 1000, seed: int = 42,
-                 resolution: float = 1e-4, block: int = 50) -> DataFrame:
-    """95 % bootstrap intervals of AUC, average precision and F1.
+def bootstrap_ci(scored: DataFrame, by: Sequence[str] = (), replicates: int = 1000, seed: int = 42, block: int = 50) -> DataFrame:
+    """95 % bootstrap intervals of AUC, average precision and F1 (cut at 0.5), on the exact scores.
 
     Resampling with Poisson(1) weights: the weights of n equal rows add up to
-    Poisson(n), so after counting rows per score (on a grid of ``resolution``)
-    one draw per score and replicate does, and the work no longer grows with the
-    rows. The grid bounds a group to 1 + 1/resolution rows for scores in [0, 1].
-    Blocks of replicates are spread over tasks.
+    Poisson(n), so one draw per distinct score and replicate does. The scores are
+    cut into ordered chunks; a task holds one chunk and one block of replicates.
+    A first pass sums the draws of each chunk, a second repeats them (same seed)
+    with the sums of the chunks below, so no task holds a whole group.
     """
-    grid = scored.withColumn("score", F.round(F.col("score") / resolution) * resolution)
-    counts = score_counts(grid, by)
+    parts = chunked(score_counts(scored, by), by, ["score"]).withColumn("_key", F.to_json("__group"))
     blocks = -(-replicates // block)
-    spread = counts.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keys = [*by, "_block"]
-    names = ("roc_auc", "average_precision", "f1")
-    fields = {f.name: f.dataType.simpleString() for f in scored.schema.fields}
-
-    def replicate(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("score")
-        number = int(rows["_block"].iat[0])
-        n = min(block, replicates - number * block)
-        draw = np.random.default_rng([seed, number])
-        pos = draw.poisson(rows["pos"].to_numpy()[:, None], (len(rows), n)).astype(float)
-        neg = draw.poisson(rows["neg"].to_numpy()[:, None], (len(rows), n)).astype(float)
-        found = _replicate_metrics(rows["score"].to_numpy(), pos, neg)
-        out = pd.DataFrame({"metric": np.repeat(names, n), "value": np.concatenate([found[m] for m in names])})
-        for c in by:
-            out[c] = rows[c].iat[0]
-        return out[[*by, "metric", "value"]]
-
-    schema = ", ".join([f"`{c}` {fields[c]}" for c in by] + ["metric string", "value double"])
-    values = spread.groupBy(*keys).applyInPandas(replicate, schema).where(~F.isnan("value"))
+    rows = parts.select("_key", F.col("__chunk").alias("_chunk"), "score", "pos", "neg",
+                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    keys = ["_key", "_chunk", "_block"]
+
+    def draws(frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+        frame = frame.sort_values("score")
+        number, chunk = int(frame["_block"].iat[0]), int(frame["_chunk"].iat[0])
+        which = np.arange(number * block, min((number + 1) * block, replicates))
+        rng = np.random.default_rng([seed, number, chunk, zlib.crc32(frame["_key"].iat[0].encode())])
+        pos, neg = (rng.poisson(frame[c].to_numpy()[:, None], (len(frame), len(which))) for c in ("pos", "neg"))
+        return frame, which, pos, neg
+
+    def totals(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, which, pos, neg = draws(frame)
+        return pd.DataFrame({"_key": frame["_key"].iat[0], "_chunk": frame["_chunk"].iat[0], "_block": frame["_block"].iat[0],
+                             "replicate": which, "pos": pos.sum(0), "neg": neg.sum(0)})
+
+    sums = rows.groupBy(*keys).applyInPandas(totals, "_key string, _chunk int, _block int, replicate int, pos bigint, neg bigint")
+    every = Window.partitionBy("_key", "replicate")
+    below = every.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    known = sums.select(*keys, "replicate", *[F.sum(c).over(every).alias(f"all_{c}") for c in ("pos", "neg")],
+                        *[F.coalesce(F.sum(c).over(below), F.lit(0)).alias(f"below_{c}") for c in ("pos", "neg")])
+
+    def partial(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        frame, which, pos, neg = draws(frame)
+        known = known.set_index("replicate").loc[which]
+        all_pos, all_neg, below_pos, below_neg = (known[c].to_numpy() for c in ("all_pos", "all_neg", "below_pos", "below_neg"))
+        under_pos, under_neg = np.cumsum(pos, 0) - pos + below_pos, np.cumsum(neg, 0) - neg + below_neg
+        tp, fp = all_pos - under_pos, all_neg - under_neg
+        cut = frame["score"].to_numpy() >= 0.5
+        return pd.DataFrame({"_key": frame["_key"].iat[0], "replicate": which, "all_pos": all_pos, "all_neg": all_neg,
+                             "wins": (pos * (under_neg + neg / 2)).sum(0), "gained": (pos * tp / np.maximum(tp + fp, 1)).sum(0),
+                             "tp": pos[cut].sum(0), "fp": neg[cut].sum(0)})
+
+    found = rows.groupBy(*keys).cogroup(known.groupBy(*keys)).applyInPandas(
+        partial, "_key string, replicate int, all_pos bigint, all_neg bigint, wins double, gained double, tp bigint, fp bigint")
+    whole = found.groupBy("_key", "replicate").agg(F.max("all_pos").alias("P"), F.max("all_neg").alias("N"),
+                                                   *[F.sum(c).alias(c) for c in ("wins", "gained", "tp", "fp")])
+    values = whole.select("_key", F.explode(F.create_map(
+        F.lit("roc_auc"), F.col("wins") / F.nullif(F.col("P").cast("double") * F.col("N"), F.lit(0.0)),
+        F.lit("average_precision"), F.col("gained") / F.nullif(F.col("P"), F.lit(0)),
+        F.lit("f1"), F.coalesce(F.lit(2.0) * F.col("tp") / F.nullif(F.col("tp") + F.col("fp") + F.col("P"), F.lit(0)), F.lit(0.0)))
+    ).alias("metric", "value")).where(F.col("value").isNotNull())
     ends = F.percentile("value", F.array(F.lit(0.025), F.lit(0.975)))
-    return values.groupBy(*by, "metric").agg(ends.alias("_ci")).select(
-        *by, "metric", F.col("_ci")[0].alias("ci_lo"), F.col("_ci")[1].alias("ci_hi"))
+    named = values.groupBy("_key", "metric").agg(ends.alias("_ci")).join(parts.select("_key", *by).distinct(), "_key")
+    return named.select(*by, "metric", F.col("_ci")[0].alias("ci_lo"), F.col("_ci")[1].alias("ci_hi"))

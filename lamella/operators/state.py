@@ -178,11 +178,12 @@ def recover_batches(batches: DataFrame, now: Column, max_resumed: int) -> DataFr
 
 
 def apply_recovery(state: DataFrame, recovered: DataFrame) -> DataFrame:
-    """Dispatched slides of batches that were reset become PENDING."""
+    """Dispatched slides of batches that were reset become PENDING. Rows without a batch stay out of the join."""
     reset = recovered.where(F.col("recovery") == "reset")
     hit = F.coalesce(F.col("_hit"), F.lit(False)) & (F.col("status") == "DISPATCHED")
-    return _update(_flagged(state, reset, "batch_id"), hit, {
+    done = _update(_flagged(state.where(F.col("batch_id").isNotNull()), reset, "batch_id"), hit, {
         "status": F.lit("PENDING"), "batch_id": _null("string")}).select(*state.columns)
+    return done.unionByName(state.where(F.col("batch_id").isNull()))
 
 
 def close_reset_batches(recovered: DataFrame, now: Column) -> DataFrame:
@@ -191,7 +192,9 @@ def close_reset_batches(recovered: DataFrame, now: Column) -> DataFrame:
 
 
 def upsert(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Insert or replace whole rows by key; columns the new rows lack become NULL."""
+    """Insert or replace whole rows by key; columns the new rows lack become NULL. Of new rows with one key the largest counts."""
+    rest = [c for c in rows.columns if c != key]
+    rows = rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(key, "_row.*") if rest else rows.distinct()
     kept = table.join(rows.select(key), key, "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True).select(*table.columns)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,23 +148,37 @@ def tile_order(slide_key: Column, tile_key: Column, seed: int = 42) -> Column:
     return numeric.portable_hash(slide_key, tile_key, seed=seed)
 
 
-def _ranked(tiles: DataFrame, by: Sequence[str], order: Column, tie: Sequence[str]) -> DataFrame:
-    """Rank by hash within each group; the top bits of the hash are the chunks."""
-    hashed = tiles.withColumn("_h", order)
+def _first_in_order(tiles: DataFrame, by: Sequence[str], order: Column, tie: Sequence[str], budget: int | DataFrame) -> DataFrame:
+    """The first tiles of each group by hash, as many as the budget (a number, or ``quota`` per group).
+
+    Only keys are ranked; the top bits of the hash are the chunks. The last key
+    within the budget is the group's cut, and the tiles with their payload pass a
+    plain filter. Tiles that repeat a key stay or go together.
+    """
+    names = list(dict.fromkeys([*by, *tie]))
+    keys = tiles.select(*names, order.alias("_h")).distinct()
     chunk = F.floor(F.col("_h") / (HASH_RANGE // HASH_CHUNKS)).cast("int")
-    return with_row_number(hashed, by, ["_h", *tie], "_rank", chunk)
+    ranked = with_row_number(keys, by, ["_h", *tie], "_rank", chunk)
+    if isinstance(budget, DataFrame):
+        kept = ranked.join(budget, list(by)).where(F.col("_rank") <= F.col("quota"))
+    else:
+        kept = ranked.where(F.col("_rank") <= budget)
+    cuts = kept.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(F.max(F.struct("_h", *tie)).alias("_cut"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+    within = tiles.withColumn("_h", order).join(cuts, same).where(F.struct("_h", *tie) <= F.col("_cut"))
+    return within.select(*tiles.columns)
 
 
 def cap_per_slide(tiles: DataFrame, order: Column, cap: int, slide: str = "slide_id",
                   tile: str = "tile_idx") -> DataFrame:
     """At most ``cap`` tiles per slide, the first in random order."""
-    return _ranked(tiles, [slide], order, [tile]).where(F.col("_rank") <= cap).select(*tiles.columns)
+    return _first_in_order(tiles, [slide], order, [tile], cap)
 
 
 def subsample_random(tiles: DataFrame, order: Column, budget: int, sample: str = "sample_id",
                      slide: str = "slide_id", tile: str = "tile_idx") -> DataFrame:
     """At most ``budget`` tiles per sample, the first in random order."""
-    return _ranked(tiles, [sample], order, [slide, tile]).where(F.col("_rank") <= budget).select(*tiles.columns)
+    return _first_in_order(tiles, [sample], order, [slide, tile], budget)
 
 
 def proportional_quota(counts: DataFrame, budget: int, sample: str = "sample_id", slide: str = "slide_id") -> DataFrame:
@@ -202,8 +218,7 @@ def equal_quota(counts: DataFrame, budget: int, sample: str = "sample_id", slide
 def subsample_by_quota(tiles: DataFrame, order: Column, quota: DataFrame, sample: str = "sample_id",
                        slide: str = "slide_id", tile: str = "tile_idx") -> DataFrame:
     """The first ``quota`` tiles of each slide in random order."""
-    ranked = _ranked(tiles, [sample, slide], order, [tile])
-    return ranked.join(quota, [sample, slide]).where(F.col("_rank") <= F.col("quota")).select(*tiles.columns)
+    return _first_in_order(tiles, [sample, slide], order, [tile], quota)
 
 
 def subsample(tiles: DataFrame, order: Column, budget: int | None, strategy: str = "random",
@@ -225,12 +240,12 @@ def merge_samples(features: DataFrame, slides: DataFrame, order: Column, budget:
     """One feature table per sample: slides concatenated, cut to the budget, tiles numbered anew.
 
     ``slides``: slide_id, sample_id, oncotree_code; the sample takes the code of
-    its first slide.
+    its first slide. Only keys are cut and numbered; the vectors join the result once.
     """
     codes = first_per_key(slides.select("sample_id", "slide_id", "oncotree_code"), ["sample_id"], [F.col("slide_id")])
-    tiles = features.join(slides.select("slide_id", "sample_id"), "slide_id")
-    kept = subsample(tiles, order, budget, strategy)
+    keys = features.select("slide_id", "tile_idx").join(slides.select("slide_id", "sample_id"), "slide_id")
+    kept = subsample(keys, order, budget, strategy)
     numbered = with_row_number(kept, ["sample_id"], ["slide_id", "tile_idx"], "_n")
-    return (numbered.join(codes.select("sample_id", "oncotree_code"), "sample_id")
+    return (features.join(numbered.join(codes.select("sample_id", "oncotree_code"), "sample_id"), ["slide_id", "tile_idx"])
             .select("sample_id", "oncotree_code", (F.col("_n") - 1).cast("int").alias("tile_idx"),
                     "slide_id", "features"))

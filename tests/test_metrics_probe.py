@@ -87,6 +87,13 @@ def test_bootstrap_brackets_and_repeats(scored):
         assert lo < auc < hi and hi - lo == pytest.approx(2 * 1.96 * 0.032, rel=0.35)
 
 
+def test_bootstrap_uses_exact_scores(spark):
+    """Scores just below the cut are negatives of F1, and close scores are no ties."""
+    data = [(1, 0.49996 + i * 1e-7) for i in range(50)] + [(0, 0.4 + i * 1e-7) for i in range(50)]
+    got = {r.metric: (r.ci_lo, r.ci_hi) for r in metrics.bootstrap_ci(spark.createDataFrame(data, "label int, score double"), [], 100).collect()}
+    assert got == {"f1": (0.0, 0.0), "roc_auc": (1.0, 1.0), "average_precision": (1.0, 1.0)}
+
+
 def test_split_is_stratified_and_seeded(spark):
     slides = spark.range(200).select(F.col("id").alias("slide_id"), (F.col("id") % 4 == 0).cast("int").alias("label"))
     out = probe.stratified_split(slides, numeric.portable_hash(F.col("slide_id"), seed=3))

@@ -253,3 +253,14 @@ def test_shard_listing_and_attributes(spark, tmp_path):
         ("a", "mpp_is_fallback", "true"), ("a", "native_mpp", "0.25"), ("a", "tiles", "t/a"), ("b", "mpp_is_fallback", "unknown"), ("b", "native_mpp", "unknown")]
     lists = spark.createDataFrame([("b1", ["a", "b"], [1, 2])], "batch string, slide_id array<string>, out array<int>")
     assert rows(batching.transpose(lists, ["slide_id", "out"])) == [("b1", "a", 1), ("b1", "b", 2)]
+
+
+def test_existing_shards_are_never_replaced(spark, tmp_path, tile_rows):
+    folder = str(tmp_path / "wds")
+    assigned = tile_rows.select("model", "slide_id").distinct().withColumns({"group": F.lit("g"), "shard_file": F.lit("000000.tar")})
+    first, second = assigned.where("slide_id = 's00'"), assigned.where("slide_id = 's01'")
+    tables.shard_sink(tile_rows, first, folder)
+    with pytest.raises(Exception, match="exist already"):
+        tables.shard_sink(tile_rows, second, folder)
+    assert {r.slide_id for r in shards.shard_scan(spark, folder).collect()} == {"s00"}
+    assert not [n for n in os.listdir(folder) if n.startswith("_staging")]

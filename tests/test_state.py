@@ -203,3 +203,17 @@ def test_backfill_progress(spark):
     stored = spark.createDataFrame([("b1", 5, 10, 2), ("b2", 9, 10, 5), ("b3", None, None, None)], "batch_id string, tasks_done int, tasks_total int, tasks_failed int")
     have = spark.createDataFrame([("b1", 1, 1, 1)], "batch_id string, succeeded int, failed int, pending int")
     assert rows(state.backfill_progress(stored, have)) == [("b1", 1, 1, 1), ("b2", 9, 5, 0)]
+
+
+def test_repeated_keys_multiply_nothing(spark, now):
+    old = table(spark, ("p1", "a", "DISPATCHED", "B", 0), ("p2", "b", "PENDING", None, 0), ("p3", "c", "PENDING", None, 0))
+    results = spark.createDataFrame([("B", 0, 900.0), ("B", 1, 500.0), ("B", 1, 700.0), (None, 1, 1.0)], "batch_id string, exit_code int, duration_s double")
+    assert view(state.complete_batches(old, results, now)) == {"p1": ("FAILED", "B", 1), "p2": ("PENDING", None, 0), "p3": ("PENDING", None, 0)}
+    values = spark.createDataFrame([("p1", "x"), ("p1", "y")], "slide_path string, slide_id string")
+    assert rows(state.set_attributes(old, values, "slide_path"), "slide_path", "slide_id") == [("p1", "y"), ("p2", "b"), ("p3", "c")]
+    target = spark.createDataFrame([(1, "old"), (2, "stay")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "a"), (3, "new")], "k int, v string")
+    assert rows(merge.merge(target, source, ["k"], delete_missing=False)) == [(1, "b"), (2, "stay"), (3, "new")]
+    assert rows(state.upsert(target, source, "k")) == [(1, "b"), (2, "stay"), (3, "new")]
+    recovered = spark.createDataFrame([("B", "reset")], "batch_id string, recovery string")
+    assert view(state.apply_recovery(old, recovered))["p1"] == ("PENDING", None, 0)

@@ -202,3 +202,17 @@ def test_mapping_frame(spark):
     df = spark.createDataFrame([(0,), (1,), (4,), (9,)], "class int")
     pairs = spark.createDataFrame([(0, 5), (1, 1), (4, 0)], "raw int, mapped int")
     assert rows(tiles.annotate(df, pairs), "class", "annotation") == [(1, 1), (4, 0)]
+
+
+def test_budgets_with_text_keys_keep_the_payload_out(spark):
+    """Slide ids are any text; only keys are ranked, so nothing written holds a vector."""
+    data = spark.range(400).select(F.concat(F.lit("TCGA-"), F.col("id") % 3).alias("slide_id"), F.lit("s").alias("sample_id"),
+                                   F.col("id").cast("int").alias("tile_idx"), F.array(F.col("id").cast("float")).alias("features"))
+    order = tiles.tile_order(F.col("slide_id"), F.col("tile_idx"))
+    for budget in (tiles.cap_per_slide(data, order, 10), tiles.subsample(data, order, 30, "equal")):
+        got = budget.collect()
+        assert len(got) == 30 and all(r.features == [float(r.tile_idx)] for r in got)
+    slides = data.select("slide_id", "sample_id", F.lit("C").alias("oncotree_code")).distinct()
+    merged = tiles.merge_samples(data.drop("sample_id"), slides, order, 25)
+    assert sorted(r.tile_idx for r in merged.collect()) == list(range(25))
+    assert {len(r.features) for r in merged.collect()} == {1}
