@@ -113,15 +113,19 @@ def confusion_matrix(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT label, list_transform([0, 1, 2, 3, 4, 5, 6, 7, 8, 9], lambda c: round(embedding[c + 1]::DOUBLE, 3)) AS v FROM embeddings),
-e AS (SELECT label, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS class, unnest(v) AS score FROM s),
+WITH v AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+e AS (SELECT label, class, round(sum(v * ((i * 31 + class * 17) % 7 - 3)), 5) AS score
+      FROM v, (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS class) GROUP BY vec_id, label, class),
 c AS (SELECT class, score, count(*) FILTER (label = class) AS pos, count(*) FILTER (label <> class) AS neg FROM e GROUP BY 1, 2),
 r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY class ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c),
 a AS (SELECT class, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM r GROUP BY 1)
 SELECT round(avg(auc), 9) AS roc_auc_macro FROM a""")
 def ovr_macro_auc(t: Tables) -> DataFrame:
-    scores = F.map_from_arrays(F.array(*[F.lit(c) for c in range(10)]),
-                               F.transform(F.slice("embedding", 1, 10), lambda v: F.round(v.cast("double"), 3)))
+    """Class scores are fixed projections of the whole vector."""
+    def score(c: int):
+        terms = F.transform("embedding", lambda v, i: v.cast("double") * ((i * 31 + c * 17) % 7 - 3))
+        return F.round(F.aggregate(terms, F.lit(0.0), lambda total, term: total + term), 5)
+    scores = F.map_from_arrays(F.array(*[F.lit(c) for c in range(10)]), F.array(*[score(c) for c in range(10)]))
     return metrics.ovr_macro_auc(t.embeddings.select("label", scores.alias("scores"))).withColumn("roc_auc_macro", F.round("roc_auc_macro", 9))
 
 
@@ -222,8 +226,10 @@ def per_class_table(t: Tables) -> DataFrame:
     return table.select("model", *[F.round(c, 9).alias(c) for c in ("class_1_f1", "class_2_f1", "accuracy", "weighted_auc")])
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+@query("""
+SELECT event_id, key, CAST(json_extract(props, '$."' || key || '"') AS BIGINT) AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)""")
 def eav_props(t: Tables) -> DataFrame:
     """Values of a JSON property map as rows."""
     props = F.from_json("props", "map<string,bigint>")
-    return t.events.select("event_id", F.explode(props).alias("key", "k")).where("key = 'k'").drop("key")
+    return t.events.select("event_id", F.explode(props).alias("key", "value"))

@@ -530,10 +530,10 @@ def exhausted_slides(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, 'executor > local' || chr(10) || left(replace(text, 'executor >', ''), 0) || source AS block FROM documents""")
+SELECT doc_id, 'executor > local' || chr(10) || replace(text, 'executor >', '') || source AS block FROM documents""")
 def progress_blocks(t: Tables) -> DataFrame:
     """Log text with colour codes reduced to its last progress block."""
-    log = F.concat(F.lit("\x1b[32m"), F.replace("text", F.lit("executor >"), F.lit("")), F.lit("\nexecutor > old\n\x1b[0mexecutor > local\n\r"), "source")
+    log = F.concat(F.lit("\x1b[32mexecutor > old\n\x1b[0mexecutor > local\n\r"), F.replace("text", F.lit("executor >"), F.lit("")), "source")
     return t.documents.select("doc_id", names.last_progress_block(log).alias("block"))
 
 

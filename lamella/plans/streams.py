@@ -26,7 +26,7 @@ def stream_dedupe(t: Tables) -> DataFrame:
 SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n,
        strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_at FROM events GROUP BY 1, 2""")
 def stream_throughput(t: Tables) -> DataFrame:
-    counts = intake.throughput_windows(_events(t), "ts", "6 hours", by=["event_type"])
+    counts = intake.throughput_windows(_events(t), "ts", "3650 days", "6 hours", by=["event_type"])
     table = jobs.drain_updates(counts.withColumn("window_start", F.col("window.start")), ["window_start", "event_type"], "throughput")
     return table.select(second(F.col("window_start")).alias("window_start"), "event_type", "n", second(F.col("first_at")).alias("first_at"))
 
@@ -80,4 +80,4 @@ SELECT batch_id, strftime(last_at, '%Y-%m-%d %H:%M:%S') AS last_at FROM last, ma
 def stream_watchdog(t: Tables) -> DataFrame:
     """Batches without a heartbeat for twelve hours of event time."""
     beats = _events(t).select(F.col("user_id").alias("batch_id"), F.col("ts").alias("at"), F.lit(False).alias("finished"))
-    return jobs.drain(processors.stuck_batches(beats, 12 * 3600), "watchdog").select("batch_id", second(F.col("last_at")).alias("last_at"))
+    return jobs.drain(processors.stuck_batches(beats, 12 * 3600, "1 minute"), "watchdog").select("batch_id", second(F.col("last_at")).alias("last_at"))

@@ -236,7 +236,13 @@ def encode_tiles(t: Tables) -> DataFrame:
         "tile_idx", "dim", F.round(F.col("value").cast("double"), 4).alias("value"))
 
 
-@query()
+@query("""
+WITH v AS (SELECT vec_id AS tile_idx, unnest(embedding)::DOUBLE AS v FROM embeddings),
+e AS (SELECT tile_idx, v, CASE WHEN v = 0 THEN 0 ELSE floor(log2(abs(v))) END AS e FROM v),
+p AS (SELECT tile_idx, v, precision, CASE precision WHEN 'float16' THEN pow(2, greatest(e, -14) - 10) ELSE pow(2, e - 7) END AS step
+      FROM e, (SELECT unnest(['float32', 'float16', 'bfloat16']) AS precision))
+SELECT tile_idx, CASE precision WHEN 'float32' THEN 'm' ELSE 'm_' || precision END AS model, precision,
+       round(sum(CASE precision WHEN 'float32' THEN v ELSE round_even(v / step, 0) * step END), 6) AS total FROM p GROUP BY 1, 2, 3""")
 def cast_half(t: Tables) -> DataFrame:
     """Every vector after a round trip through each storage precision, with the error it makes."""
     rows = t.embeddings.select(F.col("vec_id").alias("tile_idx"), F.lit("m").alias("model"), F.col("embedding").alias("features"), F.lit("float32").alias("precision"))

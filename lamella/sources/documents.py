@@ -39,10 +39,17 @@ def sql_file_source(spark: SparkSession, path: str | None = None, query: str | N
 
 
 def feature_scan(spark: SparkSession, path: str, schema: str = schemas.FEATURES) -> DataFrame:
-    """Tile feature rows; unreadable files are skipped. The schema is given, so none of them is asked for it."""
+    """Tile feature rows; unreadable files are skipped, and ``unreadable_files`` lists them. The schema is given, so none of them is asked for it."""
     return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path)
 
 
+def unreadable_files(spark: SparkSession, path: str, schema: str = schemas.FEATURES) -> DataFrame:
+    """``path`` of the files below a folder of features from which no row could be read: what ``feature_scan`` skips."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    seen = feature_scan(spark, path, schema).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.join(seen, "path", "left_anti")
+
+
 def explode_matrix(rows: DataFrame, features: str = "features") -> DataFrame:
     """One row per tile from slide rows holding an [N, D] matrix; a vector gives one row."""
     kind = rows.schema[features].dataType.simpleString()

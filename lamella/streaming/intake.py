@@ -51,9 +51,9 @@ def known_once(stream: DataFrame, keys: Sequence[str] = ("slide_path",), event_t
     return stream.dropDuplicates(list(keys))
 
 
-def throughput_windows(stream: DataFrame, at: str, window: str = "6 hours", slide: str | None = None,
-                       late: str = "1 hour", by: Sequence[str] = ()) -> DataFrame:
-    """Completions per event-time window."""
+def throughput_windows(stream: DataFrame, at: str, late: str, window: str = "6 hours", slide: str | None = None,
+                       by: Sequence[str] = ()) -> DataFrame:
+    """Completions per event-time window. Rows that come later than ``late`` behind the newest are not counted."""
     frame = F.window(at, window, slide) if slide else F.window(at, window)
     return (stream.withWatermark(at, late).groupBy(frame.alias("window"), *by)
             .agg(F.count("*").alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at")))

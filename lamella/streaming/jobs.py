@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +52,9 @@ def _finish(query: StreamingQuery, limit_s: float | None) -> None:
     elif not query.awaitTermination(limit_s):
         query.stop()
         raise TimeoutError(f"stream {query.id} did not finish within {limit_s} s")
+    late = sum(o.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for o in p["stateOperators"])
+    if late:
+        warnings.warn(f"{late} rows came later than the watermark allows and were not counted", stacklevel=3)
 
 
 def in_order(steps: Sequence[tuple[str, Step]], done_folder: str) -> Step:

@@ -199,7 +199,7 @@ class Watchdog(StatefulProcessor):
         pass
 
 
-def stuck_batches(heartbeats: DataFrame, limit_s: float, late: str = "1 minute") -> DataFrame:
+def stuck_batches(heartbeats: DataFrame, limit_s: float, late: str) -> DataFrame:
     """(batch_id, last_at) of silent batches from heartbeats (batch_id, at, finished), in event time."""
     beats = heartbeats.select(F.col("batch_id").cast("string").alias("batch_id"), F.col("at").cast("timestamp").alias("at"),
                               "finished").withWatermark("at", late)

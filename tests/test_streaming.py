@@ -75,7 +75,7 @@ def test_watchdog(spark, tmp_path):
     beats = [("quiet", 100, False), ("alive", 100, False), ("done", 100, False), ("done", 110, True), ("alive", 7000, False), ("late", 9000, False), ("alive", 14000, False), ("tick", 20000, False)]
     df = stamped(spark, beats, "batch_id:string at:bigint finished:boolean")
     frames = [df.where(F.col("at").cast("long").between(lo, hi)) for lo, hi in ((0, 5000), (5001, 10000), (10001, 15000), (15001, 30000))]
-    stuck = jobs.drain(processors.stuck_batches(feed(spark, str(tmp_path), frames), 7200), "w")
+    stuck = jobs.drain(processors.stuck_batches(feed(spark, str(tmp_path), frames), 7200, "1 minute"), "w")
     assert rows(stuck, "batch_id") == [("late",), ("quiet",)]
     now = F.timestamp_seconds(F.lit(20000 - 60))
     last = df.groupBy("batch_id").agg(F.max("at").alias("at"), F.bool_or("finished").alias("f"))
@@ -92,7 +92,7 @@ def test_group_completion(spark, tmp_path):
 def test_throughput_updates(spark, tmp_path):
     df = stamped(spark, [(i * 600,) for i in range(100)], "done_at:bigint")
     frames = [df.where(F.col("done_at").cast("long") < 30000), df.where(F.col("done_at").cast("long") >= 30000)]
-    counts = intake.throughput_windows(feed(spark, str(tmp_path), frames), "done_at").withColumn("start", F.col("window.start"))
+    counts = intake.throughput_windows(feed(spark, str(tmp_path), frames), "done_at", "1 hour").withColumn("start", F.col("window.start"))
     table = jobs.drain_updates(counts, ["start"], "t")
     want = df.groupBy(F.window("done_at", "6 hours").start.alias("start")).agg(F.count("*").alias("n"))
     assert rows(table, "start", "n") == rows(want, "start", "n")
