@@ -32,21 +32,22 @@ def stream_throughput(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT event_id, epoch_us(ts) AS seen, row_number() OVER (ORDER BY ts, event_id) AS r FROM events),
+WITH RECURSIVE e AS (SELECT event_id, event_type, epoch_us(ts) AS seen, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r FROM events),
 walk AS (
-  SELECT r, event_id, seen AS first_at, 1 AS held, 0 AS batch_no FROM e WHERE r = 1
+  SELECT r, event_type, event_id, seen AS first_at, 1 AS held, 0 AS batch_no FROM e WHERE r = 1
   UNION ALL
-  SELECT e.r, e.event_id, CASE WHEN w.held >= 25 OR e.seen - w.first_at >= 7200000000 THEN e.seen ELSE w.first_at END,
+  SELECT e.r, e.event_type, e.event_id, CASE WHEN w.held >= 25 OR e.seen - w.first_at >= 7200000000 THEN e.seen ELSE w.first_at END,
          CASE WHEN w.held >= 25 OR e.seen - w.first_at >= 7200000000 THEN 1 ELSE w.held + 1 END,
          CASE WHEN w.held >= 25 OR e.seen - w.first_at >= 7200000000 THEN w.batch_no + 1 ELSE w.batch_no END
-  FROM walk w JOIN e ON e.r = w.r + 1)
-SELECT event_id, CAST(batch_no AS BIGINT) AS batch_no FROM walk WHERE held <= 25
-  AND batch_no < (SELECT max(batch_no) FROM walk)""")
+  FROM walk w JOIN e ON e.r = w.r + 1 AND e.event_type = w.event_type)
+SELECT event_type, event_id, CAST(batch_no AS BIGINT) AS batch_no FROM walk""")
 def stream_batches(t: Tables) -> DataFrame:
-    """Batches by size or waiting time; the batch still open at the end stays in the state."""
-    arrivals = _events(t).select(F.format_string("%012d", "event_id").alias("slide_id"), F.col("ts").alias("arrived_at"))
-    out = jobs.drain(processors.batches(arrivals, [25], 7200), "batches")
-    return out.select(F.col("slide_id").cast("bigint").alias("event_id"), "batch_no")
+    """Batches of each event type by size or waiting time; the batches still open at the end are flushed."""
+    def arrivals(events: DataFrame) -> DataFrame:
+        return events.select("event_type", F.format_string("%012d", "event_id").alias("slide_id"), F.col("ts").alias("arrived_at"))
+    out = jobs.drain(processors.batches(arrivals(_events(t)), [25], 7200, by="event_type"), "batches")
+    whole = out.unionByName(processors.open_batches(arrivals(t.events), out, "event_type"))
+    return whole.select(F.col("queue").alias("event_type"), F.col("slide_id").cast("bigint").alias("event_id"), "batch_no")
 
 
 @query("""

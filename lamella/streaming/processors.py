@@ -155,14 +155,27 @@ class BatchTrigger(StatefulProcessor):
         pass
 
 
-def batches(arrivals: DataFrame, sizes: Sequence[int], max_wait_s: float, min_size: int = 1, queues: int = 1,
+def batches(arrivals: DataFrame, sizes: Sequence[int], max_wait_s: float, min_size: int = 1, by: str | None = None,
             timers: bool = False) -> DataFrame:
-    """(queue, batch_no, slide_id) from arrivals (slide_id, arrived_at)."""
-    queue = F.pmod(F.xxhash64("slide_id"), F.lit(queues)).cast("int")
+    """(queue, batch_no, slide_id) from arrivals (slide_id, arrived_at and the column ``by`` that names the queue).
+
+    Every queue is one state key, so ``by`` decides how far the work spreads. Without it there is one queue.
+    ``open_batches`` flushes what is still waiting.
+    """
+    queue = F.col(by).cast("string") if by else F.lit("all")
     rows = arrivals.select(queue.alias("queue"), F.col("slide_id").cast("string").alias("slide_id"),
                            F.col("arrived_at").cast("timestamp").alias("arrived_at"))
     return _run(rows, ["queue"], BatchTrigger(sizes, max_wait_s, min_size, timers),
-                "queue int, batch_no bigint, slide_id string", "ProcessingTime" if timers else "None")
+                "queue string, batch_no bigint, slide_id string", "ProcessingTime" if timers else "None")
+
+
+def open_batches(arrivals: DataFrame, emitted: DataFrame, by: str | None = None) -> DataFrame:
+    """(queue, batch_no, slide_id) of the arrivals no batch has taken yet: each queue's flush, one more batch."""
+    queue = F.col(by).cast("string") if by else F.lit("all")
+    waiting = arrivals.select(queue.alias("queue"), F.col("slide_id").cast("string").alias("slide_id")).join(
+        emitted, ["queue", "slide_id"], "left_anti")
+    last = emitted.groupBy("queue").agg(F.max("batch_no").alias("last"))
+    return waiting.join(last, "queue", "left").select("queue", (F.coalesce("last", F.lit(-1)) + 1).alias("batch_no"), "slide_id")
 
 
 # Watchdog -------------------------------------------------------------------
