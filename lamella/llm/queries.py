@@ -115,7 +115,7 @@ def op9_ftrl_language(t: Tables) -> DataFrame:
 
 @query("""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS body FROM documents),
-w AS (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS words FROM d),
+w AS (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM d),
 grams AS (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 4), ' ') AS g
           FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
 again AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
