@@ -36,7 +36,7 @@ from lamella.llm.tokens import Encoder, default_vocabulary, encoder
 WINDOW = 16
 CHUNK_BITS = 9
 SHORTEST, LONGEST = 128, 8_192
-MAP_BITS = 24
+MAP_BITS = 26
 UNSURE = 65_536
 _BASE = 0x01000193
 
@@ -79,6 +79,15 @@ def chunks(text: str | None, own: Encoder) -> list[bytes]:
     return out
 
 
+def narrow(ids: bytes, own: Encoder) -> bytes:
+    """Ids as stored between the steps: two bytes each where the vocabulary allows it."""
+    return np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes() if len(own.token_bytes) <= 65_536 else ids
+
+
+def wide(stored: bytes, own: Encoder) -> np.ndarray:
+    return np.frombuffer(stored, dtype="<u2" if len(own.token_bytes) <= 65_536 else "<u4").astype("<u4")
+
+
 def digest(chunk: bytes) -> bytes:
     import xxhash
 
@@ -185,7 +194,8 @@ def _batch(rows: list[tuple], fields: str) -> pa.RecordBatch:
 
 
 def _parts(docs: DataFrame, path: str, marked, keep_ids: bool) -> DataFrame:
-    """Finished rows of documents without marked chunks; else a row per piece, with its bytes and ids, or with the chunk's key."""
+    """Finished rows of documents without marked chunks; else a row per piece, with its ids, or with the chunk's key (and its
+    bytes, once per task)."""
     from pyspark import TaskContext
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +227,7 @@ def _parts(docs: DataFrame, path: str, marked, keep_ids: bool) -> DataFrame:
                         while end < len(keys) and not hit[end]:
                             end += 1
                         raw = b"".join(own_chunks[k:end])
-                        out.append((row, doc_id, part, None, raw, None, None, None, own.encode(raw.decode())))
+                        out.append((row, doc_id, part, None, None, None, None, None, narrow(own.encode(raw.decode()), own)))
                         k = end
                     part += 1
             yield _batch(out, PARTS)
@@ -235,13 +245,13 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", d
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
-            ids = [own.encode(raw.decode()) for raw in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["of", "own_raw", "own_ids"])
+            ids = [narrow(own.encode(raw.decode()), own) for raw in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["of", "own_ids"])
     texts = parts.filter("key IS NOT NULL AND raw IS NOT NULL").groupBy(F.col("key").alias("of")).agg(F.max("raw").alias("own_raw"))
-    encoded = texts.mapInArrow(once, "of binary, own_raw binary, own_ids binary")
-    pieces = parts.filter("part >= 0").select("row", "doc_id", "part", "key", "raw", "ids")
+    encoded = texts.mapInArrow(once, "of binary, own_ids binary")
+    pieces = parts.filter("part >= 0").select("row", "doc_id", "part", "key", "ids")
     shared = pieces.filter("key IS NOT NULL").join(encoded, F.col("key") == F.col("of")).select(
-        "row", "doc_id", "part", F.col("own_raw").alias("raw"), F.col("own_ids").alias("ids"))
+        "row", "doc_id", "part", F.col("own_ids").alias("ids"))
     whole = shared.unionByName(pieces.filter("key IS NULL").drop("key"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,15 +261,16 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", d
             return (doc, *_finished(join_pieces(held, own), own, keep_ids))
         for batch in batches:
             out = []
-            for r, d, _, raw, ids in zip(*[c.to_pylist() for c in batch.columns]):
+            for r, d, _, ids in zip(*[c.to_pylist() for c in batch.columns]):
                 if r != row:
                     if held:
                         out.append(close())
                     row, doc, held = r, d, []
-                held.append((raw, np.frombuffer(ids, dtype="<u4")))
+                ids = wide(ids, own)
+                held.append((b"".join(own.bytes_of(ids)), ids))
             yield _batch(out, RESULT)
         if held:
             yield _batch([close()], RESULT)
-    grouped = whole.repartition("row").sortWithinPartitions("row", "part").select("row", "doc_id", "part", "raw", "ids")
+    grouped = whole.repartition("row").sortWithinPartitions("row", "part").select("row", "doc_id", "part", "ids")
     ready = parts.filter("part < 0").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
     return ready.unionByName(grouped.mapInArrow(joined, RESULT))
