@@ -44,9 +44,12 @@ def feature_scan(spark: SparkSession, path: str, schema: str = schemas.FEATURES)
 
 
 def unreadable_files(spark: SparkSession, path: str, schema: str = schemas.FEATURES) -> DataFrame:
-    """``path`` of the files below a folder of features from which no row could be read: what ``feature_scan`` skips."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    seen = feature_scan(spark, path, schema).select(F.col("_metadata.file_path").alias("path")).distinct()
+    """``path`` of the files below a folder of features from which no row could be read: what ``feature_scan`` skips, and files without rows."""
+    def plain(name: str) -> Column:
+        return F.regexp_replace(name, "^([A-Za-z0-9]+):/+", "$1:/")  # the two sources write a scheme with one or three slashes
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(plain("path").alias("path"))
+    seen = feature_scan(spark, path, schema).select(plain("_metadata.file_path").alias("path")).distinct()
     return listed.join(seen, "path", "left_anti")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella import schemas
@@ -14,8 +14,10 @@ from lamella.operators.batching import with_sample_sizes
 from lamella.operators.ordered import first_per_key
 from lamella.sources.files import path_exists
 
-# A comma outside double quotes.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+def _cells(line: Column) -> Column:
+    """Cells of a comma-separated line, quotes kept; a comma inside double quotes is part of its cell. One pass over the line."""
+    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',([^",]*(?:"[^"]*"[^",]*)*)'), 1)
 
 
 def string_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -51,7 +53,7 @@ def annotations_scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 def class_map_scan(spark: SparkSession, path: str) -> DataFrame:
     """(oncotree_code, class) of the rows with exactly two cells; the header is skipped."""
-    lines = spark.read.text(path).select(F.split("value", _COMMA).alias("cells"))
+    lines = spark.read.text(path).select(_cells(F.col("value")).alias("cells"))
     pairs = lines.where(F.size("cells") == 2).select(
         F.trim(F.col("cells")[0]).alias("oncotree_code"), F.trim(F.col("cells")[1]).alias("class"))
     return pairs.where(~((F.col("oncotree_code") == "oncotree_code") & (F.col("class") == "class")))
@@ -66,9 +68,10 @@ def shard_manifest_scan(spark: SparkSession, path: str, models: Sequence[str] |
 
 
 def mpp_scan(spark: SparkSession, path: str) -> DataFrame:
-    """(slide_id, native_mpp, mpp_is_fallback); the last row per slide wins."""
+    """(slide_id, native_mpp, mpp_is_fallback); the last row per slide of the newest file wins."""
     raw = (spark.read.option("header", True).csv(path)
-           .withColumns({"_at": F.col("_metadata.file_block_start"), "_no": F.monotonically_increasing_id()}).na.fill(""))
+           .withColumns({"_at": F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start"),
+                         "_no": F.monotonically_increasing_id()}).na.fill(""))
     source = F.col("source") if "source" in raw.columns else F.lit("")
     rows = raw.where(F.col("slide_id") != "").select(
         "slide_id", numeric.native_mpp(F.col("native_mpp")).alias("native_mpp"),
@@ -94,7 +97,7 @@ def parse_manifest_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     Lines have four cells, or five in the older form whose second is dropped.
     """
     quoted = r'^"(.*)"$'
-    unquoted = F.transform(F.split("value", _COMMA), lambda c: F.when(
+    unquoted = F.transform(_cells(F.col("value")), lambda c: F.when(
         c.rlike(quoted), F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"'))).otherwise(c))
     cells = F.when(F.col("value").contains('"'), unquoted).otherwise(F.split("value", ","))
     rest = [c for c in lines.columns if c != "value"]
