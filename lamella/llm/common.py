@@ -12,6 +12,7 @@ from lamella.session import scratch_dir
 
 #: White space of the word rules: the blank and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]"
+BATCH_ROWS = 1_000
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -21,13 +22,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to Arrow batches of at most ``BATCH_ROWS`` rows: texts are long, and a task holds a batch several times."""
+    if int(df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def by_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
     """``mapInArrow`` of a function from one batch to one batch with the given DDL schema."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def portions(texts: Sequence[str | None], limit: int = 1_000_000) -> Iterable[tuple[int, int]]:

@@ -33,7 +33,7 @@ from lamella.llm.common import by_batches, portions
 FIT_ROWS = 8_000
 BUCKETS = 1 << 16
 FACTORS = 8
-_STORED = 500_000
+_STORED = 100_000
 
 # Groups of bytes whose share in the text is a statistic.
 _GROUPS = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" ", b"\n", b"\t\r\x0b\x0c", b"#*$%&", b"<>|",
