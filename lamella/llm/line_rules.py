@@ -101,15 +101,19 @@ def with_base(rows: DataFrame) -> DataFrame:
     return df.withColumn("base_failed", failed).drop("_words", "_lines", "_w5")
 
 
-def line_key(line: Column, host: Column) -> Column:
-    """Hash of a normalised line and its host; NULL for a line without words."""
-    plain = F.trim(F.regexp_replace(F.translate(F.lower(line), "123456789", "000000000"), f"{SPACE}+", " "))
-    return F.when(plain != "", F.xxhash64(plain, F.coalesce(host, F.lit("")), host.isNull()))
+def line_keys(text: Column, host: Column) -> Column:
+    """Hash of each normalised line with its host, in order; NULL for a line without words.
+
+    The text is normalised as a whole before it is cut, which costs less than line by line: no step takes or makes a line end.
+    """
+    same = F.regexp_replace(F.translate(F.lower(text), "123456789", "000000000"), r"[\x20\x09\x0B-\x0D]+", " ")
+    plain = F.split(F.regexp_replace(same, r"(?<![^\n]) | (?=\n|\z)", ""), "\n", -1)
+    return F.transform(plain, lambda line: F.when(line != "", F.xxhash64(line, F.coalesce(host, F.lit("")), host.isNull())))
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
     """One row per document and different line: line key, host, hash of the whole text."""
-    keys = F.array_distinct(F.array_compact(F.transform(F.split("body", "\n", -1), lambda line: line_key(line, F.col("host")))))
+    keys = F.array_distinct(F.array_compact(line_keys(F.col("body"), F.col("host"))))
     return rows.select(F.xxhash64("body").alias("doc"), "host", F.explode(keys).alias("key"))
 
 
@@ -129,23 +133,28 @@ def boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE) -> Da
     return written(over.filter((F.col("n") > floor) & (F.col("n") > share * F.col("docs"))).select("key"), "boilerplate")
 
 
+def _rest(rows: DataFrame) -> DataFrame:
+    """Add ``rest``: the lines of ``body`` that stay, by the flags in ``stays``."""
+    marked = F.zip_with(F.split("body", "\n", -1), F.col("stays"), lambda line, stays: F.when(stays, line))
+    return rows.withColumn("rest", F.array_join(marked, "\n")).drop("keys", "stays")
+
+
 def without_boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE) -> DataFrame:
     """``prepared`` rows with ``rest`` added: the text without boilerplate lines."""
     over, body = boilerplate(rows, floor, share), F.col("body")
     few = over.limit(LISTED + 1).collect()
     if not few:
         return rows.withColumn("rest", body)
-    lines = F.split(body, "\n", -1)
+    keyed = rows.withColumn("keys", line_keys(body, F.col("host")))
     if len(few) <= LISTED:
         listed = [r[0] for r in few]
-        left = F.filter(lines, lambda line: ~F.coalesce(line_key(line, F.col("host")).isin(listed), F.lit(False)))
-        return rows.withColumn("rest", F.array_join(left, "\n"))
+        return _rest(keyed.withColumn("stays", F.transform("keys", lambda key: ~F.coalesce(key.isin(listed), F.lit(False)))))
     # Too many to name: the keys to remove come per different text, by joins on hashes.
     held = _keyed(rows).join(over, "key", "left_semi").distinct()
     per_doc = held.groupBy("doc", F.col("host").alias("of")).agg(F.collect_set("key").alias("gone"))
-    joined = rows.join(per_doc, (F.xxhash64("body") == F.col("doc")) & F.col("host").eqNullSafe(F.col("of")), "left")
-    left = F.filter(lines, lambda line: ~F.coalesce(F.array_contains("gone", line_key(line, F.col("host"))), F.lit(False)))
-    return joined.withColumn("rest", F.when(F.col("gone").isNull(), body).otherwise(F.array_join(left, "\n"))).drop("doc", "of", "gone")
+    joined = keyed.join(per_doc, (F.xxhash64("body") == F.col("doc")) & F.col("host").eqNullSafe(F.col("of")), "left")
+    stays = F.transform("keys", lambda key: ~F.coalesce(F.array_contains("gone", key), F.lit(False)))
+    return _rest(joined.withColumn("stays", stays)).drop("doc", "of", "gone")
 
 
 def _judged(docs: DataFrame, text: str, host: str, floor: int, share: float, depleted: float) -> DataFrame:

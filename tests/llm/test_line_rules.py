@@ -50,6 +50,7 @@ def sample():
     rows += [(300 + i, f"{'All rights reserved 1 by the owners of this fine page and of many other pages'}\n{word()}", "hot", None) for i in range(40)]
     rows += [(400, None, None, None), (401, "", "b", ""), (402, " \n\t\n", "b", ""), (None, line(30), "b", ""),
              (403, " ".join(["same"] * 5000), "hot", ""), (404, "one two three four five six " * 3, "b", "")]
+    rows += [(410 + i, f"{' a' * 12}\u2028 tail \x0b of line\u0085 x\r\n  all rights reserved 2 \n{i}", "hot", None) for i in range(9)]
     return rows + rows[5:8] + [(500 + i, rows[3][1], "hot", "") for i in range(60)]
 
 
