@@ -181,10 +181,15 @@ def fit(docs: DataFrame, learn_from, per_language: int = FIT_PER_LANGUAGE) -> Mo
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(learn_from).filter(F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
-    # The ids are bounded by the sample; repeated ids come back once.
-    sample = rows.filter(F.col("text").isNotNull()).join(chosen.select("doc_id").distinct(), "doc_id").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    # Of a language with n documents, the hash first lets about 4 x per_language through, so that few are ranked.
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    few = rows.select("doc_id", "lang", place.alias("place")).join(sizes, "lang").filter(
+        F.col("place") * F.col("n") < F.lit(4 * per_language << 30))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = few.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
+    # The ids sent are at most ``per_language`` numbers a language; repeated ids come back once.
+    sample = rows.filter(F.col("text").isNotNull()).join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     found = sample.toPandas().sort_values(["doc_id", "lang"])
     languages = sorted(set(found["lang"]))
     if not languages:
