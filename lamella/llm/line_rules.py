@@ -1,16 +1,18 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
 Lines are normalised (lower case, digits as 0, white space collapsed) and hashed
-with their host. A line is boilerplate when the different documents of its host
-that hold it exceed ``share`` of that host's different documents, and ``floor``.
+with their host. A line is boilerplate when more than ``floor`` different documents
+of its host hold it, and these are more than ``share`` of that host's different
+documents or more than ``most``. So a host of a few documents loses its planted
+lines, and the largest host loses a line of many documents whatever their share.
 Boilerplate lines are removed; a document that loses ``depleted`` of its words or
 more, or that fails the base rules, is rejected. Exact copies count as one
 document, so that a much copied page does not make its own lines boilerplate
 (removing copies is the near-duplicate operator's work).
 
 How it scales: counts per line combine before the shuffle, with plain counts
-first; only lines above the floor by plain count are counted again by different
-text. The lines over their limit number at most (all lines) / ``floor``. Up to
+first; only lines above their host's limit by plain count are counted again by
+different text. The lines over their limit number at most (all lines) / ``floor``. Up to
 ``LISTED`` of them are named in the plan, so that the texts do not move; beyond
 that the same rows come from joins on the hash.
 
@@ -27,8 +29,9 @@ from pyspark.sql import functions as F
 
 from lamella.llm.common import SPACE, written
 
-FLOOR = 20
+FLOOR = 3
 SHARE = 0.02
+MOST = 1000
 DEPLETED = 0.8
 LISTED = 4096
 WINDOW = 5
@@ -117,20 +120,24 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("body").alias("doc"), "host", F.explode(keys).alias("key"))
 
 
-def boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE) -> DataFrame:
+def boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE, most: int | None = MOST) -> DataFrame:
     """``key`` of the lines over the limit of their host, for ``prepared`` rows."""
     keyed = _keyed(rows)
-    frequent = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > floor).select("key"), "frequent-lines")
+    sizes = written(rows.select(F.col("host").alias("of"), F.xxhash64("body").alias("doc")).distinct()
+                        .groupBy("of").agg(F.count(F.lit(1)).alias("docs")), "hosts")
+
+    def over(lines: DataFrame) -> DataFrame:
+        counted = lines.groupBy("key", "host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > floor)
+        limit = F.col("n") > share * F.col("docs")
+        return counted.join(sizes, F.col("host").eqNullSafe(F.col("of"))).filter(
+            limit if most is None else limit | (F.col("n") > most)).select("key")
+    frequent = written(over(keyed), "frequent-lines")
     few = frequent.limit(LISTED + 1).collect()
     if len(few) <= LISTED:
         again = keyed.filter(F.col("key").isin([r[0] for r in few]))
     else:
         again = keyed.join(frequent, "key", "left_semi")
-    counted = again.distinct().groupBy("key", "host").agg(F.count(F.lit(1)).alias("n"))
-    sizes = (rows.select(F.col("host").alias("of"), F.xxhash64("body").alias("doc")).distinct()
-                 .groupBy("of").agg(F.count(F.lit(1)).alias("docs")))
-    over = counted.join(sizes, F.col("host").eqNullSafe(F.col("of")))
-    return written(over.filter((F.col("n") > floor) & (F.col("n") > share * F.col("docs"))).select("key"), "boilerplate")
+    return written(over(again.distinct()), "boilerplate")
 
 
 def _rest(rows: DataFrame) -> DataFrame:
@@ -139,9 +146,9 @@ def _rest(rows: DataFrame) -> DataFrame:
     return rows.withColumn("rest", F.array_join(marked, "\n")).drop("keys", "stays")
 
 
-def without_boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE) -> DataFrame:
+def without_boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE, most: int | None = MOST) -> DataFrame:
     """``prepared`` rows with ``rest`` added: the text without boilerplate lines."""
-    over, body = boilerplate(rows, floor, share), F.col("body")
+    over, body = boilerplate(rows, floor, share, most), F.col("body")
     few = over.limit(LISTED + 1).collect()
     if not few:
         return rows.withColumn("rest", body)
@@ -157,26 +164,26 @@ def without_boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHAR
     return _rest(joined.withColumn("stays", stays)).drop("doc", "of", "gone")
 
 
-def _judged(docs: DataFrame, text: str, host: str, floor: int, share: float, depleted: float) -> DataFrame:
-    scored = with_base(without_boilerplate(prepared(docs, text, host), floor, share))
+def _judged(docs: DataFrame, text: str, host: str, floor: int, share: float, most: int | None, depleted: float) -> DataFrame:
+    scored = with_base(without_boilerplate(prepared(docs, text, host), floor, share, most))
     lost = F.col("word_chars") - F.char_length(F.translate("rest", BLANKS, "")) >= depleted * F.col("word_chars")
     return scored.withColumn("kept", ~F.col("base_failed") & ~lost)
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", floor: int = FLOOR, share: float = SHARE,
-          depleted: float = DEPLETED) -> DataFrame:
+          depleted: float = DEPLETED, most: int | None = MOST) -> DataFrame:
     """``docs`` with the base counts, base_failed, kept, and rest, the text without boilerplate lines.
 
     An input column of the same name as a result gives way to it.
     """
     stay = [F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in RESULTS]
-    return _judged(docs, text, host, floor, share, depleted).select(*stay, *RESULTS)
+    return _judged(docs, text, host, floor, share, most, depleted).select(*stay, *RESULTS)
 
 
 def clean(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that are kept, all columns, their boilerplate lines removed."""
     # A filter may not pass a column that is not deterministic. Without it the optimizer would move the filter below
     # the steps of ``with_base`` and repeat them inside each other.
-    judged = _judged(docs, text, host, FLOOR, SHARE, DEPLETED).withColumn("row", F.monotonically_increasing_id())
+    judged = _judged(docs, text, host, FLOOR, SHARE, MOST, DEPLETED).withColumn("row", F.monotonically_increasing_id())
     judged = judged.filter(F.col("kept") & (F.col("row") >= 0))
     return judged.select(*[(F.col("rest") if c == text else F.col(f"in_{i}")).alias(c) for i, c in enumerate(docs.columns)])

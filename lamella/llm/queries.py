@@ -140,5 +140,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND lost < 0.8 * word_chars AS kept FROM judged
 """)
 def op10_line_frequency(t: Tables) -> DataFrame:
-    return line_rules.judge(t.documents.select("doc_id", "text", "source")).select(
+    # The limit of the SQL above, not the pipeline's.
+    return line_rules.judge(t.documents.select("doc_id", "text", "source"), floor=20, most=None).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
