@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm import fm_quality, line_rules, packing, pii, simhash
+from lamella.llm import fm_quality, line_rules, near_copies, packing, pii
 from lamella.llm.common import fold, written
 
 
@@ -26,8 +26,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies (five-word similarity of 0.8, or three bits of SimHash) stays: the one with the smallest doc_id."""
+    return near_copies.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
