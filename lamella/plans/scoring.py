@@ -148,7 +148,7 @@ def bootstrap_ci(t: Tables) -> DataFrame:
 def linear_probe(t: Tables) -> DataFrame:
     """Grid-searched logistic regression on all embeddings, whole source ids kept together."""
     rows = t.embeddings.select(F.floor(F.col("vec_id") / 5).alias("slide_id"), (F.col("label") >= 5).cast("int").alias("label"), F.col("embedding").alias("features"))
-    result = probe.linear_probe(rows, c_values=(0.01, 1.0), folds=2, seeds=1, replicates=200, max_iter=20)
+    result = probe.linear_probe(rows)
     return result.summary
 
 
@@ -157,7 +157,7 @@ def bag_probe(t: Tables) -> DataFrame:
     """Slide-level benchmark on pooled embeddings."""
     tiles = t.embeddings.select(F.floor(F.col("vec_id") / 2).alias("slide_id"), F.col("embedding").alias("features"))
     labels = t.embeddings.groupBy(F.floor(F.col("vec_id") / 2).alias("slide_id")).agg(F.max((F.col("label") >= 5).cast("int")).alias("label"))
-    result = probe.bag_probe(tiles, labels, c_values=(0.1,), folds=2, seeds=1, replicates=200, max_iter=20)
+    result = probe.bag_probe(tiles, labels)
     return result.summary
 
 
