@@ -17,6 +17,7 @@ extra columns need no rule; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,14 @@ _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"[\x20:=#-]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+_LENGTHS = {part[:2]: int(part[2:]) for part in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 "
+    "MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 "
+    "SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+_HEAD = re.compile(r"[\x20:=#-]{0,3}([A-Z]{2})[0-9]{2}")
+_BY_LENGTH = {n: re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){%d}%s(?![A-Za-z0-9])" % (
+    (n - 4) // 4, r"\x20?[A-Z0-9]{%d}" % (n % 4) if n % 4 else "")) for n in set(_LENGTHS.values())}
 _LOGIN = re.compile(r"([A-Za-z0-9._~%!$&*+,;=-]+:[A-Za-z0-9._~%!$&*+,;=-]+)@")
 _DIGITS = frozenset("0123456789")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -51,12 +60,26 @@ def iban_valid(value: str) -> bool:
     return 15 <= len(compact) <= 34 and int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
 
 
+def iban_at(text: str, at: int) -> tuple[int, int] | None:
+    """Bounds of the valid IBAN behind a cue that ends at ``at``: of its country's length, or else as far as it goes."""
+    head = _HEAD.match(text, at)
+    if head is None:
+        return None
+    if head[1] in _LENGTHS:
+        exact = _BY_LENGTH[_LENGTHS[head[1]]].match(text, head.start(1))
+        if exact is not None and iban_valid(exact[0]):
+            return exact.span()
+    match = _IBAN.match(text, at)
+    return match.span(1) if match is not None and iban_valid(match[1]) else None
+
+
 def automaton():
     """The anchors; each hit carries the anchor's length and kind."""
     import ahocorasick
 
     found = ahocorasick.Automaton()
-    anchors = {"@": "email", "+": "phone", "://": "login", "IBAN": "iban", "iban": "iban",
+    anchors = {"@": "email", "+": "phone", "://": "login",
+               **{"".join(cue): "iban" for cue in product("iI", "bB", "aA", "nN")},
                **{d: "card" for d in "0123456789"}, **{f".{d}": "ip" for d in "0123456789"}}
     for anchor, kind in anchors.items():
         found.add_word(anchor, (len(anchor), kind))
@@ -105,9 +128,9 @@ def find(text: str | None, anchors) -> list[tuple[int, int, int]]:
             if match is not None and 10 <= sum(c in _DIGITS for c in match[0]) <= 15:
                 spans.append((at, 3, match.end()))
         elif kind == "iban":
-            match = _IBAN.match(text, last + 1)
-            if match is not None and iban_valid(match[1]):
-                spans.append((match.start(1), 4, match.end(1)))
+            bounds = iban_at(text, last + 1)
+            if bounds is not None:
+                spans.append((bounds[0], 4, bounds[1]))
         else:
             match = _LOGIN.match(text, last + 1)
             if match is not None:
