@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.llm import chunked_bpe, collision_ann, fm_quality, language, line_rules, orc_tokens, packing, pii, quote_links, simhash
+from lamella.llm import (chunked_bpe, collision_ann, filter_audit, fm_quality, importance, language, line_rules, orc_tokens, packing, piece_agenda,
+                         pii, quote_links, simhash)
 from lamella.llm.common import fold
 from lamella.plans.catalog import Query, Tables
 from lamella.session import scratch_dir
@@ -143,3 +144,67 @@ def op10_line_frequency(t: Tables) -> DataFrame:
     # The limit of the SQL above, not the pipeline's.
     return line_rules.judge(t.documents.select("doc_id", "text", "source"), floor=20, most=None).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(body, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM d),
+firsts AS (SELECT body, min(doc_id) AS least FROM d GROUP BY body),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+told AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                CASE WHEN len(words) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN w.doc_id > least THEN 'E' ELSE '' END AS fails
+         FROM w JOIN firsts USING (body) LEFT JOIN l ON l.doc_id = w.doc_id),
+cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM told GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+met AS (SELECT *, CASE WHEN instr(fails, o[1]) > 0 THEN 1 WHEN instr(fails, o[2]) > 0 THEN 2 WHEN instr(fails, o[3]) > 0 THEN 3
+                       WHEN instr(fails, o[4]) > 0 THEN 4 WHEN instr(fails, o[5]) > 0 THEN 5 ELSE 6 END AS hit FROM cells, orders),
+each AS (SELECT part, o AS filter_order, step, o[step] AS own, coalesce(sum(n) FILTER (hit > step), 0) AS kept,
+                coalesce(sum(n) FILTER (hit = step), 0) AS removed, coalesce(sum(n) FILTER (hit < step AND instr(fails, o[step]) > 0), 0) AS redundant,
+                coalesce(sum(n) FILTER (fails = o[step]), 0) AS unique_fails, coalesce(sum(good) FILTER (hit = step), 0) AS good_lost,
+                coalesce(sum(toxic) FILTER (hit = step), 0) AS toxic_lost
+         FROM met, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step) GROUP BY part, o, step)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM each
+""")
+def op11_filter_audit(t: Tables) -> DataFrame:
+    return filter_audit.audit(t.documents, t.labels)
+
+
+@query()
+def op12_piece_agenda(t: Tables) -> DataFrame:
+    decimals = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return piece_agenda.encode(t.documents).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(decimals.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "agrees")
+
+
+@query("""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+               lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+cut AS (SELECT 'd' AS of, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark),
+words AS (SELECT of, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM cut),
+used AS (SELECT of, doc_id, unnest(w) AS w FROM words),
+spelled AS (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM used)),
+hashed AS (SELECT w, xor(list_reduce(list_concat([4294967295], list_transform(range(length(x) // 2), lambda j: CAST('0x' || substr(x, 2 * j + 1, 2) AS BIGINT))),
+                  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c // 256)), 4294967295) % 10000 AS bucket FROM spelled, crc),
+counted AS (SELECT bucket, CAST(count(*) FILTER (of = 'd') AS DOUBLE) AS s, CAST(count(*) FILTER (of = 'b') AS DOUBLE) AS t
+            FROM used JOIN hashed USING (w) GROUP BY bucket),
+gained AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM counted) + 10000)
+                          / ((s + 1) * ((SELECT sum(t) FROM counted) + 10000)))) AS BIGINT) AS gain FROM counted),
+weighed AS (SELECT doc_id, sum(gain) AS weight FROM used JOIN hashed USING (w) JOIN gained USING (bucket) WHERE of = 'd' GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                  CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT)
+                       + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+           FROM words LEFT JOIN weighed USING (doc_id) WHERE of = 'd'),
+ranked AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+                  count(*) FILTER (n_features >= 20) OVER () AS enough FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * enough // 100 THEN place END AS rank FROM ranked
+""")
+def op13_prefix_crc(t: Tables) -> DataFrame:
+    return importance.resample(t.documents, t.benchmark).select("doc_id", "n_features", "weight", "score", "rank")
