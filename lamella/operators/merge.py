@@ -61,12 +61,17 @@ def supports_merge(spark: SparkSession, table: str) -> bool:
     return bool(rows) and rows[0].data_type.lower() in {"delta", "iceberg", "hudi"}
 
 
-def merge_into(source: DataFrame, table: str, keys: Sequence[str], delete_missing: bool = True) -> None:
-    """Row-level MERGE through the catalog, over the columns both sides have."""
+def merge_into(source: DataFrame, table: str, keys: Sequence[str], delete_missing: bool = True, evolve: bool = True) -> None:
+    """Row-level MERGE through the catalog. With ``evolve`` source-only columns are added to the table; otherwise only the
+    columns both sides have are set, and target-only ones keep their value on update and are NULL on insert."""
     spark = source.sparkSession
     target = spark.table(table)
-    for name in [c for c in source.columns if c not in target.columns]:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` {source.schema[name].dataType.simpleString()})")
+    extra = [c for c in source.columns if c not in target.columns]
+    if evolve:
+        for name in extra:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` {source.schema[name].dataType.simpleString()})")
+    else:
+        source = source.drop(*extra)
     condition = None
     for k in keys:
         same = F.expr(f"{table}.{k} = _source.{k}")

@@ -96,10 +96,14 @@ def complete_slides(state: DataFrame, results: DataFrame, now: Column) -> DataFr
         "status": F.when(F.col("_ok"), "SUCCEEDED").otherwise("FAILED"), "completed_at": now}).select(*state.columns)
 
 
+def retryable(max_retries: int = 0) -> Column:
+    """FAILED rows within the retry budget."""
+    return (F.col("status") == "FAILED") & predicates.within_retry_budget(F.col("fail_count"), max_retries)
+
+
 def retry_failed(state: DataFrame, max_retries: int = 0) -> DataFrame:
     """FAILED rows within the retry budget become PENDING again."""
-    hit = (F.col("status") == "FAILED") & predicates.within_retry_budget(F.col("fail_count"), max_retries)
-    return _update(state, hit, {"status": F.lit("PENDING"), "batch_id": _null("string"),
+    return _update(state, retryable(max_retries), {"status": F.lit("PENDING"), "batch_id": _null("string"),
                                 "dispatched_at": _null("timestamp"), "error_msg": _null("string")})
 
 

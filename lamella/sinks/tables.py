@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lamella.operators import merge, quality
 from lamella.session import stable
+from lamella.sinks.buckets import BucketTable
 from lamella.sources import shards
 
 
@@ -85,13 +86,15 @@ def manifest_sink(emitted: Sequence[DataFrame], path: str) -> None:
 
 
 def merge_sink(source: DataFrame, folder: str, keys: Sequence[str], version: int,
-               delete_missing: bool = True) -> DataFrame:
-    """Merge into a versioned Parquet table and return the new version."""
-    from lamella.sources.files import latest_snapshot
-
-    spark = source.sparkSession
-    target = latest_snapshot(spark, folder, "v") if version > 0 else source.limit(0)
-    return spark.read.parquet(versioned_sink(merge.merge(target, source, keys, delete_missing), folder, version))
+               delete_missing: bool = True, evolve: bool = True) -> DataFrame:
+    """Merge into a bucketed Parquet table and return the new version. Only buckets with changes are rewritten."""
+    table = BucketTable(source.sparkSession, folder, keys[0])
+    if version == 0:
+        table.create(merge.merge(source.limit(0), source, keys, delete_missing))
+    else:
+        table.advance(version, lambda target: merge.merge(target, source, keys, delete_missing, evolve),
+                      None if delete_missing else lambda _: source.select(*keys))
+    return table.read(version)
 
 
 def audit_sink(spark, path: str, source_file: str, source_rows: int, target_rows: int, target: str) -> bool:

@@ -5,15 +5,15 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lamella.operators import merge, state
 from lamella.operators.inventory import scd_merge
 from lamella.session import scratch_dir
-from lamella.sinks.tables import versioned_sink
-from lamella.sources.files import latest_snapshot, path_exists
+from lamella.sinks.buckets import BucketTable
+from lamella.sources.files import path_exists
 
 Step = Callable[[DataFrame, int], None]
 
@@ -73,52 +73,53 @@ def in_order(steps: Sequence[tuple[str, Step]], done_folder: str) -> Step:
     return run
 
 
-class StateTable:
-    """A state table kept as Parquet versions; a version is the id of the batch that wrote it."""
+#: Steps of one micro-batch may change one table in turn; each has its place in the order of versions.
+STEPS = 10
+KEEP = 2
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
 
-    def read(self) -> DataFrame:
-        return latest_snapshot(self.spark, self.folder, "v")
+class StateTable(BucketTable):
+    """A state table in buckets of its first column; a version belongs to one step of one micro-batch.
 
-    def create(self, rows: DataFrame) -> None:
-        versioned_sink(rows, self.folder, 0)
+    Each step rewrites only the buckets it changes, and files that the last
+    ``KEEP`` versions do not read are deleted.
+    """
 
-    def advance(self, batch_id: int, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Write the next version once; a repeated batch finds it there and does nothing."""
-        version = batch_id + 1
-        if not path_exists(self.spark, f"{self.folder}/v{version:012d}.parquet/_SUCCESS"):
-            before = self.spark.read.parquet(f"{self.folder}/v{version - 1:012d}.parquet")
-            change(before).write.mode("overwrite").parquet(f"{self.folder}/v{version:012d}.parquet")
+    def step(self, batch_id: int, change: Callable[[DataFrame], DataFrame], touched: Callable[[DataFrame], DataFrame] | None = None,
+             place: int = 0) -> list[int]:
+        """The change of one micro-batch, once: a repeated one finds its version and does nothing."""
+        changed = self.advance((batch_id + 1) * STEPS + place, change, touched)
+        self.expire(KEEP)
+        return changed
 
 
 def intake_to_state(table: StateTable, now: Column) -> Step:
     """New paths of each micro-batch become PENDING rows."""
-    return lambda batch, batch_id: table.advance(batch_id, lambda s: state.insert_new(s, batch, now))
+    return lambda batch, batch_id: table.step(batch_id, lambda s: state.insert_new(s, batch, now), lambda _: batch.select("slide_path"))
 
 
 def retry_sweep(table: StateTable, max_retries: int) -> Step:
     """Failed rows within their budget are queued again on every trigger."""
-    return lambda batch, batch_id: table.advance(batch_id, lambda s: state.retry_failed(s, max_retries))
+    return lambda batch, batch_id: table.step(
+        batch_id, lambda s: state.retry_failed(s, max_retries), lambda s: s.where(state.retryable(max_retries)).select("slide_path"), 1)
 
 
 def requeue_lost(table: StateTable) -> Step:
     """Rows of the batch (slide_path) whose outputs are gone are queued again."""
-    return lambda batch, batch_id: table.advance(batch_id, lambda s: state.requeue_lost(s, batch))
+    return lambda batch, batch_id: table.step(batch_id, lambda s: state.requeue_lost(s, batch), lambda _: batch.select("slide_path"), 2)
 
 
 def snapshot_to_inventory(table: StateTable, sync_date: Column) -> Step:
-    """Each micro-batch is a whole snapshot: merged into the dated inventory, also when rows reappear."""
-    return lambda batch, batch_id: table.advance(
-        batch_id, lambda old: scd_merge(old, batch, sync_date).drop("change"))
+    """Each micro-batch is a whole snapshot: merged into the dated inventory, also when rows reappear. Buckets without a change stay."""
+    return lambda batch, batch_id: table.step(batch_id, lambda old: scd_merge(old, batch, sync_date).drop("change"))
 
 
-def export_merge(table: StateTable, keys: Sequence[str], newest: str, delete_missing: bool = False) -> Step:
+def export_merge(table: StateTable, keys: Sequence[str], newest: str, delete_missing: bool = False, evolve: bool = True) -> Step:
     """The newest exported row per key of each micro-batch is merged into the target."""
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = merge.latest_per_key(batch, keys, newest)
-        table.advance(batch_id, lambda target: merge.merge(target, rows, keys, delete_missing))
+        table.step(batch_id, lambda target: merge.merge(target, rows, keys, delete_missing, evolve),
+                   None if delete_missing else lambda _: rows.select(*keys))
     return step
 
 

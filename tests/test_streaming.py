@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lamella.functions import predicates
 from lamella.operators import batching, merge
+from lamella.sinks.buckets import BucketTable
 from lamella.streaming import intake, jobs, processors
 from tests.conftest import rows
 
@@ -163,3 +164,70 @@ def test_snapshots_and_exports_stream(spark, tmp_path):
     jobs.export_merge(target, ["slide_id", "model"], "at")(export, 0)
     assert rows(target.read(), "slide_id", "v") == [("s1", "new"), ("s2", "x")]
     assert merge.latest_per_key(export, ["slide_id"], "at").count() == 2
+
+
+def _files(folder):
+    return {str(f.relative_to(folder)) for f in folder.rglob("*.parquet")}
+
+
+def test_bucket_table_rewrites_only_changed_buckets(spark, tmp_path):
+    table = BucketTable(spark, str(tmp_path / "t"), "id")
+    table.create(spark.createDataFrame([(f"k{i}", i, "old") for i in range(400)], "id string, n int, v string"))
+    table.create(spark.range(1).select(F.lit("never").alias("id")))
+    first = _files(tmp_path / "t")
+    assert len({f.split("/")[1] for f in first}) == 16 and table.versions() == [0]
+    change = lambda t: t.withColumn("v", F.when(F.col("id") == "k7", "new").otherwise(F.col("v")))
+    for touched in (None, lambda t: t.where("id = 'k7'")):
+        version = table.versions()[-1] + 1
+        assert len(table.advance(version, change if touched else lambda t: change(t).withColumn("v", F.concat("v", F.lit("")))
+                                 , touched)) == 1
+        assert table.advance(version, lambda t: t.limit(0)) == table.rewritten(version)
+    assert first < _files(tmp_path / "t") and len({f.rsplit("/", 1)[0] for f in _files(tmp_path / "t") - first}) == 2
+    assert table.read().count() == 400 and rows(table.read().where("v = 'new'"), "id", "n") == [("k7", 7)]
+    assert table.read(0).where("v = 'new'").count() == 0 and {r.version for r in table.read(versions=True).where("id = 'k7'").collect()} == {2}
+    assert table.advance(3, lambda t: t) == [] and table.read().count() == 400
+
+
+def test_bucket_table_empties_grows_and_expires(spark, tmp_path):
+    table = BucketTable(spark, str(tmp_path / "t"), buckets=4)
+    table.create(spark.createDataFrame([], "id bigint, v string"))
+    assert table.read().count() == 0
+    new = spark.createDataFrame([(1, "a"), (2, None), (None, "n")], "id bigint, v string")
+    table.advance(5, lambda t: t.unionByName(new), lambda _: new)
+    assert rows(table.read()) == [(1, "a"), (2, None), (None, "n")]
+    table.advance(6, lambda t: t.withColumn("extra", F.when(F.col("id") == 1, 9)), lambda t: t.where("id = 1"))
+    assert rows(table.read(), "id", "v", "extra") == [(1, "a", 9), (2, None, None), (None, "n", None)]
+    table.advance(7, lambda t: t.where("false"))
+    assert table.read().count() == 0 and table.read(6).count() == 3
+    before = len(_files(tmp_path / "t"))
+    assert table.expire(keep=2) > 0 and len(_files(tmp_path / "t")) < before and table.read(6).count() == 3
+    table.expire(keep=1)
+    assert table.read().count() == 0 and table.read().columns == ["id", "v", "extra"]
+    # A version that was cut off before its commit is not seen, and is written again.
+    (tmp_path / "t" / "__version=000000000008" / "__bucket=0").mkdir(parents=True)
+    assert table.versions()[-1] == 7
+    table.advance(8, lambda t: t.unionByName(new, allowMissingColumns=True), lambda _: new)
+    assert table.read().count() == 3
+
+
+def test_steps_of_one_micro_batch_change_one_table(spark, tmp_path):
+    table = jobs.StateTable(spark, str(tmp_path / "state"))
+    kinds = "slide_path string, slide_id string, status string, batch_id string, fail_count int, dispatched_at timestamp, error_msg string, first_seen_at timestamp, oncotree_code string, needs_download boolean"
+    table.create(spark.createDataFrame([(f"p{i}", f"s{i}", ("FAILED", "SUCCEEDED")[i % 2], "B", i % 5, None, "x", None, "", False) for i in range(60)], kinds))
+    arrivals = spark.createDataFrame([("p1", "s1"), ("p70", "s70")], "slide_path string, slide_id string")
+    steps = [("intake", jobs.intake_to_state(table, F.current_timestamp())), ("retry", jobs.retry_sweep(table, 2)), ("lost", jobs.requeue_lost(table))]
+    run = jobs.in_order(steps, str(tmp_path / "done"))
+    for batch_id in (0, 0, 1):
+        run(arrivals, batch_id)
+    want = {f"p{i}": "PENDING" if (i % 2 == 0 and i % 5 < 2) or i == 1 else ("FAILED", "SUCCEEDED")[i % 2] for i in range(60)} | {"p70": "PENDING"}
+    assert {r.slide_path: r.status for r in table.read().collect()} == want
+    assert len(table.versions()) == 7 and table.rewritten(20) and len(table.rewritten(20)) <= 2
+
+
+def test_export_on_the_columns_both_sides_have(spark, tmp_path):
+    target = jobs.StateTable(spark, str(tmp_path / "target"))
+    target.create(spark.createDataFrame([("s1", 1, "kept", "old"), ("s3", 1, "k3", "o3")], "slide_id string, at int, own string, v string"))
+    export = spark.createDataFrame([("s1", 2, "new", "x"), ("s2", 2, "two", "y")], "slide_id string, at int, v string, added string")
+    jobs.export_merge(target, ["slide_id"], "at", evolve=False)(export, 0)
+    assert target.read().columns == ["slide_id", "at", "own", "v"]
+    assert rows(target.read()) == [("s1", 2, "kept", "new"), ("s2", 2, None, "two"), ("s3", 1, "k3", "o3")]
