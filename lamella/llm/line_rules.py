@@ -10,9 +10,10 @@ more, or that fails the base rules, is rejected. Exact copies count as one
 document, so that a much copied page does not make its own lines boilerplate
 (removing copies is the near-duplicate operator's work).
 
-How it scales: counts per line combine before the shuffle, with plain counts
-first; only lines above their host's limit by plain count are counted again by
-different text. The lines over their limit number at most (all lines) / ``floor``. Up to
+How it scales: one pass over the texts writes their counts and, per line, a hash
+and a size; everything after it reads these numbers. Counts per line combine
+before the shuffle, with plain counts first; only lines above their host's limit by plain
+count are counted again by different text. The lines over their limit number at most (all lines) / ``floor``. Up to
 ``LISTED`` of them are named in the plan, so that the texts do not move; beyond
 that the same rows come from joins on the hash.
 
@@ -91,17 +92,22 @@ def prepared(docs: DataFrame, text: str, host: str) -> DataFrame:
 
 
 def with_base(rows: DataFrame) -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed of ``body``."""
+    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed of ``body``, and of each of its lines,
+    in order, ``keys`` (NULL without a word) and ``sizes`` (characters in words)."""
     body = F.col("body")
-    lines = F.filter(F.split(body, "\n", -1), lambda line: F.translate(line, BLANKS, "") != "")
-    df = (rows.withColumn("_words", words_of(body)).withColumn("_lines", lines)
+    symbols = F.when(body.rlike("[#*$%&|<>]"), F.char_length(body) - F.char_length(F.translate(body, "#*$%&|<>", ""))).otherwise(F.lit(0))
+    worded = F.filter("_lines", lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    df = (rows.withColumn("_words", words_of(body)).withColumn("_lines", F.split(body, "\n", -1))
+              .withColumn("keys", line_keys(body, F.col("host")))
+              .withColumn("sizes", F.transform("_lines", lambda line: F.char_length(F.translate(line, BLANKS, ""))))
               .withColumn("n_words", F.size("_words").cast("bigint"))
-              .withColumn("word_chars", F.char_length(F.translate(body, BLANKS, "")).cast("bigint"))
-              .withColumn("n_symbols", (F.char_length(body) - F.char_length(F.translate(body, "#*$%&|<>", ""))).cast("bigint"))
-              .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint")))
+              .withColumn("word_chars", F.aggregate("sizes", F.lit(0).cast("bigint"), lambda total, size: total + size))
+              .withColumn("n_symbols", symbols.cast("bigint"))
+              .withColumn("_worded", worded)
+              .withColumn("n_dup_lines", (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("bigint")))
     df = with_repeat_words(with_window_hashes(df, "_words", "_w5"), "_w5", "n_repeat_words")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_words", "_lines", "_w5")
+    return df.withColumn("base_failed", failed).drop("_words", "_lines", "_worded", "_w5")
 
 
 def line_keys(text: Column, host: Column) -> Column:
@@ -114,17 +120,24 @@ def line_keys(text: Column, host: Column) -> Column:
     return F.transform(plain, lambda line: F.when(line != "", F.xxhash64(line, F.coalesce(host, F.lit("")), host.isNull())))
 
 
+def measured(docs: DataFrame, text: str, host: str, with_body: bool) -> DataFrame:
+    """The rows with all that one pass over the texts tells, written once: the steps after it read numbers, and the texts
+    only if they are asked for (``with_body``)."""
+    own = F.col(f"in_{docs.columns.index(text)}")
+    rows = with_base(prepared(docs, text, host)).withColumns({"doc": F.xxhash64("body"), "absent": own.isNull()})
+    texts = [f"in_{docs.columns.index(text)}"] + ([] if with_body else ["body"])
+    return written(rows.drop(*texts), "line-keys")
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
-    """One row per document and different line: line key, host, hash of the whole text."""
-    keys = F.array_distinct(F.array_compact(line_keys(F.col("body"), F.col("host"))))
-    return rows.select(F.xxhash64("body").alias("doc"), "host", F.explode(keys).alias("key"))
+    """One row per document and different line: hash of the whole text, host, line key."""
+    return rows.select("doc", "host", F.explode(F.array_distinct(F.array_compact("keys"))).alias("key"))
 
 
 def boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE, most: int | None = MOST) -> DataFrame:
-    """``key`` of the lines over the limit of their host, for ``prepared`` rows."""
+    """``key`` of the lines over the limit of their host, for ``measured`` rows."""
     keyed = _keyed(rows)
-    sizes = written(rows.select(F.col("host").alias("of"), F.xxhash64("body").alias("doc")).distinct()
-                        .groupBy("of").agg(F.count(F.lit(1)).alias("docs")), "hosts")
+    sizes = written(rows.select(F.col("host").alias("of"), "doc").distinct().groupBy("of").agg(F.count(F.lit(1)).alias("docs")), "hosts")
 
     def over(lines: DataFrame) -> DataFrame:
         counted = lines.groupBy("key", "host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > floor)
@@ -140,50 +153,47 @@ def boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE, most:
     return written(over(again.distinct()), "boilerplate")
 
 
-def _rest(rows: DataFrame) -> DataFrame:
-    """Add ``rest``: the lines of ``body`` that stay, by the flags in ``stays``."""
-    marked = F.zip_with(F.split("body", "\n", -1), F.col("stays"), lambda line, stays: F.when(stays, line))
-    return rows.withColumn("rest", F.array_join(marked, "\n")).drop("keys", "stays")
-
-
-def without_boilerplate(rows: DataFrame, floor: int = FLOOR, share: float = SHARE, most: int | None = MOST) -> DataFrame:
-    """``prepared`` rows with ``rest`` added: the text without boilerplate lines."""
-    over, body = boilerplate(rows, floor, share, most), F.col("body")
+def with_flags(rows: DataFrame, over: DataFrame) -> DataFrame:
+    """``measured`` rows with ``gone``: for each line whether it is boilerplate."""
     few = over.limit(LISTED + 1).collect()
-    if not few:
-        return rows.withColumn("rest", body)
-    keyed = rows.withColumn("keys", line_keys(body, F.col("host")))
     if len(few) <= LISTED:
         listed = [r[0] for r in few]
-        return _rest(keyed.withColumn("stays", F.transform("keys", lambda key: ~F.coalesce(key.isin(listed), F.lit(False)))))
+        return rows.withColumn("gone", F.transform("keys", lambda key: F.coalesce(key.isin(listed), F.lit(False))))
     # Too many to name: the keys to remove come per different text, by joins on hashes.
     held = _keyed(rows).join(over, "key", "left_semi").distinct()
-    per_doc = held.groupBy("doc", F.col("host").alias("of")).agg(F.collect_set("key").alias("gone"))
-    joined = keyed.join(per_doc, (F.xxhash64("body") == F.col("doc")) & F.col("host").eqNullSafe(F.col("of")), "left")
-    stays = F.transform("keys", lambda key: ~F.coalesce(F.array_contains("gone", key), F.lit(False)))
-    return _rest(joined.withColumn("stays", stays)).drop("doc", "of", "gone")
+    per_doc = held.groupBy(F.col("doc").alias("of_doc"), F.col("host").alias("of")).agg(F.collect_set("key").alias("own"))
+    joined = rows.join(per_doc, (F.col("doc") == F.col("of_doc")) & F.col("host").eqNullSafe(F.col("of")), "left")
+    gone = F.transform("keys", lambda key: F.coalesce(F.array_contains("own", key), F.lit(False)))
+    return joined.withColumn("gone", gone).drop("of_doc", "of", "own")
 
 
-def _judged(docs: DataFrame, text: str, host: str, floor: int, share: float, most: int | None, depleted: float) -> DataFrame:
-    scored = with_base(without_boilerplate(prepared(docs, text, host), floor, share, most))
-    lost = F.col("word_chars") - F.char_length(F.translate("rest", BLANKS, "")) >= depleted * F.col("word_chars")
-    return scored.withColumn("kept", ~F.col("base_failed") & ~lost)
+def _judged(docs: DataFrame, text: str, host: str, floor: int, share: float, most: int | None, depleted: float, with_rest: bool) -> DataFrame:
+    rows = measured(docs, text, host, with_rest)
+    flagged = with_flags(rows, boilerplate(rows, floor, share, most))
+    lost = F.aggregate(F.zip_with("sizes", "gone", lambda size, gone: F.when(gone, size).otherwise(F.lit(0))),
+                       F.lit(0).cast("bigint"), lambda total, size: total + size)
+    judged = flagged.withColumn("kept", ~F.col("base_failed") & (lost < depleted * F.col("word_chars")))
+    if not with_rest:
+        return judged
+    stay = F.zip_with(F.split("body", "\n", -1), F.col("gone"), lambda line, gone: F.when(~gone, line))
+    return judged.withColumn("rest", F.when(F.exists("gone", lambda g: g), F.array_join(stay, "\n")).otherwise(F.col("body")))
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", floor: int = FLOOR, share: float = SHARE,
-          depleted: float = DEPLETED, most: int | None = MOST) -> DataFrame:
+          depleted: float = DEPLETED, most: int | None = MOST, with_rest: bool = True) -> DataFrame:
     """``docs`` with the base counts, base_failed, kept, and rest, the text without boilerplate lines.
 
-    An input column of the same name as a result gives way to it.
+    An input column of the same name as a result gives way to it. Without ``with_rest`` the texts are read
+    once and neither written nor returned.
     """
-    stay = [F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in RESULTS]
-    return _judged(docs, text, host, floor, share, most, depleted).select(*stay, *RESULTS)
+    results = RESULTS if with_rest else RESULTS[:-1]
+    at = docs.columns.index(text)
+    stay = [(F.when(~F.col("absent"), F.col("body")) if i == at else F.col(f"in_{i}")).alias(c) for i, c in enumerate(docs.columns)
+            if c not in results and (with_rest or i != at)]
+    return _judged(docs, text, host, floor, share, most, depleted, with_rest).select(*stay, *results)
 
 
 def clean(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that are kept, all columns, their boilerplate lines removed."""
-    # A filter may not pass a column that is not deterministic. Without it the optimizer would move the filter below
-    # the steps of ``with_base`` and repeat them inside each other.
-    judged = _judged(docs, text, host, FLOOR, SHARE, MOST, DEPLETED).withColumn("row", F.monotonically_increasing_id())
-    judged = judged.filter(F.col("kept") & (F.col("row") >= 0))
+    judged = _judged(docs, text, host, FLOOR, SHARE, MOST, DEPLETED, True).filter("kept")
     return judged.select(*[(F.col("rest") if c == text else F.col(f"in_{i}")).alias(c) for i, c in enumerate(docs.columns)])

@@ -127,7 +127,7 @@ used AS (SELECT *, trim(regexp_replace(translate(lower(line), '123456789', '0000
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM used WHERE plain <> '' GROUP BY doc_id),
 hosts AS (SELECT source, count(DISTINCT body) AS n FROM d GROUP BY source),
 frequent AS (SELECT u.source, plain FROM used u JOIN hosts h ON u.source IS NOT DISTINCT FROM h.source WHERE plain <> ''
-             GROUP BY u.source, plain, h.n HAVING count(DISTINCT body) > greatest(20, 0.02 * h.n)),
+             GROUP BY u.source, plain, h.n HAVING count(DISTINCT body) > 3 AND (count(DISTINCT body) > 0.02 * h.n OR count(DISTINCT body) > 1000)),
 gone AS (SELECT doc_id, sum(size) AS lost FROM used u JOIN frequent f
          ON u.plain = f.plain AND u.source IS NOT DISTINCT FROM f.source GROUP BY doc_id),
 base AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
@@ -141,8 +141,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND lost < 0.8 * word_chars AS kept FROM judged
 """)
 def op10_line_frequency(t: Tables) -> DataFrame:
-    # The limit of the SQL above, not the pipeline's.
-    return line_rules.judge(t.documents.select("doc_id", "text", "source"), floor=20, most=None).select(
+    return line_rules.judge(t.documents.select("doc_id", "text", "source"), with_rest=False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
