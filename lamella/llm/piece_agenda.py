@@ -11,8 +11,9 @@ crosses the place before a run of blanks. Such a vocabulary allows the agenda to
 work on one run of blanks and the word after it at a time, with the same result,
 and each worker keeps the ids of words it has met (twice ``KEPT`` of them at most).
 
-Each Arrow batch is also encoded and decoded by the sentencepiece library, and
-``agrees`` says whether ids and text are equal.
+In each Arrow batch the words that are new to the worker are also encoded and decoded
+by the sentencepiece library, and ``agrees`` says whether ids and text are equal for all
+words of a document. Where a word is forgotten and met again it is held against the library again.
 
 Defined cases: NULL text counts as empty; an empty text has no ids but the end
 id. Special pieces written in a text are ordinary text. Repeated rows and rows
@@ -25,6 +26,8 @@ from __future__ import annotations
 
 import re
 from heapq import heapify, heappop, heappush
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,12 @@ from lamella.llm.common import by_batches, portions
 BLANK = "▁"
 #: A worker remembers so many words twice over (the last ones met, and those before), if they are no longer than this.
 KEPT, KEPT_LENGTH = 1 << 18, 48
+#: Up to so many characters the agenda is a list, beyond it a heap.
+SHORT = 40
+#: So many new words are held against the library at a time.
+CHECKED = 256
 _PLACES = (1 << 40) - 1
+_NONE = 1 << 40
 _WORDS = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
@@ -68,16 +76,20 @@ class Pieces:
         if max(map(len, self.ids)) > 255:
             raise ValueError(f"{path} has pieces of over 255 characters")
         # Highest score first; equal scores share a place. The length is in the low bits.
-        places = {score: i for i, score in enumerate(sorted({p.score for p in spec.pieces}, reverse=True))}
-        self.ranks = {p.piece: places[p.score] << 48 | len(p.piece) for p in spec.pieces if p.type == kind.NORMAL}
+        order = {score: i for i, score in enumerate(sorted({p.score for p in spec.pieces}, reverse=True))}
+        self.places = {p.piece: order[p.score] for p in spec.pieces if p.type == kind.NORMAL}
+        self.ranks = {piece: place << 48 | len(piece) for piece, place in self.places.items()}
         self.byte_ids = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.splits = not any(re.search(f"[^{BLANK}]{BLANK}", piece) for piece in self.ids)
-        self._kept: dict[str, list[int]] = {}
-        self._older: dict[str, list[int]] = {}
+        self._kept: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
+        self._new: list[tuple[str, tuple[int, ...]]] = []
         byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         self._bytes = [byte_of.get(i) for i in range(len(spec.pieces))]
         self._texts = [p.piece if p.type == kind.NORMAL else spec.trainer_spec.unk_surface if p.type == kind.UNKNOWN else ""
                        for p in spec.pieces]
+        self._plain = [p.piece if p.type == kind.NORMAL else "" if i == self.end else chr(byte_of[i]) if byte_of.get(i, 128) < 128 else None
+                       for i, p in enumerate(spec.pieces)]
         self._special = [p.type in (kind.UNKNOWN, kind.CONTROL) for p in spec.pieces]
 
     def merged(self, text: str) -> list[str]:
@@ -112,9 +124,26 @@ class Pieces:
                     heappush(agenda, ranks[joined] | comes << 8)
         return [s for s in symbols if s is not None]
 
+    def merged_word(self, text: str) -> list[str]:
+        """The same for a short text. Its agenda is a list with the score of each symbol and the next one; the best is found by looking."""
+        places = self.places
+        symbols, agenda = list(text), [places.get(pair, _NONE) for pair in map(add, text, text[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == _NONE:
+                break
+            at = agenda.index(best)
+            piece = symbols[at] = symbols[at] + symbols.pop(at + 1)
+            del agenda[at]
+            if at < len(agenda):
+                agenda[at] = places.get(piece + symbols[at + 1], _NONE)
+            if at:
+                agenda[at - 1] = places.get(symbols[at - 1] + piece, _NONE)
+        return symbols
+
     def _ids_of(self, text: str) -> list[int]:
         out = []
-        for symbol in self.merged(text):
+        for symbol in self.merged_word(text) if len(text) <= SHORT else self.merged(text):
             own = self.ids.get(symbol)
             if own is not None:
                 out.append(own)
@@ -122,29 +151,57 @@ class Pieces:
                 out.extend(self.byte_ids[b] for b in symbol.encode())
         return out
 
+    def words(self, text: str) -> list[str]:
+        """Runs of blanks and the words after them, which no merge leaves."""
+        normal = BLANK + text.replace(" ", BLANK)
+        return _WORDS.findall(normal) if self.splits else [normal]
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text, the end id last."""
-        out: list[int] = []
-        if text:
-            normal = BLANK + text.replace(" ", BLANK)
-            if not self.splits:
-                return [*self._ids_of(normal), self.end]
-            known = self._kept.get
-            for word in _WORDS.findall(normal):
-                ids = known(word)
-                if ids is None:
-                    ids = self._older.get(word) or self._ids_of(word)
-                    if len(word) <= KEPT_LENGTH:
-                        if len(self._kept) >= KEPT:
-                            self._older, self._kept = self._kept, {}
-                            known = self._kept.get
-                        self._kept[word] = ids
-                out += ids
-        out.append(self.end)
-        return out
+        found = list(map(self._kept.get, words := self.words(text) if text else []))
+        if None in found:
+            found = [ids if ids is not None else self._met(word) for ids, word in zip(found, words)]
+        return [*chain.from_iterable(found), self.end]
+
+    def _met(self, word: str) -> tuple[int, ...]:
+        """Ids of a word that is not among the last ones met."""
+        ids = self._kept.get(word)
+        if ids is None:
+            ids = self._older.get(word)
+            if ids is None:
+                ids = tuple(self._ids_of(word))
+                self._new.append((word, ids))
+            if len(word) <= KEPT_LENGTH:
+                if len(self._kept) >= KEPT:
+                    self._older, self._kept = self._kept, {}
+                self._kept[word] = ids
+        return ids
+
+    def differing(self) -> set[str]:
+        """Words made since the last call whose ids or text are not those of the library."""
+        new, self._new = [x for x in self._new if len(x[0]) > 1], []
+        bad = set()
+        for at in range(0, len(new), CHECKED):
+            some = new[at:at + CHECKED]
+            # Put together, the words are a text. If that agrees, each of them does.
+            text = "".join(word for word, _ in some)[1:].replace(BLANK, " ")
+            ids = [i for _, own in some for i in own]
+            want = self.library.encode(text, num_threads=1)
+            if self.splits and ids == want and self.decode(ids) == self.library.decode(want):
+                continue
+            for word, ids in some:
+                want = self.library.encode(word[1:].replace(BLANK, " "))
+                if ids != want or self.decode(ids) != self.library.decode(want):
+                    bad.add(word)
+        return bad
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: blanks for U+2581, the leading one left out, bytes joined to characters, U+FFFD for each stray byte."""
+        try:
+            # Pieces and ASCII characters only; other ids have no text in this table.
+            return "".join(map(self._plain.__getitem__, ids)).removeprefix(BLANK).replace(BLANK, " ")
+        except TypeError:
+            pass
         out, run, first = [], bytearray(), True
         for i in ids:
             value = self._bytes[i]
@@ -192,17 +249,15 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", doc_id
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, texts = pieces(path), batch.column(1).to_pylist()
-        values, sizes, decoded, agrees = [], [], [], []
-        for start, end in portions(texts):
-            some = [t or "" for t in texts[start:end]]
-            theirs = own.library.encode(some, add_eos=True, num_threads=1)
-            for value, want in zip(some, theirs):
-                ids = own.encode(value)
-                back = own.decode(ids)
+        values, sizes, decoded, bad = [], [], [], set()
+        for start, stop in portions(texts):
+            for text in texts[start:stop]:
+                ids = own.encode(text)
                 values.append(np.array(ids, dtype=np.int32))
                 sizes.append(len(ids))
-                decoded.append(back)
-                agrees.append(ids == want and back == own.library.decode(want))
+                decoded.append(own.decode(ids))
+            bad |= own.differing()
+        agrees = [not bad or bad.isdisjoint(own.words(text) if text else ()) for text in texts]
         flat = pa.array(np.concatenate(values)) if values else pa.array([], pa.int32())
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), flat)
         return pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())],
