@@ -54,3 +54,29 @@ def portions(texts: Sequence[str | None], limit: int = 1_000_000) -> Iterable[tu
 def fold(of: str, parts: int) -> Column:
     """``crc32`` of the id's text modulo ``parts``; a NULL id falls into part 0."""
     return F.coalesce(F.crc32(F.col(of).cast("string").cast("binary")) % parts, F.lit(0))
+
+
+def with_row_keys(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The columns of ``docs`` by number (which no input name clashes with), row_id, row_text and row_hash (of all columns but maps)."""
+    numbered = docs.toDF(*[f"in_{i}" for i in range(len(docs.columns))])
+    whole = [f.name for f in numbered.schema.fields if "map<" not in f.dataType.simpleString()]
+    nulls = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in whole])
+    at = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    keyed = numbered.withColumns({"row_id": F.col(at[doc_id]).cast("bigint"), "row_text": F.col(at[text]).cast("string"),
+                                  "row_hash": F.xxhash64(*whole, nulls)})
+    return keyed.withMetadata("row_id", {"names": docs.columns})
+
+
+def one_per_group(keyed: DataFrame, groups: DataFrame, body: Column) -> DataFrame:
+    """Of rows ``with_row_keys``, one per ``grp``, where ``groups`` gives the grp of each ``body``: the smallest id, NULL last, then by hash.
+
+    A row is named by id, body and hash. Rows equal in all three are one row.
+    """
+    rows = keyed.select("row_id", "row_hash", body.alias("body"))
+    order = F.struct(F.col("row_id").isNull().alias("last"), "row_id", "body", "row_hash")
+    chosen = rows.join(groups, "body").groupBy("grp").agg(F.min(order).alias("c")).select(
+        F.coalesce("c.row_id", F.lit(0)).alias("c_id"), F.col("c.last").alias("c_last"), F.col("c.body").alias("c_body"), F.col("c.row_hash").alias("c_hash"))
+    keys = {"c_id": F.coalesce("row_id", F.lit(0)), "c_last": F.col("row_id").isNull(), "c_body": body, "c_hash": F.col("row_hash")}
+    kept = keyed.withColumns(keys).join(chosen, list(keys), "left_semi").dropDuplicates(list(keys))
+    names = keyed.schema["row_id"].metadata["names"]
+    return kept.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(names)])

@@ -5,11 +5,19 @@ of ``ROWS`` minima each; sets with similarity 0.8 share a key with a probability
 1 - (1 - 0.8 ** 5) ** 24 = 0.99993. Pairs that share a key are verified on the whole
 sets, so no link rests on an estimate.
 
-A key with more than ``CROWD`` nodes is split by the keys that follow it. What stays
-crowded is first held against the smallest node of its group; after components are
-known, only nodes of one group that lie in different components are paired.
+Within a key, every node is first held against one pivot, the smallest node. Copies of
+one text meet in a component by that, whatever their number. Then only keys whose nodes
+lie in different components are looked at again: their nodes are paired across
+components, if the sizes of the sets allow the similarity. A key with more than
+``CROWD`` nodes is split by the keys that follow it before, and what stays crowded by bands of set size.
 
 Texts within three bits of SimHash are linked as well, as in operator 8.
+
+Defined cases: NULL, empty and blank texts have no shingles and are copies of each other
+(by their fingerprint). Texts of under five words are one shingle. Rows that are
+equal in all columns are one row. Rows with one doc_id and different texts are rows of
+their own. Rows without a doc_id take part, after all others of their group. Extra
+columns stay, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamella.llm import simhash
-from lamella.llm.common import by_batches, written
+from lamella.llm.common import by_batches, one_per_group, with_row_keys, written
 
 WORDS_PER_SHINGLE = 5
 #: Least similarity of a link, as a fraction of whole numbers.
@@ -66,29 +74,51 @@ def body_of(text: str) -> Column:
 
 
 def nodes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, body (hash of the text), fp, node and keys of every row."""
+    """doc_id, body (hash of the text), fp, node, size (of its set) and keys of every row."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps, nodes, keys = [], [], []
+        fps, nodes, sizes, keys = [], [], [], []
         for value in batch.column(2).to_pylist():
-            node, own = node_and_keys(shingles(value))
+            held = shingles(value)
+            node, own = node_and_keys(held)
             fps.append(simhash.fingerprint(value))
             nodes.append(node)
+            sizes.append(len(held))
             keys.append(own.view(np.int64))
         longs = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (fps, nodes)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, pa.array(keys, pa.list_(pa.int64()))],
-                                          names=["doc_id", "body", "fp", "node", "keys"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                                          names=["doc_id", "body", "fp", "node", "size", "keys"])
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), body_of(text).alias("body"), F.col(text).cast("string").alias("text"))
-    return by_batches(rows, "doc_id bigint, body bigint, fp bigint, node bigint, keys array<bigint>", run)
+    return by_batches(rows, "doc_id bigint, body bigint, fp bigint, node bigint, size int, keys array<bigint>", run)
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
+    """Rows of keys that several nodes share, with their number and the smallest."""
     sizes = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1")
     return written(keyed.join(sizes, "k"), "near-keys")
 
 
-def _all_pairs(shared: DataFrame) -> DataFrame:
-    few = shared.filter(F.col("n") <= CROWD)
-    return few.join(few.select("k", F.col("node").alias("b")), "k").filter("node < b").select(F.col("node").alias("a"), "b")
+def _parted(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``shared`` with the component of each node, of the keys whose nodes lie in several."""
+    placed = shared.join(roots.select("node", F.col("root").alias("_r")), "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
+    several = placed.groupBy("k").agg(F.min("root").alias("_l"), F.max("root").alias("_m")).filter("_l <> _m").select("k")
+    return written(placed.join(several, "k"), "near-parted")
+
+
+def may_be_similar(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be similar."""
+    return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
+
+
+def _across(parted: DataFrame, banded: bool = False) -> DataFrame:
+    """Pairs of nodes of one key in different components, if their sizes allow the similarity."""
+    left, right, on = parted, parted.select("k", F.col("node").alias("b"), F.col("root").alias("_r"), F.col("size").alias("_s")), ["k"]
+    if banded:
+        # Sizes of similar sets lie in the same band or in neighbours.
+        band = lambda size: F.floor(F.log(F.col(size)) / F.log(F.lit(SIMILAR[1] / SIMILAR[0]))).cast("int")
+        left = left.withColumn("_band", F.explode(F.array(*[band("size") + step for step in (-1, 0, 1)])))
+        right, on = right.withColumn("_band", band("_s")), ["k", "_band"]
+    near = (F.col("root") != F.col("_r")) & (F.col("node") < F.col("b")) & may_be_similar("size", "_s")
+    return left.join(right, on).filter(near).select(F.col("node").alias("a"), "b")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -96,11 +126,9 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return SIMILAR[1] * both >= SIMILAR[0] * (len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """The ``pairs`` of nodes whose sets are similar. The sets come from one text of each node named in a pair."""
-    pairs = written(pairs.distinct(), "near-pairs")
-    who = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    first = rows.join(who, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "body")).alias("_f")).select(
+def sets_of(nodes: DataFrame, rows: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """node and held (its whole set) of the ``nodes``, from one text of each."""
+    first = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "body")).alias("_f")).select(
         "node", F.col("_f.doc_id").alias("_id"), F.col("_f.body").alias("_body"))
     texts = docs.select(F.col(doc_id).cast("bigint").alias("id"), body_of(text).alias("body"), F.col(text).cast("string").alias("text"))
     named = texts.join(first, (F.col("body") == F.col("_body")) & F.col("id").eqNullSafe(F.col("_id")))
@@ -108,7 +136,12 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, text: str, doc_
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
                                           names=["node", "held"])
-    sets = written(by_batches(named.select("node", "text"), "node bigint, held binary", cut).dropDuplicates(["node"]), "near-sets")
+    return written(by_batches(named.select("node", "text"), "node bigint, held binary", cut).dropDuplicates(["node"]), "near-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` of nodes whose sets are similar."""
+    pairs = written(pairs.distinct(), "near-pairs")
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("held").alias("ha")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("held").alias("hb")), "b").select("a", "b", "ha", "hb")
 
@@ -120,28 +153,19 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, text: str, doc_
 
 def links(rows: DataFrame, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Links ``a``, ``b`` that connect all nodes with similar sets that share a key."""
-    sets = rows.groupBy("node").agg(F.first("keys").alias("keys"))
-    shared = _shared(sets.select("node", F.explode("keys").alias("k")))
-    crowded = shared.filter(F.col("n") > CROWD)
-    if crowded.isEmpty():
-        return verified(_all_pairs(shared), rows, docs, text, doc_id)
-    at = F.array_position("keys", F.col("k")).cast("int")
-    finer = F.array(*[F.xxhash64("k", F.element_at("keys", (at + (step - 1)) % BANDS + 1)) for step in range(1, NEXT + 1)])
-    split = crowded.select("node", "k").join(sets, "node").select("node", F.explode(finer).alias("k"))
-    shared2 = _shared(split)
-    dense = shared2.filter(F.col("n") > CROWD)
-    stars = dense.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    found = verified(_all_pairs(shared).unionByName(_all_pairs(shared2)).unionByName(stars), rows, docs, text, doc_id)
-    if dense.isEmpty():
-        return found
-    roots = simhash.components(found)
-    placed = dense.join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root"))
-    parted = placed.groupBy("k").agg(F.min("root").alias("_l"), F.max("root").alias("_m")).filter("_l <> _m").select("k")
-    left = written(placed.join(parted, "k"), "near-parted")
-    if left.isEmpty():
-        return found
-    cross = left.join(left.select("k", F.col("node").alias("b"), F.col("root").alias("_r")), "k").filter("root < _r")
-    return found.unionByName(verified(cross.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")), rows, docs, text, doc_id))
+    nodes = rows.groupBy("node").agg(F.first("keys").alias("keys"), F.first("size").alias("size"))
+    shared = _shared(nodes.select("node", "size", F.explode("keys").alias("k")))
+    sets = sets_of(shared.select("node").distinct(), rows, docs, text, doc_id)
+    found = verified(shared.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")), sets)
+    parted = _parted(shared, simhash.components(found))
+    pairs, crowded = _across(parted.filter(F.col("n") <= CROWD)), parted.filter(F.col("n") > CROWD)
+    if not crowded.isEmpty():
+        at = F.array_position("keys", F.col("k")).cast("int")
+        finer = F.array(*[F.xxhash64("k", F.element_at("keys", (at + (step - 1)) % BANDS + 1)) for step in range(1, NEXT + 1)])
+        split = crowded.select("node", "k", "root").join(nodes, "node").select("node", "size", "root", F.explode(finer).alias("k"))
+        again = _shared(split)
+        pairs = pairs.unionByName(_across(again.filter(F.col("n") <= CROWD))).unionByName(_across(again.filter(F.col("n") > CROWD), banded=True))
+    return found.unionByName(verified(pairs, sets))
 
 
 def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -158,8 +182,9 @@ def grouped(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row of each group, with all columns: the one with the smallest doc_id. Rows without a doc_id stay."""
-    groups = written(grouped(docs, text, doc_id), "near-groups").filter(F.col("doc_id").isNotNull())
-    kept = groups.groupBy("grp").agg(F.min("doc_id").alias("_kept")).select("_kept").distinct()
-    named = docs.filter(F.col(doc_id).isNotNull()).join(kept, F.col(doc_id) == F.col("_kept"), "left_semi")
-    return named.dropDuplicates([doc_id]).unionByName(docs.filter(F.col(doc_id).isNull()))
+    """One row of each group, with all columns: the one with the smallest doc_id, one without a doc_id only where no other is."""
+    keyed = with_row_keys(docs, text, doc_id)
+    groups = grouped(keyed.select("row_id", "row_text"), "row_text", "row_id")
+    # Every row of a text has the text's group.
+    by_text = groups.groupBy("body").agg(F.min("grp").alias("grp"))
+    return one_per_group(keyed, by_text, body_of("row_text"))

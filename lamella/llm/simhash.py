@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.llm.common import by_batches, written
+from lamella.llm.common import by_batches, one_per_group, with_row_keys, written
 
 SEED = 42
 WORDS_PER_SHINGLE = 3
@@ -179,9 +179,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """One row of each component, with all columns: the one named by component_id. Rows without a doc_id stay."""
-    kept = near_duplicates(docs, doc_id=doc_id).filter(F.col("doc_id") == F.col("component_id")).select(
-        F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter(F.col(doc_id).isNotNull()).join(kept, F.col(doc_id) == F.col("_kept"), "left_semi")
-    return named.dropDuplicates([doc_id]).unionByName(docs.filter(F.col(doc_id).isNull()))
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row of each component, with all columns: the one with the smallest doc_id, one without a doc_id only where no other is."""
+    keyed = with_row_keys(docs, text, doc_id)
+    rows = keyed.select("row_id", "row_text", F.xxhash64("row_text").alias("body"))
+    prints = fingerprints(rows, "row_text", "body").select(F.col("doc_id").alias("body"), "fp").distinct()
+    prints = written(prints, "fingerprints")
+    stars = components(close_links(prints.select("fp").distinct()))
+    groups = prints.join(stars, F.col("fp") == F.col("node"), "left").groupBy("body").agg(F.min(F.coalesce("root", "fp")).alias("grp"))
+    return one_per_group(keyed, groups, F.xxhash64("row_text"))

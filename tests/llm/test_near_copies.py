@@ -68,3 +68,32 @@ def test_crowded_keys_lose_no_pair(spark, monkeypatch, crowd):
     texts = planted(crowd, 3, 25, 9)
     kept = near_copies.keep_one(as_docs(spark, texts))
     assert sorted(r.doc_id for r in kept.collect()) == brute_kept(texts)
+
+
+ROWS = [(1, "alpha beta gamma delta epsilon zeta eta theta", "a"), (1, "one two three four five six seven eight", "b"), (None, "alpha beta gamma delta epsilon zeta eta theta", "c"),
+        (None, "alpha beta gamma delta epsilon zeta eta theta", "c"), (7, "one two three four five six seven eight", "d"), (None, None, "e"), (3, "", "f"), (3, "", "f"),
+        (4, " \t\n", "g"), (None, "nothing like any of the other texts here at all", "h"), (None, "nothing like any of the other texts here at all", "h"),
+        (9, "w " * 60_000 + "end", "i"), (8, "w " * 60_000 + "end", "j"), (5, "short", "k"), (6, "short", "l")]
+KEPT = [(1, "a"), (1, "b"), (3, "f"), (5, "k"), (8, "j"), (None, "h")]
+
+
+@pytest.mark.parametrize("keep", [near_copies.keep_one, simhash.keep_one])
+def test_one_row_of_each_group_stays(spark, keep):
+    docs = spark.createDataFrame([(*r, 1, "x", 2) for r in ROWS], "doc_id bigint, text string, tag string, _kept int, _score string, row_id int")
+    kept = keep(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.tag) for r in kept.collect()), key=repr) == sorted(KEPT, key=repr)
+    assert {r.doc_id: r.text for r in kept.collect() if r.tag in "ab"} and {r.text for r in kept.collect() if r.doc_id == 1} == {ROWS[0][1], ROWS[1][1]}
+    assert keep(docs.limit(0)).count() == 0
+
+
+def test_pairs_grow_with_a_group_of_copies_and_not_its_square(spark, monkeypatch):
+    counts = {}
+    for copies in (60, 240):
+        texts, seen = planted(9, 1, copies, 3), []
+        own = near_copies.verified
+        monkeypatch.setattr(near_copies, "verified", lambda pairs, sets: seen.append(pairs.distinct().count()) or own(pairs, sets))
+        assert near_copies.keep_one(as_docs(spark, texts)).count() == 31
+        monkeypatch.undo()
+        counts[copies] = sum(seen)
+    assert counts[240] < 8 * counts[60]
