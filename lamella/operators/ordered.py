@@ -9,6 +9,7 @@ inside each chunk, and carry a small per-chunk summary across. Only summaries
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -104,6 +105,64 @@ def _first_break(weight_upto: np.ndarray, position: np.ndarray, cap: float, span
     return min(by_weight, int(np.searchsorted(position, opened_at + span, side="left")))
 
 
+@dataclass
+class _Passage:
+    """What a stretch of rows does to an open segment, by breakpoints only.
+
+    The open segment decides where the first break falls; all that follows depends
+    on that row alone. Rows that lead to the same outcome are one run, of which the weight and position at its
+    last row are kept, with the segments begun and the state left behind.
+    """
+
+    total: float
+    first_at: float
+    passable: bool  # an open segment may go through without a break
+    upto: np.ndarray
+    pos: np.ndarray
+    count: np.ndarray
+    fill: np.ndarray
+    at: np.ndarray
+
+    FIELDS = ("total double, first_at double, passable boolean, upto array<double>, pos array<double>, count array<bigint>,"
+              " fill array<double>, at array<double>")
+
+    @classmethod
+    def of(cls, row) -> _Passage:
+        return cls(row.total, row.first_at, bool(row.passable), *[np.asarray(getattr(row, c)) for c in ("upto", "pos", "count", "fill", "at")])
+
+    def reduced(self) -> _Passage:
+        """Neighbouring runs with one outcome as one."""
+        same = (self.count[1:] == self.count[:-1]) & (self.fill[1:] == self.fill[:-1]) & (self.at[1:] == self.at[:-1])
+        ends = np.append(~same, True)
+        return _Passage(self.total, self.first_at, self.passable, *[x[ends] for x in (self.upto, self.pos, self.count, self.fill, self.at)])
+
+    def leave(self, cap: float, span: float, segment: int, filled: float, opened_at: float, fresh: bool) -> tuple[int, float, float, bool]:
+        """Segment number, fill and first position of the open segment after these rows."""
+        if fresh:
+            return segment + int(self.count[0]) - 1, float(self.fill[0]), float(self.at[0]), False
+        run = _first_break(self.upto, self.pos, cap, span, filled, opened_at)
+        if run >= len(self.count):
+            return segment, filled + self.total, opened_at, False
+        return segment + int(self.count[run]), float(self.fill[run]), float(self.at[run]), False
+
+    def then(self, other: _Passage, cap: float, span: float) -> _Passage:
+        """Both stretches as one."""
+        left = [other.leave(cap, span, int(c), f, a, False) for c, f, a in zip(self.count, self.fill, self.at)]
+        upto, pos, count = self.upto, self.pos, np.array([x[0] for x in left], dtype=np.int64)
+        fill, at = np.array([x[1] for x in left]), np.array([x[2] for x in left])
+        if self.passable:
+            upto, pos = np.append(upto, other.upto + self.total), np.append(pos, other.pos)
+            count, fill, at = np.append(count, other.count), np.append(fill, other.fill), np.append(at, other.at)
+        return _Passage(self.total + other.total, self.first_at, self.passable and other.passable, upto, pos, count, fill, at).reduced()
+
+    def row(self) -> list:
+        return [self.total, self.first_at, self.passable, self.upto, self.pos, self.count, self.fill, self.at]
+
+
+#: So many passages are put together at a time.
+FAN = 32
+
+
 def greedy_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: str, cap: float,
                     position: str | None = None, span: float = float("inf"),
                     opened: DataFrame | None = None, name: str = "segment") -> DataFrame:
@@ -117,10 +176,10 @@ def greedy_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], weig
 
     The result of a chunk depends on the rows before it only through how full the
     open segment is, and that decides just where the chunk's first break falls.
-    So every chunk lists, for each row that can be that break (no more than one
-    segment holds), the segments that follow and the state at its end. Folding
-    these lists gives each chunk its true start, and the chunks then number their
-    rows independently.
+    So every chunk is reduced to its breakpoints (``_Passage``). These are put together
+    ``FAN`` at a time up a tree, and the state in front of each goes back down it, so that
+    no task holds more than one chunk or the breakpoints of ``FAN`` nodes. The chunks then number
+    their rows independently. Sums of weights have to be exact doubles, as those of whole numbers are.
     """
     parts = chunked(
         df.withColumn("_w", F.col(weight).cast("double"))
@@ -138,49 +197,57 @@ def greedy_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], weig
             if follow[i] < n:
                 count[i], last[i] = count[follow[i]] + 1, last[follow[i]]
         before = upto - w
-        return pd.DataFrame({
-            _GROUP + "_key": [rows["_key"].iat[0]], _CHUNK: [rows[_CHUNK].iat[0]], "total": [upto[-1]],
-            "upto": [upto[:reach]], "pos": [p[:reach]], "count": [count[:reach]],
-            "fill": [(upto[-1] - before[last])[:reach]], "at": [p[last][:reach]], "rows": [n]})
+        passage = _Passage(float(upto[-1]), float(p[0]), reach == n, upto[:reach], p[:reach], count[:reach],
+                           (upto[-1] - before[last])[:reach], p[last][:reach]).reduced()
+        return pd.DataFrame([[rows["_key"].iat[0], int(rows[_CHUNK].iat[0]), *passage.row()]], columns=names)
 
+    names = ["_key", "node", "total", "first_at", "passable", "upto", "pos", "count", "fill", "at"]
+    schema = f"_key string, node int, {_Passage.FIELDS}"
     keyed = parts.withColumn("_key", F.to_json(_GROUP))
     slim = keyed.select("_key", _CHUNK, *ordered, "_w", "_p")
-    summary = slim.groupBy("_key", _CHUNK).applyInPandas(
-        summarise, f"{_GROUP}_key string, {_CHUNK} int, total double, upto array<double>, pos array<double>,"
-                   " count array<bigint>, fill array<double>, at array<double>, rows bigint")
+    levels = [stable(slim.groupBy("_key", _CHUNK).applyInPandas(summarise, schema))]
+    chunks = (levels[0].agg(F.max("node")).first()[0] or 0) + 1
+
+    def compose(nodes: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("node")
+        whole = None
+        for row in nodes.itertuples(index=False):
+            whole = _Passage.of(row) if whole is None else whole.then(_Passage.of(row), cap, span)
+        return pd.DataFrame([[nodes["_key"].iat[0], int(nodes["node"].iat[0]) // FAN, *whole.row()]], columns=names)
+
+    while chunks > FAN:
+        levels.append(stable(levels[-1].groupBy("_key", F.floor(F.col("node") / FAN)).applyInPandas(compose, schema)))
+        chunks = -(-chunks // FAN)
+    first = F.lit(0).cast("bigint").alias("s_segment"), F.lit(None).cast("double").alias("s_filled")
+    starts = levels[-1].select("_key").distinct()
     if opened is not None:
         group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
-        opened = opened.select(F.to_json(group).alias(_GROUP + "_key"),
-                               F.col("next_segment").cast("bigint").alias("first"),
-                               F.col("filled").cast("double").alias("held"))
-        summary = summary.join(opened, _GROUP + "_key", "left")
+        opened = opened.select(F.to_json(group).alias("_key"), F.coalesce(F.col("next_segment"), F.lit(0)).cast("bigint").alias("s_segment"),
+                               F.col("filled").cast("double").alias("s_filled"))
+        starts = starts.join(opened, "_key", "left").withColumn("s_segment", F.coalesce("s_segment", F.lit(0)))
     else:
-        summary = summary.withColumns({"first": F.lit(0).cast("bigint"), "held": F.lit(None).cast("double")})
-
-    def fold(chunks: pd.DataFrame) -> pd.DataFrame:
-        chunks = chunks.sort_values(_CHUNK)
-        first = chunks["first"].iat[0]
-        segment = 0 if pd.isna(first) else int(first)
-        filled, opened_at = chunks["held"].iat[0], chunks["pos"].iat[0][0]
-        fresh = bool(pd.isna(filled))
-        starts = []
-        for c in chunks.itertuples(index=False):
-            starts.append((segment, 0.0 if fresh else filled, opened_at, fresh))
-            if fresh:
-                at, gained = 0, c.count[0] - 1
-            else:
-                at = _first_break(np.asarray(c.upto), np.asarray(c.pos), cap, span, filled, opened_at)
-                if at >= c.rows:
-                    filled += c.total
-                    continue
-                gained = c.count[at]
-            segment, filled, opened_at, fresh = segment + int(gained), c.fill[at], c.at[at], False
-        out = chunks[[_GROUP + "_key", _CHUNK]].copy()
-        out[["s_segment", "s_filled", "s_at", "s_fresh"]] = starts
-        return out
-
-    starts = summary.groupBy(_GROUP + "_key").applyInPandas(
-        fold, f"{_GROUP}_key string, {_CHUNK} int, s_segment bigint, s_filled double, s_at double, s_fresh boolean")
+        starts = starts.select("_key", *first)
+    # ``s_at`` is NULL where a segment goes on whose first position is not known: it counts from the first row here.
+    starts = starts.withColumns({"s_at": F.lit(None).cast("double"), "s_fresh": F.col("s_filled").isNull(), "parent": F.lit(0)})
+
+    def descend(nodes: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("node")
+        segment, filled, opened_at, fresh = (nodes[c].iat[0] for c in ("s_segment", "s_filled", "s_at", "s_fresh"))
+        opened_at = nodes["first_at"].iat[0] if pd.isna(opened_at) else opened_at
+        state, out = (int(segment), 0.0 if fresh else float(filled), float(opened_at), bool(fresh)), []
+        for row in nodes.itertuples(index=False):
+            out.append((nodes["_key"].iat[0], row.node, *state))
+            state = _Passage.of(row).leave(cap, span, *state)
+        return pd.DataFrame(out, columns=["_key", "node", "s_segment", "s_filled", "s_at", "s_fresh"])
+
+    states = "_key string, node int, s_segment bigint, s_filled double, s_at double, s_fresh boolean"
+    for depth, level in enumerate(reversed(levels)):
+        parent = F.lit(0) if depth == 0 else F.floor(F.col("node") / FAN).cast("int")
+        under = level.withColumn("parent", parent).join(starts, ["_key", "parent"])
+        starts = under.groupBy("_key", "parent").applyInPandas(descend, states)
+        if depth < len(levels) - 1:
+            starts = starts.withColumnRenamed("node", "parent")
+    starts = starts.withColumnRenamed("node", _CHUNK)
 
     def number(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(ordered, kind="stable")
@@ -199,7 +266,7 @@ def greedy_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], weig
         return out
 
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    located = slim.join(starts.withColumnRenamed(_GROUP + "_key", "_key"), ["_key", _CHUNK], "left")
+    located = slim.join(starts, ["_key", _CHUNK], "left")
     numbered = located.groupBy("_key", _CHUNK).applyInPandas(
         number, ", ".join(f"`{c}` {fields[c]}" for c in ordered) + f", _key string, {name} bigint")
     return keyed.join(numbered, ["_key", *ordered], "left").select(*df.columns, name)

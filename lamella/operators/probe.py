@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from lamella.session import stable
 C_VALUES = (0.00001, 0.0001, 0.001, 0.01, 0.1, 1.0, 10.0)
 ELASTIC_NET = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}
 RANDOM_STATE = 42
+ROWS_PER_TASK = 20_000
 
 
 def stratified_split(slides: DataFrame, order: Column, test_size: float = 0.2, val_size: float = 0.1,
@@ -63,7 +65,7 @@ def _seeded(key: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(HASH_RANGE))
 
 
-def cross_validate(estimator: Pipeline, grid: Sequence[dict], judge, train: DataFrame, folds: int,
+def cross_validate(estimator: Estimator, grid: Sequence[dict], judge, train: DataFrame, folds: int,
                    parallelism: int = 8) -> list[float]:
     """Mean validation metric per grid point; ``train`` has a ``fold`` column.
 
@@ -75,9 +77,11 @@ def cross_validate(estimator: Pipeline, grid: Sequence[dict], judge, train: Data
         model = estimator.fit(train.where(F.col("fold") != fold), params)
         return judge.evaluate(model.transform(train.where(F.col("fold") == fold)))
 
-    tasks = [(fold, params) for params in grid for fold in range(folds)]
+    # Each task has its own copy of the thread's properties: threads that share one clear each other's execution ids.
+    inherit = inheritable_thread_target(train.sparkSession)
+    tasks = [inherit(partial(score, (fold, params))) for params in grid for fold in range(folds)]
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        scores = pool.map(inheritable_thread_target(train.sparkSession)(score), tasks)
+        scores = pool.map(lambda task: task(), tasks)
     return [sum(scores[i * folds:(i + 1) * folds]) / folds for i in range(len(grid))]
 
 
@@ -96,43 +100,43 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
                        array_to_vector(F.col(features)).alias("vector")).persist()
     per_group = data.groupBy("_unit").agg(F.mode("label", True).alias("label"))
     parts, grid_rows, coefficients, best = [], [], [], {}
-    cached = [data]
+    number = data.count()
     try:
         for seed in range(random_state, random_state + seeds):
             chosen = splits.select(F.col(group).alias("_unit"), "split") if splits is not None else stratified_split(
                 per_group, _seeded(F.col("_unit"), seed), test_size, val_size, tie="_unit").select("_unit", "split")
             fold = F.pmod(F.xxhash64("_unit", F.lit(seed)), F.lit(folds)).cast("int")
-            split = data.join(chosen, "_unit").withColumn("fold", fold).persist()
-            cached.append(split)
+            whole = data.join(chosen, "_unit").withColumn("fold", fold)
+            # Every iteration is a job over this design: no more tasks than its rows need.
+            split = whole.coalesce(max(1, -(-number // ROWS_PER_TASK))).persist()
             train = split.where(F.col("split") == "train")
             n = max(train.count(), 1)
-            scale = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True, withStd=True)
-            regression = LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=max_iter,
-                                            standardization=False)
+            # The regression standardises by the spread of its training rows itself, each fold by its own, and penalises on that scale.
+            regression = LogisticRegression(featuresCol="vector", labelCol="label", maxIter=max_iter, standardization=True)
             grid = (ParamGridBuilder()
                     .addGrid(regression.regParam, [1.0 / (c * n) for c in c_values])
                     .addGrid(regression.elasticNetParam, [ELASTIC_NET[p] for p in penalties]).build())
             judge = (MulticlassClassificationEvaluator(metricName="f1") if multiclass
                      else BinaryClassificationEvaluator(metricName="areaUnderROC"))
-            pipeline = Pipeline(stages=[scale, regression])
-            found = cross_validate(pipeline, grid, judge, train, folds)
+            found = cross_validate(regression, grid, judge, train, folds)
             top = max(range(len(grid)), key=lambda i: found[i])
-            fitted = pipeline.fit(train, grid[top])
+            fitted = regression.fit(train, grid[top])
             for i, params in enumerate(grid):
                 grid_rows.append((seed, 1.0 / (params[regression.regParam] * n),
                                   float(params[regression.elasticNetParam]), float(found[i])))
-            weights = fitted.stages[-1].coefficientMatrix.toArray()
+            spread = train.select(Summarizer.std(F.col("vector"))).first()[0]
+            weights = fitted.coefficientMatrix.toArray() * spread.toArray()
             coefficients += [(seed, k, j, float(w)) for k, row in enumerate(weights) for j, w in enumerate(row)]
             best.setdefault("C", grid_rows[-len(grid) + top][1])
             best.setdefault("l1_ratio", grid_rows[-len(grid) + top][2])
             best.setdefault("best_cv_auc", grid_rows[-len(grid) + top][3])
-            parts.append(fitted.transform(split.where(F.col("split") != "train")).select(
-                F.lit(seed).alias("seed"), "split", "_unit", "label", "prediction",
-                vector_to_array("probability").alias("probabilities")))
+            scored = fitted.transform(split.where(F.col("split") != "train")).select(
+                F.lit(seed).alias("seed"), "split", "_unit", "label", "prediction", vector_to_array("probability").alias("probabilities"))
+            parts.append(stable(scored.withColumn("score", F.col("probabilities")[1])))
+            split.unpersist()
         predictions = parts[0]
         for part in parts[1:]:
             predictions = predictions.unionByName(part)
-        predictions = stable(predictions.withColumn("score", F.col("probabilities")[1]))
         by = ["seed", "split"]
         if multiclass:
             scored = predictions.withColumn("scores", F.map_from_arrays(
@@ -156,8 +160,7 @@ def linear_probe(rows: DataFrame, label: str = "label", group: str = "slide_id",
         importance = spark.createDataFrame(coefficients, "seed int, class int, dim int, weight double")
         return ProbeResult(values, summary, intervals, predictions, report, cv, importance, best)
     finally:
-        for frame in cached:
-            frame.unpersist()
+        data.unpersist()
 
 
 def bag_probe(tiles: DataFrame, labels: DataFrame, how: str = "mean", **options) -> ProbeResult:

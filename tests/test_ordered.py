@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,39 @@ def test_same_shards_whatever_the_partitioning(spark):
     one = sharding.assign_by_bytes(df.coalesce(1), ["g"], ["id"], "size", 40).toPandas()
     many = sharding.assign_by_bytes(df.repartition(13), ["g"], ["id"], "size", 40).toPandas()
     pd.testing.assert_frame_equal(one.sort_values("id").reset_index(drop=True), many.sort_values("id").reset_index(drop=True))
+
+
+@pytest.mark.parametrize("cap", [1, 9, 60, 10_000])
+def test_segments_up_and_down_a_tree(spark, monkeypatch, cap):
+    """Many chunks, put together two at a time, with light, heavy and over-long segments."""
+    monkeypatch.setattr(ordered, "FAN", 2)
+    rng = random.Random(cap)
+    data = [("hot" if i % 4 else f"g{i % 5}", i, rng.choice([0, 1, 2, 11])) for i in range(400)]
+    df = spark.createDataFrame(data, "g string, id int, size int").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        opened = spark.createDataFrame([("hot", 7, 3.0), ("g1", 2, None)], "g string, next_segment bigint, filled double")
+        got = {(r.g, r.id): r.segment for r in ordered.greedy_segments(df, ["g"], ["id"], "size", cap, opened=opened).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want, state = {}, {"hot": [7, 3], "g1": [2, None]}
+    for g, i, size in data:
+        own = state.setdefault(g, [0, None])
+        if own[1] is None:
+            own[1] = size
+        elif own[1] + size > cap:
+            own[:] = [own[0] + 1, size]
+        else:
+            own[1] += size
+        want[g, i] = own[0]
+    assert got == want
+
+
+def test_a_chunk_is_reduced_to_its_breakpoints():
+    """Equal outcomes are one run: once the ways through a chunk meet, a few numbers stand for all its rows."""
+    n = 1000
+    weight = np.where(np.arange(n) % 10 == 9, 50.0, 1.0)
+    upto = np.cumsum(weight)
+    long = ordered._Passage(float(upto[-1]), 0.0, False, upto[:60], np.zeros(60), np.full(60, 16), np.full(60, 3.0), np.zeros(60))
+    assert len(long.reduced().count) == 1
+    assert long.reduced().leave(60, np.inf, 4, 10.0, 0.0, False) == long.leave(60, np.inf, 4, 10.0, 0.0, False) == (20, 3.0, 0.0, False)
