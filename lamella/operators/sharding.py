@@ -22,8 +22,26 @@ def shard_name(number: Column, width: Column | int = NAME_WIDTH, prefix: str = "
 
 
 def shard_number(name: Column) -> Column:
-    """Number of a shard file name; NULL when the stem is not a number."""
-    return F.regexp_extract(text.basename(name), r"^(\d+)\.tar$", 1).try_cast("bigint")
+    """Number of a shard file name, also of a continued one; NULL when the stem is not a number."""
+    return F.regexp_extract(text.basename(name), r"^(\d+)(?:\.r\d+)?\.tar$", 1).try_cast("bigint")
+
+
+def shard_revision(name: Column) -> Column:
+    """How often a shard was continued: ``000004.r2.tar`` holds all of ``000004.r1.tar``, and that all of ``000004.tar``."""
+    return F.coalesce(F.regexp_extract(text.basename(name), r"\.r(\d+)\.tar$", 1).try_cast("int"), F.lit(0))
+
+
+def continued_name(name: Column) -> Column:
+    """File name of the next revision of a shard."""
+    stem = F.regexp_replace(name, r"(?:\.r\d+)?\.tar$", "")
+    return F.concat(stem, F.lit(".r"), (shard_revision(name) + 1).cast("string"), F.lit(".tar"))
+
+
+def superseded(existing: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Shard files of which a later revision exists; they may go once no reader follows an index that names them."""
+    rows = existing.withColumns({"_no": shard_number(F.col("shard_file")), "_rev": shard_revision(F.col("shard_file"))})
+    newest = rows.groupBy(*by, "_no").agg(F.max("_rev").alias("_last"))
+    return rows.join(newest, [*by, "_no"]).where("_rev < _last").select(*existing.columns)
 
 
 def next_shard(existing: DataFrame, by: Sequence[str], name: str = "shard_file") -> DataFrame:
@@ -33,15 +51,33 @@ def next_shard(existing: DataFrame, by: Sequence[str], name: str = "shard_file")
 
 
 def open_shard(existing: DataFrame, by: Sequence[str], cap: int) -> DataFrame:
-    """Per group the shard to continue: the last one while below the cap, else a fresh number.
+    """Per group the shard to continue: the last one while below the cap (its file is ``base_file``), else a fresh number.
 
     ``existing``: the group columns, shard_file and length.
     """
-    last = existing.withColumn("_no", shard_number(F.col("shard_file"))).where(F.col("_no").isNotNull())
-    top = last.groupBy(*by).agg(F.max(F.struct("_no", "length")).alias("_top"))
+    last = existing.withColumns({"_no": shard_number(F.col("shard_file")), "_rev": shard_revision(F.col("shard_file"))}).where(F.col("_no").isNotNull())
+    top = last.groupBy(*by).agg(F.max(F.struct("_no", "_rev", "length", "shard_file")).alias("_top"))
     unsealed = F.col("_top.length") < cap
     return top.select(*by, F.when(unsealed, F.col("_top._no")).otherwise(F.col("_top._no") + 1).alias("next_segment"),
-                      F.when(unsealed, F.col("_top.length").cast("double")).alias("filled"))
+                      F.when(unsealed, F.col("_top.length").cast("double")).alias("filled"),
+                      F.when(unsealed, text.basename(F.col("_top.shard_file"))).alias("base_file"))
+
+
+def continue_shards(assigned: DataFrame, opened: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Assignments whose shard is an open one get the name of its next revision."""
+    base = opened.where(F.col("base_file").isNotNull()).select(*by, F.col("next_segment").alias("shard"), "base_file")
+    joined = assigned.join(base, [*by, "shard"], "left")
+    name = F.coalesce(continued_name(F.col("base_file")), F.col("shard_file"))
+    return joined.withColumn("shard_file", name).select(*assigned.columns)
+
+
+def follow_continued(index: DataFrame, assigned: DataFrame, model: str) -> DataFrame:
+    """Index rows of a continued shard name the file that now holds them."""
+    path = F.concat_ws("/", "project_id", "shard_file")
+    now = assigned.where(shard_revision(F.col("shard_file")) > 0).select(
+        F.lit(model).alias("model"), "project_id", shard_number(F.col("shard_file")).alias("_no"), path.alias("_now")).distinct()
+    moved = index.withColumn("_no", shard_number(F.col("shard_file"))).join(now, ["model", "project_id", "_no"], "left")
+    return moved.withColumn("shard_file", F.coalesce("_now", "shard_file")).select(*index.columns)
 
 
 def assign_by_count(slides: DataFrame, by: Sequence[str], order: Sequence[str], cap: int = DEFAULT_MAX_SLIDES,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from lamella.operators import merge, quality
 from lamella.session import stable
 from lamella.sinks.buckets import BucketTable
-from lamella.sources import shards
+from lamella.sources import files, shards
+from lamella.sources.files import POINTER
 
 
 def csv_sink(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -71,6 +73,18 @@ def shard_sink(features: DataFrame, assigned: DataFrame, path: str, coords: bool
      .write.format("tarshards").option("coords", str(coords).lower()).mode("append").save(path))
 
 
+def index_sink(index: DataFrame, folder: str) -> str:
+    """Publish a shard index: written beside the older ones, then named by the pointer file that readers follow.
+
+    The pointer is replaced in one step, so a reader sees the old index or the new one, and what it reads stays where it is.
+    """
+    spark = index.sparkSession
+    name = f"index-{uuid.uuid4().hex[:12]}.parquet"
+    index.write.parquet(f"{folder.rstrip('/')}/{name}")
+    files.replace_text(spark, f"{folder.rstrip('/')}/{POINTER}", name)
+    return name
+
+
 def manifest_append_sink(entries: DataFrame, path: str, dry_run: bool = False) -> None:
     """Append shard manifest entries; repeated ones are reduced on reading."""
     if not dry_run:

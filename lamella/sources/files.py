@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
+#: Name of the file that tells readers which index is the current one.
+POINTER = "CURRENT"
+
+
+def replace_text(spark: SparkSession, path: str, content: str) -> None:
+    """A small text file replaced in one step (by rename, where the store has one)."""
+    jvm, gateway, conf = spark.sparkContext._jvm, spark.sparkContext._gateway, spark.sparkContext._jsc.hadoopConfiguration()
+    target, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}")
+    filesystem = target.getFileSystem(conf)
+    out = filesystem.create(draft, True)
+    out.write(bytearray(content.encode()))
+    out.close()
+    overwrite = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(filesystem.getUri(), conf)
+    context.rename(filesystem.makeQualified(draft), filesystem.makeQualified(target), overwrite)
+
+
+def current_index(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The published shard index; empty while there is none. It stays the same for whoever has it, also when a newer one is published."""
+    pointer = f"{folder.rstrip('/')}/{POINTER}"
+    if not path_exists(spark, pointer):
+        return spark.createDataFrame([], schema)
+    name = spark.read.text(pointer).first()[0]
+    return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{name}")
+
+
 def file_listing(spark: SparkSession, root: str, extensions: Sequence[str] | None = None,
                  recursive: bool = True) -> DataFrame:
     """(path, length, modified) of the files below ``root`` with an allowed suffix."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import tarfile
 import uuid
 from collections.abc import Iterator
@@ -44,6 +45,12 @@ def decode_features(stored: np.ndarray) -> tuple[np.ndarray, str]:
     return matrix.astype(np.float32), str(matrix.dtype)
 
 
+def revision_of(name: str) -> tuple[str, int]:
+    """Stem and revision of a shard's file name (0 for one that was never continued)."""
+    found = re.fullmatch(r"(.*?)(?:\.r(\d+))?\.tar", name)
+    return (found[1], int(found[2] or 0)) if found else (name, 0)
+
+
 def _npy(array: np.ndarray) -> bytes:
     buffer = io.BytesIO()
     np.save(buffer, array)
@@ -77,12 +84,16 @@ class ShardReader(DataSourceReader):
     def partitions(self) -> list[ShardFile]:
         filesystem, base = open_path(self.root)
         found = filesystem.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
-        shards = []
+        shards, newest = [], {}
         for entry in sorted(f.path for f in found if f.type == pafs.FileType.File and f.path.endswith(".tar")):
             parts = entry[len(base):].strip("/").split("/")
             if len(parts) == 3 and not parts[0].startswith("_"):
                 shards.append(ShardFile(entry, *parts))
-        return shards
+                number, revision = revision_of(parts[2])
+                key = (parts[0], parts[1], number)
+                newest[key] = max(newest.get(key, 0), revision)
+        # A continued shard holds all that its earlier revisions hold.
+        return [s for s in shards if revision_of(s.name)[1] == newest[s.model, s.group, revision_of(s.name)[0]]]
 
     def read(self, partition: ShardFile) -> Iterator[pa.RecordBatch]:
         filesystem, _ = open_path(self.root)
@@ -171,12 +182,23 @@ class ShardWriter(DataSourceArrowWriter):
                 filesystem.create_dir(posixpath.dirname(target), recursive=True)
                 stream = filesystem.open_output_stream(target)
                 tar = tarfile.open(fileobj=stream, mode="w|")
+                self._copy_base(filesystem, f"{base}/{'/'.join(key)}", tar)
             tar.addfile(*_member(slide + FEATURES, _npy(encode_features(matrix, precision))))
             if coords is not None:
                 tar.addfile(*_member(slide + COORDS, _npy(coords)))
         close()
         return message
 
+    def _copy_base(self, filesystem: pafs.FileSystem, final: str, tar: tarfile.TarFile) -> None:
+        """The members of the revision before, one at a time."""
+        folder, name = posixpath.split(final)
+        stem, revision = revision_of(name)
+        if revision:
+            before = f"{folder}/{stem}.r{revision - 1}.tar" if revision > 1 else f"{folder}/{stem}.tar"
+            with filesystem.open_input_stream(before) as held, tarfile.open(fileobj=held, mode="r|") as old:
+                for member in old:
+                    tar.addfile(member, old.extractfile(member))
+
     def _slides(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """Complete slides of consecutive rows: only one slide is held at a time."""
         current, blocks, places = None, [], []

@@ -8,7 +8,8 @@ from lamella import schemas
 from lamella.operators import sharding, state
 from lamella.plans import ORACLES, QUERIES, flows
 from lamella.session import stable
-from lamella.sources import shards
+from lamella.sinks import tables
+from lamella.sources import files, shards
 from tests.conftest import rows
 from tests.test_inventory_status import INVENTORY
 from tests.test_state import table, view
@@ -73,6 +74,37 @@ def test_append_twice(spark, tmp_path):
     assert sharding.run_summary(three.planned).first().n_appended == 0
 
 
+def test_append_continues_the_open_shard(spark, tmp_path):
+    """Three appends to one shard; a reader of the index in between keeps what it has."""
+    dest, folder = str(tmp_path / "wds"), str(tmp_path / "index")
+    ids = [f"s{i}" for i in range(7)]
+    features = spark.createDataFrame([(s, "m", t, [float(ids.index(s))] * 4, "float32") for s in ids for t in range(3)],
+                                     "slide_id string, model string, tile_idx int, features array<float>, precision string")
+    routing = spark.createDataFrame([(s, "A") for s in ids], "slide_id string, project_id string")
+    meta = empty(spark, "slide_id string, native_mpp double, mpp_is_fallback boolean")
+    held = []
+    for upto in (2, 5, 6):
+        found = spark.createDataFrame([(s, 48) for s in ids[:upto]], "slide_id string, bytes bigint")
+        listed = files.shard_listing(spark, dest).select(F.element_at(F.split("path", "/"), -2).alias("project_id"),
+                                                         F.element_at(F.split("path", "/"), -1).alias("shard_file"), "length")
+        index = files.current_index(spark, folder, schemas.SHARD_INDEX)
+        held.append(index)
+        out = flows.append_shards(features, found, index, routing, meta, listed, "m", dest, 1 << 20, continue_open=True)
+        tables.index_sink(out.index, folder)
+        assert rows(out.entries, "slide_id") == [(s,) for s in ids[:upto]]
+    assert rows(held[1], "shard_file") == [("A/000000.tar",)] * 2 and rows(held[2], "shard_file") == [("A/000000.r1.tar",)] * 5
+    now = files.current_index(spark, folder, schemas.SHARD_INDEX)
+    assert rows(now, "slide_id", "shard_file") == [(s, "A/000000.r2.tar") for s in ids[:6]]
+    back = shards.shard_scan(spark, dest)
+    assert back.count() == 18 and {(r.slide_id, r.features[0]) for r in back.collect()} == {(s, float(i)) for i, s in enumerate(ids[:6])}
+    listed = files.shard_listing(spark, dest).withColumn("shard_file", F.element_at(F.split("path", "/"), -1))
+    assert rows(sharding.superseded(listed, ["model"]), "shard_file") == [("000000.r1.tar",), ("000000.tar",)]
+    # A full shard is left alone.
+    more = flows.append_shards(features, spark.createDataFrame([("s6", 48)], "slide_id string, bytes bigint"), now, routing, meta,
+                               listed.withColumn("project_id", F.lit("A")), "m", dest, 100, continue_open=True)
+    assert rows(more.index.where("slide_id = 's6'"), "shard_file") == [("A/000001.tar",)] and more.entries.count() == 1
+
+
 SF = "/root/testdata/sf0.001"
 
 
