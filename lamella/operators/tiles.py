@@ -16,8 +16,8 @@ HASH_RANGE = 4294967296
 HASH_CHUNKS = 256
 
 
-def tile_grid(slides: DataFrame, patch_size: int, mpp: float = 0.5, overlap: int = 0) -> DataFrame:
-    """Tile corners of each slide (width, height, native_mpp) at the wanted pixel size.
+def grid_geometry(slides: DataFrame, patch_size: int, mpp: float = 0.5, overlap: int = 0) -> DataFrame:
+    """One row per slide (width, height, native_mpp): side and step of its tiles, and how many columns and rows there are.
 
     A tile covers ``patch_size`` pixels at ``mpp``; on a slide with another native
     pixel size that is ``patch_size * mpp / native`` of its own pixels. Only whole
@@ -27,14 +27,103 @@ def tile_grid(slides: DataFrame, patch_size: int, mpp: float = 0.5, overlap: int
     side = F.greatest(F.lit(1), F.round(F.lit(patch_size) * scale)).cast("bigint")
     step = F.greatest(F.lit(1), F.round(F.lit(patch_size - overlap) * scale)).cast("bigint")
 
-    def starts(extent: Column) -> Column:
-        room = extent.cast("bigint") - F.col("side")
-        return F.when(room >= 0, F.sequence(F.lit(0).cast("bigint"), room, F.col("step")))
+    def places(extent: str) -> Column:
+        room = F.col(extent).cast("bigint") - F.col("side")
+        return F.when(room >= 0, F.floor(room / F.col("step")) + 1).otherwise(F.lit(0)).cast("bigint")
+
+    return (slides.withColumns({"side": side, "step": step}).withColumns({"nx": places("width"), "ny": places("height")})
+            .select("slide_id", "side", "step", "nx", "ny"))
+
+
+def _span(first: Column, last: Column) -> Column:
+    """The whole numbers from ``first`` to ``last``; none if there are none."""
+    return F.explode(F.when(first <= last, F.sequence(first, last)))
+
+
+def tile_grid(slides: DataFrame, patch_size: int, mpp: float = 0.5, overlap: int = 0) -> DataFrame:
+    """Tile corners of each slide at the wanted pixel size (see ``grid_geometry``)."""
+    zero = F.lit(0).cast("bigint")
+    return (grid_geometry(slides, patch_size, mpp, overlap)
+            .withColumn("i", _span(zero, F.col("nx") - 1)).withColumn("j", _span(zero, F.col("ny") - 1))
+            .select("slide_id", (F.col("i") * F.col("step")).alias("x"), (F.col("j") * F.col("step")).alias("y"), "side"))
+
+
+#: Tiles per side of a block of the grid.
+GRID_BLOCK = 16
+
+
+def grid_class(geometry: DataFrame, mask: DataFrame) -> DataFrame:
+    """slide_id, x, y, side and class of the grid's tiles whose centre lies in a mask rectangle.
+
+    Slides meet rectangles, and the tiles of a rectangle follow by arithmetic after the join: no tile is shuffled.
+    """
+    half = F.floor(F.col("side") / 2)
+
+    def first(start: str) -> Column:
+        return F.greatest(F.lit(0), F.ceil((F.col(start) - half) / F.col("step"))).cast("bigint")
+
+    def last(end: str, count: str) -> Column:
+        return F.least(F.col(count) - 1, F.floor((F.col(end) - 1 - half) / F.col("step"))).cast("bigint")
+
+    return (mask.join(geometry, "slide_id")
+            .withColumn("i", _span(first("x0"), last("x1", "nx"))).withColumn("j", _span(first("y0"), last("y1", "ny")))
+            .select("slide_id", (F.col("i") * F.col("step")).alias("x"), (F.col("j") * F.col("step")).alias("y"), "side", "class"))
+
+
+def grid_shares(geometry: DataFrame, mask: DataFrame) -> DataFrame:
+    """slide_id, x, y, side and ``shares`` (class, share) of the grid's tiles that a mask class covers.
+
+    Rectangles are gathered per block of ``GRID_BLOCK`` by ``GRID_BLOCK`` tiles, with all that reach into one of its
+    tiles; disjoint rectangles are bounded by the area of a block. The tiles come after that, and each finds its shares in its
+    block's list, so none is shuffled.
+    """
+    def block(place: Column) -> Column:
+        return F.floor(place / GRID_BLOCK).cast("bigint")
+
+    def reach(start: str, end: str, count: str) -> Column:
+        touched = F.greatest(F.lit(0), F.floor((F.col(start) - F.col("side")) / F.col("step")) + 1).cast("bigint")
+        until = F.least(F.col(count) - 1, F.floor((F.col(end) - 1) / F.col("step"))).cast("bigint")
+        return F.explode(F.when(touched <= until, F.sequence(block(touched), block(until))))
+
+    solid = mask.where((F.col("x0") < F.col("x1")) & (F.col("y0") < F.col("y1"))).join(geometry, "slide_id")
+    blocks = (solid.withColumn("bi", reach("x0", "x1", "nx")).withColumn("bj", reach("y0", "y1", "ny"))
+              .groupBy("slide_id", "bi", "bj", "side", "step", "nx", "ny")
+              .agg(F.collect_list(F.struct("x0", "x1", "y0", "y1", "class")).alias("rects")))
+
+    def inside(number: str, count: str) -> Column:
+        start = F.col(number) * GRID_BLOCK
+        return _span(start, F.least(start + GRID_BLOCK, F.col(count)) - 1)
+
+    tiles = blocks.withColumn("i", inside("bi", "nx")).withColumn("j", inside("bj", "ny")).withColumns(
+        {"x": F.col("i") * F.col("step"), "y": F.col("j") * F.col("step")})
+
+    def overlap(rect: Column) -> Column:
+        wide = F.least(F.col("x") + F.col("side"), rect["x1"]) - F.greatest(F.col("x"), rect["x0"])
+        high = F.least(F.col("y") + F.col("side"), rect["y1"]) - F.greatest(F.col("y"), rect["y0"])
+        return F.when((wide > 0) & (high > 0), wide * high).otherwise(F.lit(0)).cast("bigint")
+
+    met = F.filter("rects", lambda r: overlap(r) > 0)
+
+    def share(c: Column) -> Column:
+        covered = F.aggregate("met", F.lit(0).cast("bigint"), lambda total, r: total + F.when(r["class"].eqNullSafe(c), overlap(r)).otherwise(F.lit(0)))
+        return F.struct(c.alias("class"), (covered / (F.col("side") * F.col("side"))).alias("share"))
+
+    own = F.array_distinct(F.transform("met", lambda r: r["class"]))
+    return (tiles.withColumn("met", met).where(F.size("met") > 0).withColumn("shares", F.transform(own, share))
+            .select("slide_id", "x", "y", "side", "shares"))
+
+
+def grid_class_shares(geometry: DataFrame, mask: DataFrame) -> DataFrame:
+    """``class_shares`` of all tiles of the grid."""
+    return grid_shares(geometry, mask).select("slide_id", "x", "y", "side", F.inline("shares"))
+
 
-    return (slides.withColumns({"side": side, "step": step})
-            .withColumn("x", F.explode(starts(F.col("width"))))
-            .withColumn("y", F.explode(starts(F.col("height"))))
-            .select("slide_id", "x", "y", "side"))
+def grid_min_tissue(geometry: DataFrame, mask: DataFrame, tissue_classes: Sequence[int], minimum: float) -> DataFrame:
+    """``min_tissue`` of all tiles of the grid."""
+    tissue = F.aggregate(F.filter("shares", lambda s: s["class"].isin(*tissue_classes)), F.lit(0.0), lambda total, s: total + s["share"])
+    some = F.exists("shares", lambda s: s["class"].isin(*tissue_classes))
+    return (grid_shares(geometry, mask).where(some).select("slide_id", "x", "y", "side", tissue.alias("tissue_share"))
+            .where(F.col("tissue_share") >= minimum))
 
 
 def _mask_cells(mask: DataFrame, block: int) -> DataFrame:

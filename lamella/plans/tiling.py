@@ -10,7 +10,7 @@ from lamella.functions import numeric, precision, rules
 from lamella.operators import embed, probe, tiles
 from lamella.plans.catalog import Tables, hash_sql, query, text
 
-PATCH, OVERLAP, BLOCK = 64, 16, 256
+PATCH, OVERLAP = 64, 16
 
 # Slides as wide as part sizes say; every fifth size has no pixel size of its own.
 _GRID_SQL = """
@@ -24,11 +24,18 @@ grid AS (SELECT slide_id, x, unnest(generate_series(0, height - side, step)) AS
 """
 
 
-def _grid(t: Tables) -> DataFrame:
+def _slides(t: Tables) -> DataFrame:
     none = F.col("p_size") % 5 == 0
-    slides = t.part.select(F.col("p_partkey").alias("slide_id"), (F.col("p_size") * 20).alias("width"), (F.col("p_size") * 5 + 400).alias("height"),
+    return t.part.select(F.col("p_partkey").alias("slide_id"), (F.col("p_size") * 20).alias("width"), (F.col("p_size") * 5 + 400).alias("height"),
                            F.when(none, None).when(F.col("p_size") < 25, 0.25).otherwise(0.5).alias("native_mpp"))
-    return tiles.tile_grid(slides, PATCH, 0.5, OVERLAP)
+
+
+def _geometry(t: Tables) -> DataFrame:
+    return tiles.grid_geometry(_slides(t), PATCH, 0.5, OVERLAP)
+
+
+def _grid(t: Tables) -> DataFrame:
+    return tiles.tile_grid(_slides(t), PATCH, 0.5, OVERLAP)
 
 
 @query(f"WITH {_GRID_SQL} SELECT slide_id, x, y, side FROM grid")
@@ -65,27 +72,26 @@ def _mask(t: Tables) -> DataFrame:
 
 @query(f"WITH {_MASK_SQL} SELECT slide_id, x, y, class FROM classed")
 def tile_mask_join(t: Tables) -> DataFrame:
-    return tiles.tile_class(_grid(t), _mask(t), BLOCK).select("slide_id", "x", "y", "class")
+    return tiles.grid_class(_geometry(t), _mask(t)).select("slide_id", "x", "y", "class")
 
 
 @query(f"WITH {_MASK_SQL} SELECT slide_id, x, y, class, round(share, 6) AS share FROM shares")
 def tile_class_shares(t: Tables) -> DataFrame:
-    return tiles.class_shares(_grid(t), _mask(t), BLOCK).select("slide_id", "x", "y", "class", F.round("share", 6).alias("share"))
+    return tiles.grid_class_shares(_geometry(t), _mask(t)).select("slide_id", "x", "y", "class", F.round("share", 6).alias("share"))
 
 
 @query(f"""
 WITH {_MASK_SQL}
 SELECT slide_id, x, y, round(sum(share), 6) AS tissue_share FROM shares WHERE class IN (1, 2, 3) GROUP BY 1, 2, 3 HAVING sum(share) >= 0.4""")
 def tile_min_tissue(t: Tables) -> DataFrame:
-    shares = tiles.class_shares(_grid(t), _mask(t), BLOCK)
-    return tiles.min_tissue(shares, [1, 2, 3], 0.4).select("slide_id", "x", "y", F.round("tissue_share", 6).alias("tissue_share"))
+    return tiles.grid_min_tissue(_geometry(t), _mask(t), [1, 2, 3], 0.4).select("slide_id", "x", "y", F.round("tissue_share", 6).alias("tissue_share"))
 
 
 @query(f"""
 WITH {_MASK_SQL}, kept AS (SELECT slide_id, avg(CASE WHEN class IN (4, 7) THEN 0.0 ELSE 1.0 END) AS k FROM classed GROUP BY 1)
 SELECT c.slide_id, x, y, class FROM classed c JOIN kept USING (slide_id) WHERE class NOT IN (4, 7) OR k < 0.1""")
 def artifact_fallback(t: Tables) -> DataFrame:
-    classed = tiles.tile_class(_grid(t), _mask(t), BLOCK)
+    classed = tiles.grid_class(_geometry(t), _mask(t))
     return tiles.remove_artifacts(classed, rules.artifact_classes(None, False, True)).select("slide_id", "x", "y", "class")
 
 
@@ -94,7 +100,7 @@ WITH {_MASK_SQL}
 SELECT slide_id, x, y, CASE class WHEN 1 THEN 1 WHEN 4 THEN 0 ELSE 2 END AS annotation FROM classed WHERE class IN (1, 4, 3)""")
 def annotated_tiles(t: Tables) -> DataFrame:
     """Raw background dropped, classes remapped, unmapped ones left out."""
-    classed = tiles.tile_class(_grid(t), _mask(t), BLOCK)
+    classed = tiles.grid_class(_geometry(t), _mask(t))
     return tiles.annotate(classed, {1: 1, 4: 0, 3: 2}).select("slide_id", "x", "y", "annotation")
 
 

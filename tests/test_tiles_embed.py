@@ -56,6 +56,26 @@ def test_shares_equal_loop(scene, block):
     assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+@pytest.mark.parametrize("patch,overlap", [(32, 0), (40, 15), (300, 100)])
+def test_grid_forms_equal_tile_forms_and_shuffle_no_tile(spark, monkeypatch, scene, patch, overlap):
+    _, m, _, _ = scene
+    monkeypatch.setattr(tiles, "GRID_BLOCK", 3)
+    slides = spark.createDataFrame([("big", 1000, 930, 0.5), ("small", 700, 1000, 0.3), ("none", 900, 900, 0.5), ("thin", 5, 900, 0.5)],
+                                   "slide_id string, width int, height int, native_mpp double")
+    geometry, grid = tiles.grid_geometry(slides, patch, 0.5, overlap), tiles.tile_grid(slides, patch, 0.5, overlap)
+    assert rows(tiles.grid_class(geometry, m)) == rows(tiles.tile_class(grid, m, 128))
+    want = {tuple(r)[:5]: r.share for r in tiles.class_shares(grid, m, 128).collect()}
+    got = {tuple(r)[:5]: r.share for r in tiles.grid_class_shares(geometry, m).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    tissue = {tuple(r)[:3]: r.tissue_share for r in tiles.grid_min_tissue(geometry, m, [1, 2], 0.2).collect()}
+    assert tissue == pytest.approx({tuple(r)[:3]: r.tissue_share for r in tiles.min_tissue(tiles.class_shares(grid, m, 128), [1, 2], 0.2).collect()})
+    for frame in (tiles.grid_class(geometry, m), tiles.grid_class_shares(geometry, m), tiles.grid_min_tissue(geometry, m, [1], 0.1)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        last = min(i for i, line in enumerate(plan.splitlines()) if "Exchange" in line)
+        # Lines above the topmost exchange run after it: the tiles are made there.
+        assert any("Generate explode(CASE WHEN" in line or "Generate explode(sequence" in line for line in plan.splitlines()[:last])
+
+
 def test_artifact_fallback(spark):
     data = [("lost", i, 4 if i < 19 else 1) for i in range(20)] + [("fine", i, 4 if i < 17 else 1) for i in range(20)] + [("edge", i, 4 if i < 18 else 1) for i in range(20)]
     df = spark.createDataFrame(data, "slide_id string, tile_idx int, class int")
