@@ -162,8 +162,15 @@ def report_tables_sink(tables: dict[str, DataFrame], folder: str) -> None:
 
 
 def validation_report_sink(errors: DataFrame, path: str) -> None:
-    """Error lines as text; one file, because a report is read by people and errors are few."""
-    quality.report_lines(errors).coalesce(1).write.mode("overwrite").text(path)
+    """Error lines as text, in order: the part files of the folder are ranges, and their names follow the order."""
+    lines = quality.report_lines(errors)
+    lines.repartitionByRange("value").sortWithinPartitions("value").write.mode("overwrite").text(path)
+
+
+def report_pages(spark, path: str) -> DataFrame:
+    """(page, text) of a report written in ordered parts, read back in order: whole parts, so that a page is one file."""
+    parts = spark.read.text(path, wholetext=True).select(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("page"), F.col("value").alias("text"))
+    return parts.where(F.length("text") > 0).orderBy("page")
 
 
 def sizes_match(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamella import schemas
 from lamella.operators import quality
 from lamella.operators.inventory import flatten_hits
+from lamella.session import open_path
 
 QUERY_COLUMNS = ["slide_id", "slide_path", "oncotree_code"]
 
@@ -43,14 +46,39 @@ def feature_scan(spark: SparkSession, path: str, schema: str = schemas.FEATURES)
     return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path)
 
 
+def _plain_path(name: str | Column) -> Column:
+    return F.regexp_replace(name, "^([A-Za-z0-9]+):/+", "$1:/")  # sources write a scheme with one or three slashes
+
+
+def footer_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(path, stated) of every file below a folder: the rows its footer states, NULL where that cannot be read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stated = []
+            for name in batch.column(0).to_pylist():
+                try:
+                    filesystem, inner = open_path(name)
+                    with filesystem.open_input_file(inner) as file:
+                        stated.append(pq.read_metadata(file).num_rows)
+                except (OSError, pa.ArrowException):
+                    stated.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stated, pa.int64())], names=["path", "stated"])
+    files = listed.repartition(F.col("path")).mapInArrow(look, "path string, stated bigint")
+    return files.select(_plain_path("path").alias("path"), "stated")
+
+
 def unreadable_files(spark: SparkSession, path: str, schema: str = schemas.FEATURES) -> DataFrame:
-    """``path`` of the files below a folder of features from which no row could be read: what ``feature_scan`` skips, and files without rows."""
-    def plain(name: str) -> Column:
-        return F.regexp_replace(name, "^([A-Za-z0-9]+):/+", "$1:/")  # the two sources write a scheme with one or three slashes
+    """(path, stated, found) of the files below a folder of features that ``feature_scan`` does not give whole.
 
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(plain("path").alias("path"))
-    seen = feature_scan(spark, path, schema).select(plain("_metadata.file_path").alias("path")).distinct()
-    return listed.join(seen, "path", "left_anti")
+    ``found`` rows were decoded to the last value, of the ``stated`` ones of the footer (NULL: the file has none that can be
+    read). So a file that is cut short shows, and one with a broken page in it.
+    """
+    decoded = F.count(F.when(F.hash("features").isNotNull(), 1))
+    seen = feature_scan(spark, path, schema).groupBy(_plain_path("_metadata.file_path").alias("path")).agg(decoded.alias("_n"))
+    told = footer_rows(spark, path).join(seen, "path", "left").withColumn("found", F.coalesce("_n", F.lit(0))).drop("_n")
+    return told.where(F.col("stated").isNull() | (F.col("found") < F.col("stated")) | (F.col("stated") == 0))
 
 
 def explode_matrix(rows: DataFrame, features: str = "features") -> DataFrame:
@@ -82,9 +110,12 @@ def class_mapping_scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _model_of_file(paths: Mapping[str, str]) -> Column:
-    file = F.col("_metadata.file_path")
-    return F.coalesce(*[F.when(file.endswith(path.split("://", 1)[-1].lstrip("/")), model)
-                        for model, path in paths.items()])
+    """Model of the file being read; each path is a file or a folder of part files."""
+    def own(path: str) -> Column:
+        end = path.split("://", 1)[-1].strip("/")
+        file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        return file.endswith(end) | file.contains(F.lit(f"/{end}/"))
+    return F.coalesce(*[F.when(own(path), model) for model, path in paths.items()])
 
 
 def metrics_json_scan(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
@@ -94,13 +125,20 @@ def metrics_json_scan(spark: SparkSession, paths: Mapping[str, str]) -> DataFram
 
 
 def report_csv_scan(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Classification reports in long form (model, class, metric, value); one file per model."""
-    out = None
-    for model, path in paths.items():
-        raw = spark.read.option("header", True).csv(path)
-        index, *classes = raw.columns
-        long = raw.select(F.col(index).alias("metric"), *[F.col(f"`{c}`").cast("double").alias(c) for c in classes])
-        rows = long.unpivot("metric", classes, "class", "value").select(
-            F.lit(model).alias("model"), "class", "metric", "value").where(F.col("value").isNotNull())
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Classification reports in long form (model, class, metric, value), of all models in one scan.
+
+    A report is a small file, read whole. Its own first line names its classes, so files may differ in their columns.
+    """
+    files = spark.read.text(list(paths.values()), wholetext=True).select(
+        _model_of_file(paths).alias("model"), F.filter(F.split("value", "\r?\n"), lambda line: line != "").alias("lines"))
+    width = files.agg(F.max(F.size(F.split(F.element_at("lines", 1), ",")))).first()[0] or 1
+    fields = ", ".join(f"c{i} string" for i in range(width))
+
+    def cells(line: Column) -> Column:
+        parsed = F.from_csv(line, fields)
+        return F.array(*[parsed[f"c{i}"] for i in range(width)])
+    headed = files.select("model", cells(F.element_at("lines", 1)).alias("names"), F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"))
+    values = headed.select("model", "names", cells(F.col("line")).alias("v")).select(
+        "model", F.col("v")[0].alias("metric"), F.posexplode(F.arrays_zip("names", "v")).alias("at", "cell"))
+    return values.where((F.col("at") > 0) & F.col("cell.names").isNotNull()).select(
+        "model", F.col("cell.names").alias("class"), "metric", F.col("cell.v").try_cast("double").alias("value")).where(F.col("value").isNotNull())

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import warnings
+from collections import Counter, defaultdict
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lamella.operators import merge, state
 from lamella.operators.inventory import scd_merge
@@ -18,14 +20,55 @@ from lamella.sources.files import path_exists
 Step = Callable[[DataFrame, int], None]
 
 
+class LateRows(StreamingQueryListener):
+    """Rows that came later than the watermark allows, summed over every micro-batch of each query."""
+
+    def __init__(self) -> None:
+        self.rows: Counter = Counter()
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.rows[str(progress.runId)] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+
+def run_to_end(start: Callable[[], StreamingQuery], spark: SparkSession, limit_s: float | None = None, patience_s: float = 30) -> int:
+    """Run a stream over what is there now; returns, and warns of, the rows that came too late."""
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = start()
+        if limit_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(limit_s):
+            query.stop()
+            raise TimeoutError(f"stream {query.id} did not finish within {limit_s} s")
+        # Events arrive in order and after the run: the last one says that all progress was seen.
+        late.ended[str(query.runId)].wait(patience_s)
+    finally:
+        spark.streams.removeListener(late)
+    number = late.rows[str(query.runId)]
+    if number:
+        warnings.warn(f"{number} rows came later than the watermark allows and were not counted", stacklevel=3)
+    return number
+
+
 def drain(stream: DataFrame, name: str, path: str | None = None, limit_s: float | None = None) -> DataFrame:
     """Run a stream over what is there now into a Parquet table, and read that table. It may take as long as it takes,
     unless the caller sets a limit."""
     spark = stream.sparkSession
     base = path or scratch_dir(spark, name)
-    query = (stream.writeStream.format("parquet").option("path", f"{base}/rows")
-             .option("checkpointLocation", f"{base}/progress").outputMode("append").trigger(availableNow=True).start())
-    _finish(query, limit_s)
+    run_to_end(lambda: (stream.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/progress")
+                        .outputMode("append").trigger(availableNow=True).start()), spark, limit_s)
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
@@ -39,24 +82,12 @@ def drain_updates(stream: DataFrame, keys: Sequence[str], name: str, limit_s: fl
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/rows/batch_no={batch_id}")
 
-    query = (stream.writeStream.outputMode("update").option("checkpointLocation", f"{base}/progress")
-             .trigger(availableNow=True).foreachBatch(write).start())
-    _finish(query, limit_s)
+    run_to_end(lambda: (stream.writeStream.outputMode("update").option("checkpointLocation", f"{base}/progress")
+                        .trigger(availableNow=True).foreachBatch(write).start()), stream.sparkSession, limit_s)
     rows = stream.sparkSession.read.option("basePath", f"{base}/rows").parquet(f"{base}/rows")
     return merge.latest_per_key(rows, keys, "batch_no").drop("batch_no")
 
 
-def _finish(query: StreamingQuery, limit_s: float | None) -> None:
-    if limit_s is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(limit_s):
-        query.stop()
-        raise TimeoutError(f"stream {query.id} did not finish within {limit_s} s")
-    late = sum(o.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for o in p["stateOperators"])
-    if late:
-        warnings.warn(f"{late} rows came later than the watermark allows and were not counted", stacklevel=3)
-
-
 def in_order(steps: Sequence[tuple[str, Step]], done_folder: str) -> Step:
     """A ``foreachBatch`` function that runs named steps in order, each once per batch id.
 

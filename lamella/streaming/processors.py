@@ -27,17 +27,37 @@ def _seconds(at: pd.Series) -> pd.Series:
     return (at - pd.Timestamp(0)) / pd.Timedelta(seconds=1)
 
 
+def _expire_after(handle: StatefulProcessorHandle, keep_s: float | None, at_s: float) -> None:
+    """One timer per key: ``keep_s`` after the newest row, at least a moment ahead of the watermark."""
+    if keep_s is not None:
+        due = int((at_s + keep_s) * 1000)
+        standing = list(handle.listTimers())
+        if not standing or max(standing) < due:
+            for expiry in standing:
+                handle.deleteTimer(expiry)
+            handle.registerTimer(due)
+
+
 # Readiness ------------------------------------------------------------------
 
 class Readiness(StatefulProcessor):
-    """Emits a file once it has been seen unchanged for long enough."""
+    """Emits a file once it has been seen unchanged for long enough.
+
+    With ``keep_s`` a file's state goes by event time when it was last looked at so long before the
+    watermark: also that of files that were emitted, so that the state holds the files of that span only.
+    """
 
-    def __init__(self, wait_s: float) -> None:
-        self.wait_s = wait_s
+    def __init__(self, wait_s: float, keep_s: float | None = None) -> None:
+        self.wait_s, self.keep_s = wait_s, keep_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", "length long, modified double, since double, emitted boolean")
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter([])
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         seen = pd.concat(list(rows)).sort_values("observed_at", kind="stable")
         state = self.last.get() if self.last.exists() else None
@@ -52,6 +72,7 @@ class Readiness(StatefulProcessor):
                 state = (*state[:3], True)
                 out = (key[0], int(length), observed)
         self.last.update(tuple(state))
+        _expire_after(self.handle, self.keep_s, times.max())
         if out is not None:
             yield pd.DataFrame([out], columns=["path", "length", "ready_at"])
 
@@ -59,10 +80,12 @@ class Readiness(StatefulProcessor):
         pass
 
 
-def ready_files(observations: DataFrame, wait_s: float) -> DataFrame:
-    """(path, length, ready_at) from repeated listings (path, length, modified, observed_at)."""
+def ready_files(observations: DataFrame, wait_s: float, keep_s: float | None = None, late: str = "0 seconds") -> DataFrame:
+    """(path, length, ready_at) from repeated listings (path, length, modified, observed_at); see ``Readiness`` for ``keep_s``."""
     plain = observations.select("path", "length", *[F.col(c).cast("timestamp") for c in ("modified", "observed_at")])
-    return _run(plain, ["path"], Readiness(wait_s), "path string, length bigint, ready_at timestamp")
+    if keep_s is not None:
+        plain = plain.withWatermark("observed_at", late)
+    return _run(plain, ["path"], Readiness(wait_s, keep_s), "path string, length bigint, ready_at timestamp", "None" if keep_s is None else "EventTime")
 
 
 # Batch trigger --------------------------------------------------------------
@@ -225,17 +248,29 @@ class GroupCompletion(StatefulProcessor):
     """Emits a sample as soon as its expected number of slides has arrived.
 
     The state is a set of ids that grows entry by entry and a count; nothing is
-    rewritten per micro-batch, and the ids go when the sample is complete.
+    rewritten per micro-batch, and the ids go when the sample is complete. With ``keep_s`` all of a sample's
+    state goes when its last row lies so long before the watermark, complete or not.
     """
 
+    def __init__(self, keep_s: float | None = None) -> None:
+        self.keep_s = keep_s
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        self.count.clear()
+        return iter([])
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.seen = handle.getMapState("seen", "slide_id string", "present boolean")
         self.count = handle.getValueState("count", "n int, emitted boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, emitted = self.count.get() if self.count.exists() else (0, False)
-        expected = 0
+        expected, newest = 0, 0.0
         for part in rows:
+            if self.keep_s is not None:
+                newest = max(newest, float(_seconds(part["at"]).max()))
             if emitted:
                 continue
             expected = max(expected, int(part["n_slides"].max()))
@@ -243,6 +278,7 @@ class GroupCompletion(StatefulProcessor):
                 if not self.seen.containsKey((slide,)):
                     self.seen.updateValue((slide,), (True,))
                     n += 1
+        _expire_after(self.handle, self.keep_s, newest)
         if emitted:
             return
         complete = n >= expected
@@ -255,8 +291,14 @@ class GroupCompletion(StatefulProcessor):
         pass
 
 
-def completed_samples(rows: DataFrame) -> DataFrame:
-    """(sample_id, n_slides) of complete samples from (sample_id, slide_id, n_slides)."""
+def completed_samples(rows: DataFrame, at: str | None = None, keep_s: float | None = None, late: str = "0 seconds") -> DataFrame:
+    """(sample_id, n_slides) of complete samples from (sample_id, slide_id, n_slides).
+
+    With ``at`` (event time) and ``keep_s`` a sample is forgotten that long after its last row.
+    """
     plain = rows.select(F.col("sample_id").cast("string").alias("sample_id"),
-                        F.col("slide_id").cast("string").alias("slide_id"), F.col("n_slides").cast("int").alias("n_slides"))
-    return _run(plain, ["sample_id"], GroupCompletion(), "sample_id string, n_slides int")
+                        F.col("slide_id").cast("string").alias("slide_id"), F.col("n_slides").cast("int").alias("n_slides"),
+                        *([F.col(at).cast("timestamp").alias("at")] if keep_s is not None else []))
+    if keep_s is not None:
+        plain = plain.withWatermark("at", late)
+    return _run(plain, ["sample_id"], GroupCompletion(keep_s), "sample_id string, n_slides int", "None" if keep_s is None else "EventTime")

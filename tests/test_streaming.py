@@ -231,3 +231,46 @@ def test_export_on_the_columns_both_sides_have(spark, tmp_path):
     jobs.export_merge(target, ["slide_id"], "at", evolve=False)(export, 0)
     assert target.read().columns == ["slide_id", "at", "own", "v"]
     assert rows(target.read()) == [("s1", 2, "kept", "new"), ("s2", 2, None, "two"), ("s3", 1, "k3", "o3")]
+
+
+def test_late_rows_are_counted_over_all_micro_batches(spark, tmp_path):
+    """The late rows come in early micro-batches, which the kept progress no longer holds."""
+    # A watermark tells rows apart from the batch after the next on.
+    seconds = [10_000, 10_500, 5_000, 11_000, 6_000, *range(12_000, 17_000, 1_000)]
+    df = stamped(spark, [(s,) for s in seconds], "done_at:bigint")
+    frames = [df.where(F.col("done_at").cast("long") == s) for s in seconds]
+    counts = intake.throughput_windows(feed(spark, str(tmp_path / "in"), frames), "done_at", "1 minute", "10 minutes")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        def start():
+            return (counts.writeStream.outputMode("append").format("noop").option("checkpointLocation", str(tmp_path / "p"))
+                    .trigger(availableNow=True).start())
+        with pytest.warns(UserWarning, match="2 rows came later"):
+            assert jobs.run_to_end(start, spark) == 2
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_state_is_empty_after_the_span(spark, tmp_path):
+    looks = [("a", 1, 10), ("b", 1, 10), ("a", 1, 100), ("tick", 9, 5_000), ("tick", 9, 9_000), ("tock", 9, 20_000), ("tock", 9, 20_500), ("end", 1, 40_000)]
+    df = stamped(spark, [(p, n, 0, s) for p, n, s in looks], "path:string length:bigint modified:bigint observed_at:bigint")
+    frames = [df.where(F.col("observed_at").cast("long") == s) for s in sorted({s for _, _, s in looks})]
+    stream = processors.ready_files(feed(spark, str(tmp_path / "in"), frames), 60, keep_s=1000)
+    got = jobs.drain(stream, "ready", str(tmp_path / "out"))
+    # A key goes once the watermark, which follows a batch later, has passed its span.
+    assert rows(got, "path", "length") == [("a", 1), ("tick", 9), ("tock", 9)]
+    left = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "out" / "progress"))
+    assert {r.key.path for r in left.collect()} <= {"tock", "end"}
+
+
+def test_completed_samples_are_forgotten(spark, tmp_path):
+    given = [("P", "a", 2, 5), ("P", "b", 2, 10), ("Q", "c", 3, 20), ("R", "d", 2, 9_000), ("X", "x", 9, 20_000), ("X", "y", 9, 25_000),
+             ("R", "e", 2, 30_000), ("S", "f", 2, 60_000)]
+    df = stamped(spark, given, "sample_id:string slide_id:string n_slides:int done_at:bigint")
+    frames = [df.where(F.col("slide_id") == g[1]) for g in given]
+    stream = processors.completed_samples(feed(spark, str(tmp_path / "in"), frames), "done_at", 1000)
+    got = jobs.drain(stream, "done", str(tmp_path / "out"))
+    assert rows(got) == [("P", 2)]
+    left = spark.read.format("statestore").option("stateVarName", "count").load(str(tmp_path / "out" / "progress"))
+    assert {r.key.sample_id for r in left.collect()} <= {"R", "S", "X"}
