@@ -184,7 +184,8 @@ def _inputs(docs: DataFrame) -> DataFrame:
 def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score of each row."""
     spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(machine)  # of fixed size: BUCKETS x (FACTORS + 1) numbers
+    # Plain arrays of fixed size, BUCKETS x (FACTORS + 1) numbers: workers need not have this package.
+    shipped = spark.sparkContext.broadcast(dict(vars(machine)))
     stay = [c for c in docs.columns if c != name]
     at, stated = stay.index("text"), stay.index("n_chars") if "n_chars" in stay else None
     rows = docs.select(*stay)
@@ -192,6 +193,6 @@ def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFr
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         given = batch.column(stated).cast(pa.int64()).to_pylist() if stated is not None else [None] * batch.num_rows
-        scores = shipped.value.score(batch.column(at).cast(pa.string()).to_pylist(), given)
+        scores = Machine(**shipped.value).score(batch.column(at).cast(pa.string()).to_pylist(), given)
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*stay, name])
     return by_batches(rows, f"{fields}, `{name}` double", run)

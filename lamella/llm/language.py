@@ -30,6 +30,8 @@ from lamella.llm.common import by_batches, portions
 
 #: At most so many documents of each language are fitted.
 FIT_PER_LANGUAGE = 1_000
+#: So many languages are learned at most, the most frequent ones.
+MOST_LANGUAGES = 64
 BITS = 18
 BUCKETS = 1 << BITS
 _LETTERS: list[np.ndarray] = []
@@ -75,18 +77,28 @@ def ngrams(texts: list[str | None]) -> tuple[list[tuple[np.ndarray, np.ndarray]]
 
 @dataclass
 class Model:
+    """Weights of the n-grams that have any: ``rows`` gives the row of ``table`` for each bucket, row 0 being zero."""
+
     languages: list[str]
+    rows: np.ndarray = field(repr=False)
     table: np.ndarray = field(repr=False)
     bias: np.ndarray
     temperature: float = 1.0
 
+    @classmethod
+    def sparse(cls, languages: list[str], weights: np.ndarray, bias: np.ndarray) -> Model:
+        used = np.flatnonzero(weights.any(axis=1))
+        rows = np.zeros(len(weights), dtype=np.int32)
+        rows[used] = np.arange(1, len(used) + 1)
+        return cls(languages, rows, np.concatenate([np.zeros((1, len(languages))), weights[used]]).astype(np.float32), bias)
+
     def logits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         parts, found = ngrams(texts)
         out, number = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), dtype=np.int64)
         for buckets, counts in parts:
             starts, full = np.concatenate([[0], np.cumsum(counts)[:-1]]), counts > 0
             if full.any():
-                out[full] += np.add.reduceat(self.table[buckets], starts[full], axis=0, dtype=np.float64)
+                out[full] += np.add.reduceat(self.table[self.rows[buckets]], starts[full], axis=0, dtype=np.float64)
             number += counts
         return out / np.maximum(number, 1)[:, None] + self.bias, found
 
@@ -166,7 +178,7 @@ def train(texts: list[str], targets: np.ndarray, languages: list[str], idf: np.n
             z[at] += slope - sigma * w
             n[at] += slope * slope
     w = weights(slice(None))
-    model = Model(languages, (w[:BUCKETS] * idf[:, None] * scale).astype(np.float32), w[BUCKETS])
+    model = Model.sparse(languages, w[:BUCKETS] * idf[:, None] * scale, w[BUCKETS])
     held = np.flatnonzero(kept_out)
     if len(held):
         logits = np.concatenate([model.logits([texts[i]])[0] for i in held])
@@ -176,16 +188,20 @@ def train(texts: list[str], targets: np.ndarray, languages: list[str], idf: np.n
     return model
 
 
-def fit(docs: DataFrame, learn_from, per_language: int = FIT_PER_LANGUAGE) -> Model:
-    """A model of the documents that satisfy ``learn_from`` and have a language and a text."""
+def fit(docs: DataFrame, learn_from, per_language: int = FIT_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> Model:
+    """A model of the documents that satisfy ``learn_from`` and have a language and a text.
+
+    It learns the ``most_languages`` most frequent values of ``lang``, which bounds the sample and the weights.
+    """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(learn_from).filter(F.col("lang").isNotNull())
-    # Of a language with n documents, the hash first lets about 4 x per_language through, so that few are ranked.
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Of a language with n documents, the hash lets about 4 x per_language through, so that few are ranked. The limits are
+    # part of the plan (one number a language), so the filter comes before any shuffle.
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    limits = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, 4.0 * per_language / r.n)]) if sizes else F.lit(None).cast("map<string,double>")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    few = rows.select("doc_id", "lang", place.alias("place")).join(sizes, "lang").filter(
-        F.col("place") * F.col("n") < F.lit(4 * per_language << 30))
+    few = rows.select("doc_id", "lang", place.alias("place")).filter(F.col("place") < limits[F.col("lang")] * float(1 << 30))
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     chosen = few.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
     # The ids sent are at most ``per_language`` numbers a language; repeated ids come back once.
@@ -193,7 +209,7 @@ def fit(docs: DataFrame, learn_from, per_language: int = FIT_PER_LANGUAGE) -> Mo
     found = sample.toPandas().sort_values(["doc_id", "lang"])
     languages = sorted(set(found["lang"]))
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0), dtype=np.float32), np.zeros(0))
+        return Model.sparse([], np.zeros((BUCKETS, 0)), np.zeros(0))
     frequency, number = document_frequencies(rows.filter(F.col("text").isNotNull()))
     idf = np.log((1 + number) / (1 + frequency)) + 1
     # A fixed shuffle mixes the languages.
@@ -204,11 +220,12 @@ def fit(docs: DataFrame, learn_from, per_language: int = FIT_PER_LANGUAGE) -> Mo
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every row."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: BUCKETS x languages
+    # Plain arrays, so that workers need not have this package: the weights that are not zero, of MOST_LANGUAGES languages at most.
+    shipped = docs.sparkSession.sparkContext.broadcast(dict(vars(model)))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
-        own = shipped.value
+        own = Model(**shipped.value)
         labels, scores = own.predict(texts) if own.languages else (["und"] * len(texts), np.zeros(len(texts)))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                                           names=["doc_id", "lang_pred", "score"])
