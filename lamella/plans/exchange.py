@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lamella.functions import predicates
 from lamella.plans.catalog import Tables, day, query, text
-from lamella.session import scratch_dir
+from lamella.session import open_path, scratch_dir
 from lamella.sinks import tables
 from lamella.sources import documents, files, sheets
 
@@ -135,16 +135,33 @@ def class_mapping_file(t: Tables) -> DataFrame:
 
 @query("""
 SELECT label AS slide_id, vec_id AS tile_idx, len(embedding) AS width, round(list_sum(list_transform(embedding, lambda v: v::DOUBLE)), 5) AS total
-FROM embeddings""")
+FROM embeddings UNION ALL SELECT -1, 0, 0, NULL UNION ALL SELECT -2, 0, 0, NULL UNION ALL SELECT -3, 0, 0, 0.0""")
 def feature_table_file(t: Tables) -> DataFrame:
-    """Feature rows published by slide prefix, beside a file that cannot be read, which is listed and not fatal."""
+    """Feature rows published by slide prefix, beside a file that is cut short, one that is no table, and one with a broken page.
+
+    The three are not fatal. They are listed with the rows their footers state (none for -1 and -2) and those that were decoded.
+    """
     path = scratch_dir(t.spark, "features")
     rows = t.embeddings.select(text("label").alias("slide_id"), F.lit("m").alias("model"), F.col("vec_id").cast("int").alias("tile_idx"),
                                F.col("embedding").alias("features"), F.lit("float32").alias("precision"))
     tables.prefix_partition_sink(rows, path, 1)
+    sound = files.file_listing(t.spark, path, [".parquet"]).agg(F.min_by("path", "length")).first()[0]
+    filesystem, inner = open_path(sound)
+    with filesystem.open_input_file(inner) as file:
+        whole = file.read()
+    page = bytearray(whole)
+    page[4:len(whole) // 3] = b"\xff" * (len(whole) // 3 - 4)
+    _, base = open_path(path)
+    for number, content in ((1, whole[:len(whole) // 2]), (2, b"no table"), (3, bytes(page))):
+        filesystem.create_dir(f"{base}/prefix=z{number}", recursive=True)
+        with filesystem.open_output_stream(f"{base}/prefix=z{number}/part.parquet") as out:
+            out.write(content)
+    bad = documents.unreadable_files(t.spark, path).select(
+        (-F.regexp_extract("path", "prefix=z([0-9])/", 1).cast("int")).alias("slide_id"), F.lit(0).alias("tile_idx"), F.lit(0).alias("width"),
+        F.when(F.col("stated") > 0, F.col("found").cast("double")).alias("total"))
     usable, _ = documents.feature_rejects(documents.feature_scan(t.spark, path))
     total = F.aggregate(F.transform("features", lambda v: v.cast("double")), F.lit(0.0), lambda a, v: a + v)
-    return usable.select(F.col("slide_id").cast("int").alias("slide_id"), "tile_idx", F.size("features").alias("width"), F.round(total, 5).alias("total"))
+    return usable.select(F.col("slide_id").cast("int").alias("slide_id"), "tile_idx", F.size("features").alias("width"), F.round(total, 5).alias("total")).unionByName(bad)
 
 
 @query("""

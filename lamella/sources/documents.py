@@ -42,8 +42,10 @@ def sql_file_source(spark: SparkSession, path: str | None = None, query: str | N
 
 
 def feature_scan(spark: SparkSession, path: str, schema: str = schemas.FEATURES) -> DataFrame:
-    """Tile feature rows; unreadable files are skipped, and ``unreadable_files`` lists them. The schema is given, so none of them is asked for it."""
-    return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path)
+    """Tile feature rows; unreadable files are skipped, and ``unreadable_files`` lists them. The schema is given, so none of them is
+    asked for it. The checksums of the pages are verified: values that were changed in place are not taken for sound ones."""
+    return (spark.read.schema(schema).option("ignoreCorruptFiles", True)
+            .option("parquet.page.verify-checksum.enabled", "true").parquet(path))
 
 
 def _plain_path(name: str | Column) -> Column:
@@ -75,8 +77,10 @@ def unreadable_files(spark: SparkSession, path: str, schema: str = schemas.FEATU
     ``found`` rows were decoded to the last value, of the ``stated`` ones of the footer (NULL: the file has none that can be
     read). So a file that is cut short shows, and one with a broken page in it.
     """
-    decoded = F.count(F.when(F.hash("features").isNotNull(), 1))
-    seen = feature_scan(spark, path, schema).groupBy(_plain_path("_metadata.file_path").alias("path")).agg(decoded.alias("_n"))
+    rows = feature_scan(spark, path, schema)
+    # One for each row, but only for who has read all of its columns: a broken page of any of them loses the rows.
+    decoded = F.sum(F.pmod(F.hash(*rows.columns), F.lit(1)) + 1).cast("bigint")
+    seen = rows.groupBy(_plain_path("_metadata.file_path").alias("path")).agg(decoded.alias("_n"))
     told = footer_rows(spark, path).join(seen, "path", "left").withColumn("found", F.coalesce("_n", F.lit(0))).drop("_n")
     return told.where(F.col("stated").isNull() | (F.col("found") < F.col("stated")) | (F.col("stated") == 0))
 
