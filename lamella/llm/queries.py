@@ -29,7 +29,7 @@ def query(sql: str | None = None):
 
 @query("""
 WITH RECURSIVE m AS (
-  SELECT row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text) - 1 AS id,
+  SELECT row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, coalesce(text, '')) - 1 AS id,
          conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 cut AS (SELECT id, conv_id, string_split(text, chr(10)) AS parts FROM m),
 each AS (SELECT id, conv_id, i AS pos, parts[i] AS line FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM cut)),

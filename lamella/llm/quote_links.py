@@ -119,9 +119,9 @@ def conversations(messages: DataFrame, thread: str = "conv_id", turn: str = "tur
     """thread, turn, author, position (from 0, in reply order), depth, reply_to (a turn), n_quoted, n_linked and body."""
     rows = messages.select(F.col(thread).alias("thread"), F.col(turn).alias("turn"), F.col(author).alias("author"),
                            F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("t", F.coalesce(F.concat(F.lit("="), F.col("thread").cast("string")), F.lit(""))).withColumn("mark", F.xxhash64("text"))
-    own = written(numbered(rows, ["thread", "t", "turn", "author", "mark"], "id").drop("mark"), "messages")
-    lines = lines_of(own)
+    rows = rows.withColumn("t", F.coalesce(F.concat(F.lit("="), F.col("thread").cast("string")), F.lit("")))
+    own = written(numbered(rows, ["thread", "t", "turn", "author", "text"], "id"), "messages")
+    lines = written(lines_of(own), "lines")
     best, counts = linked(lines)
     before = own.select((F.col("id") + 1).alias("id"), F.col("t").alias("tb"))
     tree = (own.select("id", "t").join(before, "id", "left").join(best, "id", "left")

@@ -108,7 +108,7 @@ def test_orc_files(spark, library, tmp_path):
         start += len(ids)
     assert got == sorted(want, key=repr)
     found = orc_tokens.read(spark, path).filter("doc_id = 3")
-    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,3)]" in found._jdf.queryExecution().executedPlan().toString() or found.count() == 1
+    assert "EqualTo(doc_id,3)" in found._jdf.queryExecution().executedPlan().toString().split("PushedFilters: ")[1].split("]")[0]
     assert [r.ids for r in found.collect()] == [[*encode(rows[1][1]), 0]]
     empty = str(tmp_path / "none")
     orc_tokens.write(docs.limit(0), empty)
