@@ -5,11 +5,14 @@ of ``ROWS`` minima each; sets with similarity 0.8 share a key with a probability
 1 - (1 - 0.8 ** 5) ** 24 = 0.99993. Pairs that share a key are verified on the whole
 sets, so no link rests on an estimate.
 
-Within a key, every node is first held against one pivot, the smallest node. Copies of
-one text meet in a component by that, whatever their number. Then only keys whose nodes
-lie in different components are looked at again: their nodes are paired across
-components, if the sizes of the sets allow the similarity. A key with more than
-``CROWD`` nodes is split by the keys that follow it before, and what stays crowded by bands of set size.
+Within a key, every node is first held against one pivot, the node that shares its keys
+with most others: of copies with small changes, the text they come from. They meet in a
+component by that, whatever their number. Then only keys whose nodes lie in different
+components are looked at again: their nodes are paired across components, once each, if the
+sizes of the sets allow the similarity and at least ``AGREE`` of their ``BANDS * ROWS`` minima agree
+(seven bits of each; at similarity 0.8, 96 do, and fewer than that with a probability of 0.0001).
+A key with more than ``CROWD`` nodes is split by the keys that follow it before, and what stays
+crowded by bands of set size.
 
 Texts within three bits of SimHash are linked as well, as in operator 8.
 
@@ -37,6 +40,10 @@ BANDS, ROWS = 24, 5
 #: A crowded key is split by so many of the keys that follow it.
 NEXT = 4
 CROWD = 32
+#: Minima that have to agree before two sets are compared as a whole.
+AGREE = 80
+#: Minima in a number of the signature: a byte each, its top bit free.
+LANES = 7
 _PART = 2048
 _FACTORS = np.random.default_rng(simhash.SEED).integers(0, 1 << 63, (BANDS * ROWS + ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -56,17 +63,20 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], simhash.SEED) for a, b in bounds), dtype="<u8"))
 
 
-def node_and_keys(hashes: np.ndarray) -> tuple[int, np.ndarray]:
-    """Hash of the set, and its band keys."""
+def node_and_keys(hashes: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Hash of the set, its band keys and its signature: seven bits of each minimum, ``LANES`` to a number."""
     import xxhash
 
     if not len(hashes):
-        return 0, np.zeros(0, dtype=np.uint64)
+        return 0, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     least = np.full((BANDS * ROWS, 1), np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(hashes), _PART):
         least = np.minimum(least, (hashes[at:at + _PART] * _FACTORS[:-ROWS]).min(axis=1, keepdims=True))
     bands = (least.reshape(BANDS, ROWS) * _FACTORS[-ROWS:].T).sum(axis=1, dtype=np.uint64)
-    return xxhash.xxh64_intdigest(hashes.tobytes()), (bands ^ (bands >> np.uint64(31))) * _FACTORS[:BANDS, 0] + np.arange(BANDS, dtype=np.uint64)
+    short = np.zeros(-(-BANDS * ROWS // LANES) * LANES, dtype=np.uint64)
+    short[:BANDS * ROWS] = (least[:, 0] * _FACTORS[0, 0]) >> np.uint64(57)
+    signature = (short.reshape(-1, LANES) << (np.arange(LANES, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64)
+    return xxhash.xxh64_intdigest(hashes.tobytes()), (bands ^ (bands >> np.uint64(31))) * _FACTORS[:BANDS, 0] + np.arange(BANDS, dtype=np.uint64), signature
 
 
 def body_of(text: str) -> Column:
@@ -74,29 +84,39 @@ def body_of(text: str) -> Column:
 
 
 def nodes_of(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, body (hash of the text), fp, node, size (of its set) and keys of every row."""
+    """doc_id, body (hash of the text), fp, node, size (of its set), keys and signature of every row."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps, nodes, sizes, keys = [], [], [], []
+        fps, nodes, sizes, keys, marks = [], [], [], [], []
         for value in batch.column(2).to_pylist():
             held = shingles(value)
-            node, own = node_and_keys(held)
+            node, own, mark = node_and_keys(held)
             fps.append(simhash.fingerprint(value))
             nodes.append(node)
             sizes.append(len(held))
             keys.append(own.view(np.int64))
+            marks.append(mark.view(np.int64))
         longs = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (fps, nodes)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-                                          names=["doc_id", "body", "fp", "node", "size", "keys"])
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (keys, marks)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, pa.array(sizes, pa.int32()), *lists],
+                                          names=["doc_id", "body", "fp", "node", "size", "keys", "mark"])
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), body_of(text).alias("body"), F.col(text).cast("string").alias("text"))
-    return by_batches(rows, "doc_id bigint, body bigint, fp bigint, node bigint, size int, keys array<bigint>", run)
+    return by_batches(rows, "doc_id bigint, body bigint, fp bigint, node bigint, size int, keys array<bigint>, mark array<bigint>", run)
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
-    """Rows of keys that several nodes share, with their number and the smallest."""
-    sizes = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1")
+    """Rows (k, node and more) of keys that several nodes share, with their number ``n``."""
+    sizes = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return written(keyed.join(sizes, "k"), "near-keys")
 
 
+def _stars(shared: DataFrame) -> DataFrame:
+    """Each node of a key with the key's pivot: the node whose keys are shared by most."""
+    fame = shared.groupBy("node").agg(F.sum("n").alias("fame"))
+    pivots = shared.select("k", "node").join(fame, "node").groupBy("k").agg(F.max_by("node", F.struct("fame", "node")).alias("first"))
+    pairs = shared.select("k", "node").join(pivots, "k").filter("node <> first")
+    return pairs.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
+
+
 def _parted(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """``shared`` with the component of each node, of the keys whose nodes lie in several."""
     placed = shared.join(roots.select("node", F.col("root").alias("_r")), "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
@@ -109,16 +129,28 @@ def may_be_similar(a: str, b: str) -> Column:
     return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
 
 
-def _across(parted: DataFrame, banded: bool = False) -> DataFrame:
-    """Pairs of nodes of one key in different components, if their sizes allow the similarity."""
-    left, right, on = parted, parted.select("k", F.col("node").alias("b"), F.col("root").alias("_r"), F.col("size").alias("_s")), ["k"]
+def agreeing(a: str, b: str) -> Column:
+    """How many minima of two signatures agree: those whose bytes differ by nothing."""
+    low, top = (sum(byte << 8 * i for i in range(LANES)) for byte in (0x7F, 0x80))
+    # Adding 0x7F sets the top bit of each byte that is not zero. The bytes that fill up the last number are.
+    other = [F.bit_count((F.col(a)[i].bitwiseXOR(F.col(b)[i]) + F.lit(low)).bitwiseAND(F.lit(top))) for i in range(-(-BANDS * ROWS // LANES))]
+    return F.lit(BANDS * ROWS) - sum(other[1:], other[0])
+
+
+def _across(parted: DataFrame, nodes: DataFrame, banded: bool = False) -> DataFrame:
+    """Pairs of nodes in different components that share a key, each once, if they may be similar by size and signature."""
+    own = parted.groupBy("node").agg(F.sort_array(F.collect_set("k")).alias("own"))  # at most BANDS * NEXT keys
+    rows = parted.select("k", "node", "root").join(own, "node").join(nodes.select("node", "size", "mark"), "node")
+    left, on = rows, ["k"]
+    right = rows.select("k", F.col("node").alias("b"), F.col("root").alias("_r"), F.col("size").alias("_s"), F.col("own").alias("_own"), F.col("mark").alias("_mark"))
     if banded:
         # Sizes of similar sets lie in the same band or in neighbours.
         band = lambda size: F.floor(F.log(F.col(size)) / F.log(F.lit(SIMILAR[1] / SIMILAR[0]))).cast("int")
         left = left.withColumn("_band", F.explode(F.array(*[band("size") + step for step in (-1, 0, 1)])))
         right, on = right.withColumn("_band", band("_s")), ["k", "_band"]
-    near = (F.col("root") != F.col("_r")) & (F.col("node") < F.col("b")) & may_be_similar("size", "_s")
-    return left.join(right, on).filter(near).select(F.col("node").alias("a"), "b")
+    near = (F.col("root") != F.col("_r")) & (F.col("node") < F.col("b")) & may_be_similar("size", "_s") & (agreeing("mark", "_mark") >= AGREE)
+    once = F.element_at(F.array_intersect("own", "_own"), 1) == F.col("k")
+    return left.join(right, on).filter(near & once).select(F.col("node").alias("a"), "b")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -153,18 +185,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links(rows: DataFrame, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Links ``a``, ``b`` that connect all nodes with similar sets that share a key."""
-    nodes = rows.groupBy("node").agg(F.first("keys").alias("keys"), F.first("size").alias("size"))
-    shared = _shared(nodes.select("node", "size", F.explode("keys").alias("k")))
+    nodes = rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("keys", "size", "mark")])
+    shared = _shared(nodes.select("node", F.explode("keys").alias("k")))
     sets = sets_of(shared.select("node").distinct(), rows, docs, text, doc_id)
-    found = verified(shared.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")), sets)
+    found = verified(_stars(shared), sets)
     parted = _parted(shared, simhash.components(found))
-    pairs, crowded = _across(parted.filter(F.col("n") <= CROWD)), parted.filter(F.col("n") > CROWD)
+    pairs, crowded = _across(parted.filter(F.col("n") <= CROWD), nodes), parted.filter(F.col("n") > CROWD)
     if not crowded.isEmpty():
         at = F.array_position("keys", F.col("k")).cast("int")
         finer = F.array(*[F.xxhash64("k", F.element_at("keys", (at + (step - 1)) % BANDS + 1)) for step in range(1, NEXT + 1)])
-        split = crowded.select("node", "k", "root").join(nodes, "node").select("node", "size", "root", F.explode(finer).alias("k"))
+        split = crowded.select("node", "k", "root").join(nodes.select("node", "keys"), "node").select("node", "root", F.explode(finer).alias("k"))
         again = _shared(split)
-        pairs = pairs.unionByName(_across(again.filter(F.col("n") <= CROWD))).unionByName(_across(again.filter(F.col("n") > CROWD), banded=True))
+        pairs = pairs.unionByName(_across(again.filter(F.col("n") <= CROWD), nodes)).unionByName(_across(again.filter(F.col("n") > CROWD), nodes, banded=True))
     return found.unionByName(verified(pairs, sets))
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -97,3 +98,16 @@ def test_pairs_grow_with_a_group_of_copies_and_not_its_square(spark, monkeypatch
         monkeypatch.undo()
         counts[copies] = sum(seen)
     assert counts[240] < 8 * counts[60]
+
+
+def test_signatures_count_agreeing_minima(spark):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 40, 300)]
+    sets += [np.unique(np.concatenate([s, rng.integers(0, 1 << 63, max(len(s) // 5, 1), dtype=np.uint64)])) for s in sets]
+    marks = [near_copies.node_and_keys(s)[2] for s in sets]
+    rows = [(i, j, a.view(np.int64).tolist(), b.view(np.int64).tolist()) for i, a in enumerate(marks) for j, b in enumerate(marks)]
+    frame = spark.createDataFrame(rows, "i int, j int, a array<bigint>, b array<bigint>")
+    got = {(r.i, r.j): r.n for r in frame.select("i", "j", near_copies.agreeing("a", "b").alias("n")).collect()}
+    lanes = [np.stack([m >> np.uint64(8 * i) & np.uint64(0x7F) for i in range(7)], axis=1).ravel()[:120] for m in marks]
+    assert got == {(i, j): int((x == y).sum()) for i, x in enumerate(lanes) for j, y in enumerate(lanes)}
+    assert all(got[i, i] == 120 for i in range(len(sets))) and got[0, 1] < 20
