@@ -38,7 +38,7 @@ from lamella.llm.common import by_batches, portions
 
 BLANK = "▁"
 #: A worker remembers so many words twice over (the last ones met, and those before), if they are no longer than this.
-KEPT, KEPT_LENGTH = 1 << 18, 48
+KEPT, KEPT_LENGTH = 1 << 19, 48
 #: Up to so many characters the agenda is a list, beyond it a heap.
 SHORT = 40
 #: So many new words are held against the library at a time.
