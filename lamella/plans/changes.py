@@ -63,12 +63,16 @@ def stream_state_tables(t: Tables) -> DataFrame:
     keyed = lambda b: b.select(path.alias("slide_path"), F.col("o_orderkey").cast("string").alias("slide_id"), "kind", "lost")
     arrive, lost = jobs.intake_to_state(state, F.current_timestamp()), jobs.requeue_lost(state)
     newest = jobs.export_merge(export, ["custkey"], "at")
-    steps = [("intake", lambda b, i: arrive(keyed(b).where("kind = 'P'").select("slide_path", "slide_id"), i)), ("retry", jobs.retry_sweep(state, 3)),
-             ("lost", lambda b, i: lost(keyed(b).where("lost AND kind = 'O'"), i)),
-             ("export", lambda b, i: newest(b.select(F.col("o_custkey").cast("string").alias("custkey"), F.col("o_orderkey").cast("bigint").alias("at"),
-                                                     F.col("o_orderkey").cast("string").alias("last"), F.col("part").cast("bigint").alias("part")), i))]
+    # Hooks run by phase, whatever the order they were given in.
+    hooks = jobs.Hooks(("intake", "retry", "lost", "export"))
+    hooks.add("export", lambda batch, batch_id, limit: newest(batch.select(
+        F.col("o_custkey").cast("string").alias("custkey"), F.col("o_orderkey").cast("bigint").alias("at"),
+        F.col("o_orderkey").cast("string").alias("last"), F.col("part").cast("bigint").alias("part")), batch_id))
+    hooks.add("lost", lambda batch, batch_id, limit: lost(keyed(batch).where("lost AND kind = 'O'"), batch_id))
+    hooks.add("retry", lambda batch, batch_id, limit: jobs.retry_sweep(state, limit)(batch, batch_id))
+    hooks.add("intake", lambda batch, batch_id, limit: arrive(keyed(batch).where("kind = 'P'").select("slide_path", "slide_id"), batch_id))
     stream = t.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
     (stream.writeStream.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True)
-     .foreachBatch(jobs.in_order(steps, f"{base}/done")).start().awaitTermination())
+     .foreachBatch(jobs.in_order(hooks.steps(limit=3), f"{base}/done")).start().awaitTermination())
     now = state.read().select(F.lit("state").alias("kind"), F.col("slide_path").alias("key"), F.col("status").alias("value"), F.col("fail_count").cast("bigint").alias("n"))
     return now.unionByName(export.read().select(F.lit("export").alias("kind"), F.col("custkey").alias("key"), F.col("last").alias("value"), F.col("part").alias("n")))
