@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
 All stages but the last return the columns of ``documents``.
+
+Defined cases, in every stage: NULL text counts as empty. Rows with one doc_id are rows of
+their own, and rows without a doc_id take part. Repeated rows get equal decisions until
+near_duplicates keeps one of them. Very long texts are processed whole. Extra columns stay up to the
+last stage, whatever their names. Empty tables pass through as empty ones.
 """
 
 from __future__ import annotations
@@ -22,7 +27,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the factorisation machine scores below one half go. It learns from labels outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     machine = fm_quality.fit(docs, labels, fold("doc_id", 3) != 1)
-    return fm_quality.with_score(docs, machine, "_score").filter("_score >= 0.5").select(*[F.col(c) for c in docs.columns])
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    return fm_quality.with_score(docs, machine, name).filter(F.col(name) >= 0.5).select(*[F.col(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
