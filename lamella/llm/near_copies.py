@@ -12,7 +12,8 @@ components are looked at again: their nodes are paired across components, once e
 sizes of the sets allow the similarity and at least ``AGREE`` of their ``BANDS * ROWS`` minima agree
 (seven bits of each; at similarity 0.8, 96 do, and fewer than that with a probability of 0.0001).
 A key with more than ``CROWD`` nodes is split by the keys that follow it before, and what stays
-crowded by bands of set size.
+crowded by bands of set size. Its nodes get a longer signature of ``WIDE`` minima, of which ``WIDE_AGREE`` have to agree
+(at similarity 0.8 fewer than that do with a probability of 0.000003): texts of one template that are no copies stay unpaired.
 
 Texts within three bits of SimHash are linked as well, as in operator 8.
 
@@ -42,9 +43,12 @@ NEXT = 4
 CROWD = 32
 #: Minima that have to agree before two sets are compared as a whole.
 AGREE = 80
+#: The same for the nodes of crowded keys.
+WIDE, WIDE_AGREE = 511, 368
 #: Minima in a number of the signature: a byte each, its top bit free.
 LANES = 7
 _PART = 2048
+_WIDE_FACTORS = np.random.default_rng(simhash.SEED + 1).integers(0, 1 << 63, (WIDE, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = np.random.default_rng(simhash.SEED).integers(0, 1 << 63, (BANDS * ROWS + ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -63,20 +67,30 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], simhash.SEED) for a, b in bounds), dtype="<u8"))
 
 
+def minima(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The least of all hashes times each factor."""
+    least = np.full((len(factors), 1), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), _PART):
+        least = np.minimum(least, (hashes[at:at + _PART] * factors).min(axis=1, keepdims=True))
+    return least
+
+
+def signature(least: np.ndarray) -> np.ndarray:
+    """Seven bits of each minimum, ``LANES`` to a number."""
+    short = np.zeros(-(-len(least) // LANES) * LANES, dtype=np.uint64)
+    short[:len(least)] = (least[:, 0] * _FACTORS[0, 0]) >> np.uint64(57)
+    return (short.reshape(-1, LANES) << (np.arange(LANES, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64)
+
+
 def node_and_keys(hashes: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """Hash of the set, its band keys and its signature: seven bits of each minimum, ``LANES`` to a number."""
     import xxhash
 
     if not len(hashes):
         return 0, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-    least = np.full((BANDS * ROWS, 1), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), _PART):
-        least = np.minimum(least, (hashes[at:at + _PART] * _FACTORS[:-ROWS]).min(axis=1, keepdims=True))
+    least = minima(hashes, _FACTORS[:-ROWS])
     bands = (least.reshape(BANDS, ROWS) * _FACTORS[-ROWS:].T).sum(axis=1, dtype=np.uint64)
-    short = np.zeros(-(-BANDS * ROWS // LANES) * LANES, dtype=np.uint64)
-    short[:BANDS * ROWS] = (least[:, 0] * _FACTORS[0, 0]) >> np.uint64(57)
-    signature = (short.reshape(-1, LANES) << (np.arange(LANES, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64)
-    return xxhash.xxh64_intdigest(hashes.tobytes()), (bands ^ (bands >> np.uint64(31))) * _FACTORS[:BANDS, 0] + np.arange(BANDS, dtype=np.uint64), signature
+    return xxhash.xxh64_intdigest(hashes.tobytes()), (bands ^ (bands >> np.uint64(31))) * _FACTORS[:BANDS, 0] + np.arange(BANDS, dtype=np.uint64), signature(least)
 
 
 def body_of(text: str) -> Column:
@@ -129,26 +143,37 @@ def may_be_similar(a: str, b: str) -> Column:
     return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
 
 
-def agreeing(a: str, b: str) -> Column:
+def agreeing(a: str, b: str, count: int = BANDS * ROWS) -> Column:
     """How many minima of two signatures agree: those whose bytes differ by nothing."""
     low, top = (sum(byte << 8 * i for i in range(LANES)) for byte in (0x7F, 0x80))
     # Adding 0x7F sets the top bit of each byte that is not zero. The bytes that fill up the last number are.
-    other = [F.bit_count((F.col(a)[i].bitwiseXOR(F.col(b)[i]) + F.lit(low)).bitwiseAND(F.lit(top))) for i in range(-(-BANDS * ROWS // LANES))]
-    return F.lit(BANDS * ROWS) - sum(other[1:], other[0])
+    other = [F.bit_count((F.col(a)[i].bitwiseXOR(F.col(b)[i]) + F.lit(low)).bitwiseAND(F.lit(top))) for i in range(-(-count // LANES))]
+    return F.lit(count) - sum(other[1:], other[0])
+
+
+def wide_marks(sets: DataFrame) -> DataFrame:
+    """node and wide (its longer signature)."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        marks = [signature(minima(np.frombuffer(x.as_buffer(), "<u8"), _WIDE_FACTORS)).view(np.int64) for x in batch.column(1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.list_(pa.int64()))], names=["node", "wide"])
+    return written(by_batches(sets.select("node", "held"), "node bigint, wide array<bigint>", run), "near-wide")
 
 
-def _across(parted: DataFrame, nodes: DataFrame, banded: bool = False) -> DataFrame:
+def _across(parted: DataFrame, nodes: DataFrame, wide: DataFrame | None = None, banded: bool = False) -> DataFrame:
     """Pairs of nodes in different components that share a key, each once, if they may be similar by size and signature."""
     own = parted.groupBy("node").agg(F.sort_array(F.collect_set("k")).alias("own"))  # at most BANDS * NEXT keys
     rows = parted.select("k", "node", "root").join(own, "node").join(nodes.select("node", "size", "mark"), "node")
+    rows = rows.join(wide, "node") if wide is not None else rows.withColumn("wide", F.lit(None).cast("array<bigint>"))
     left, on = rows, ["k"]
-    right = rows.select("k", F.col("node").alias("b"), F.col("root").alias("_r"), F.col("size").alias("_s"), F.col("own").alias("_own"), F.col("mark").alias("_mark"))
+    right = rows.select("k", *[F.col(c).alias(n) for c, n in (("node", "b"), ("root", "_r"), ("size", "_s"), ("own", "_own"), ("mark", "_mark"), ("wide", "_wide"))])
     if banded:
         # Sizes of similar sets lie in the same band or in neighbours.
         band = lambda size: F.floor(F.log(F.col(size)) / F.log(F.lit(SIMILAR[1] / SIMILAR[0]))).cast("int")
         left = left.withColumn("_band", F.explode(F.array(*[band("size") + step for step in (-1, 0, 1)])))
         right, on = right.withColumn("_band", band("_s")), ["k", "_band"]
     near = (F.col("root") != F.col("_r")) & (F.col("node") < F.col("b")) & may_be_similar("size", "_s") & (agreeing("mark", "_mark") >= AGREE)
+    if wide is not None:
+        near = near & (agreeing("wide", "_wide", WIDE) >= WIDE_AGREE)
     once = F.element_at(F.array_intersect("own", "_own"), 1) == F.col("k")
     return left.join(right, on).filter(near & once).select(F.col("node").alias("a"), "b")
 
@@ -196,7 +221,9 @@ def links(rows: DataFrame, docs: DataFrame, text: str = "text", doc_id: str = "d
         finer = F.array(*[F.xxhash64("k", F.element_at("keys", (at + (step - 1)) % BANDS + 1)) for step in range(1, NEXT + 1)])
         split = crowded.select("node", "k", "root").join(nodes.select("node", "keys"), "node").select("node", "root", F.explode(finer).alias("k"))
         again = _shared(split)
-        pairs = pairs.unionByName(_across(again.filter(F.col("n") <= CROWD), nodes)).unionByName(_across(again.filter(F.col("n") > CROWD), nodes, banded=True))
+        wide = wide_marks(sets.join(again.select("node").distinct(), "node", "left_semi"))
+        pairs = pairs.unionByName(_across(again.filter(F.col("n") <= CROWD), nodes, wide)).unionByName(
+            _across(again.filter(F.col("n") > CROWD), nodes, wide, banded=True))
     return found.unionByName(verified(pairs, sets))
 
 
