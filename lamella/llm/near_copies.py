@@ -11,9 +11,8 @@ component by that, whatever their number. Then only keys whose nodes lie in diff
 components are looked at again: their nodes are paired across components, once each, if the
 sizes of the sets allow the similarity and at least ``AGREE`` of their ``BANDS * ROWS`` minima agree
 (seven bits of each; at similarity 0.8, 96 do, and fewer than that with a probability of 0.0001).
-A key with more than ``CROWD`` nodes is split by the keys that follow it before, and what stays
-crowded by bands of set size. Its nodes get a longer signature of ``WIDE`` minima, of which ``WIDE_AGREE`` have to agree
-(at similarity 0.8 fewer than that do with a probability of 0.000003): texts of one template that are no copies stay unpaired.
+A key with more than ``CROWD`` nodes is split by the keys that follow it before. Its nodes get a longer signature of ``WIDE`` minima, of which ``WIDE_AGREE`` have to agree
+(at similarity 0.8 fewer than that do with a probability of 0.00005): texts of one template that are no copies stay unpaired.
 
 Texts within three bits of SimHash are linked as well, as in operator 8.
 
@@ -39,12 +38,12 @@ WORDS_PER_SHINGLE = 5
 SIMILAR = (4, 5)
 BANDS, ROWS = 24, 5
 #: A crowded key is split by so many of the keys that follow it.
-NEXT = 4
+NEXT = 3
 CROWD = 32
 #: Minima that have to agree before two sets are compared as a whole.
 AGREE = 80
 #: The same for the nodes of crowded keys.
-WIDE, WIDE_AGREE = 511, 368
+WIDE, WIDE_AGREE = 255, 179
 #: Minima in a number of the signature: a byte each, its top bit free.
 LANES = 7
 _PART = 2048
@@ -159,23 +158,19 @@ def wide_marks(sets: DataFrame) -> DataFrame:
     return written(by_batches(sets.select("node", "held"), "node bigint, wide array<bigint>", run), "near-wide")
 
 
-def _across(parted: DataFrame, nodes: DataFrame, wide: DataFrame | None = None, banded: bool = False) -> DataFrame:
+def _across(parted: DataFrame, nodes: DataFrame, wide: DataFrame | None = None) -> DataFrame:
     """Pairs of nodes in different components that share a key, each once, if they may be similar by size and signature."""
-    own = parted.groupBy("node").agg(F.sort_array(F.collect_set("k")).alias("own"))  # at most BANDS * NEXT keys
-    rows = parted.select("k", "node", "root").join(own, "node").join(nodes.select("node", "size", "mark"), "node")
-    rows = rows.join(wide, "node") if wide is not None else rows.withColumn("wide", F.lit(None).cast("array<bigint>"))
-    left, on = rows, ["k"]
-    right = rows.select("k", *[F.col(c).alias(n) for c, n in (("node", "b"), ("root", "_r"), ("size", "_s"), ("own", "_own"), ("mark", "_mark"), ("wide", "_wide"))])
-    if banded:
-        # Sizes of similar sets lie in the same band or in neighbours.
-        band = lambda size: F.floor(F.log(F.col(size)) / F.log(F.lit(SIMILAR[1] / SIMILAR[0]))).cast("int")
-        left = left.withColumn("_band", F.explode(F.array(*[band("size") + step for step in (-1, 0, 1)])))
-        right, on = right.withColumn("_band", band("_s")), ["k", "_band"]
-    near = (F.col("root") != F.col("_r")) & (F.col("node") < F.col("b")) & may_be_similar("size", "_s") & (agreeing("mark", "_mark") >= AGREE)
-    if wide is not None:
-        near = near & (agreeing("wide", "_wide", WIDE) >= WIDE_AGREE)
-    once = F.element_at(F.array_intersect("own", "_own"), 1) == F.col("k")
-    return left.join(right, on).filter(near & once).select(F.col("node").alias("a"), "b")
+    # At most BANDS * NEXT keys of a node, four bytes each.
+    own = parted.groupBy("node").agg(F.sort_array(F.collect_set(F.hash("k"))).alias("own"))
+    rows = parted.select("k", "node", "root").join(own, "node")
+    if wide is None:
+        rows, bits, least = rows.join(nodes.select("node", "size", F.col("mark").alias("bits")), "node"), BANDS * ROWS, AGREE
+    else:
+        rows, bits, least = rows.join(nodes.select("node", "size"), "node").join(wide.select("node", F.col("wide").alias("bits")), "node"), WIDE, WIDE_AGREE
+    right = rows.select("k", *[F.col(c).alias(n) for c, n in (("node", "b"), ("root", "_r"), ("size", "_s"), ("own", "_own"), ("bits", "_bits"))])
+    near = (F.col("root") != F.col("_r")) & (F.col("node") < F.col("b")) & may_be_similar("size", "_s") & (agreeing("bits", "_bits", bits) >= least)
+    once = F.element_at(F.array_intersect("own", "_own"), 1) == F.hash("k")
+    return rows.join(right, "k").filter(near & once).select(F.col("node").alias("a"), "b")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -222,8 +217,7 @@ def links(rows: DataFrame, docs: DataFrame, text: str = "text", doc_id: str = "d
         split = crowded.select("node", "k", "root").join(nodes.select("node", "keys"), "node").select("node", "root", F.explode(finer).alias("k"))
         again = _shared(split)
         wide = wide_marks(sets.join(again.select("node").distinct(), "node", "left_semi"))
-        pairs = pairs.unionByName(_across(again.filter(F.col("n") <= CROWD), nodes, wide)).unionByName(
-            _across(again.filter(F.col("n") > CROWD), nodes, wide, banded=True))
+        pairs = pairs.unionByName(_across(again, nodes, wide))
     return found.unionByName(verified(pairs, sets))
 
 
