@@ -89,15 +89,21 @@ def is_stale_batch(batch_id: Column, now: Column, limit_hours: float = 24) -> Co
 
 
 def elapsed_seconds(text: Column) -> Column:
-    """Seconds of ``[D-]HH:MM:SS``, ``MM:SS`` or ``SS``; NULL for other text."""
+    """Seconds of ``[D-]HH:MM:SS``, ``MM:SS`` or ``SS``; NULL for other text.
+
+    One pattern decides whether the text is valid; its parts are then found by their separators alone.
+    """
     clean = F.trim(text)
-    days = F.coalesce(F.regexp_extract(clean, r"^(\d+)-", 1).try_cast("bigint"), F.lit(0))
-    parts = F.reverse(F.split(F.regexp_replace(clean, r"^\d+-", ""), ":"))
+    dated = F.substring_index(F.concat(F.lit("0-"), clean), "-", -2)
+    clock = F.concat(F.lit("0:0:"), F.substring_index(clean, "-", -1))
+
+    def number(part: Column) -> Column:
+        return F.coalesce(part.try_cast("bigint"), F.lit(0))
 
-    def part(i: int) -> Column:
-        return F.coalesce(F.get(parts, F.lit(i)).try_cast("bigint"), F.lit(0))
+    def place(i: int) -> Column:
+        return number(F.substring_index(F.substring_index(clock, ":", -i), ":", 1))
 
-    total = days * 86400 + part(2) * 3600 + part(1) * 60 + part(0)
+    total = number(F.substring_index(dated, "-", 1)) * 86400 + place(3) * 3600 + place(2) * 60 + place(1)
     return F.when(clean.rlike(r"^(\d+-)?\d+(:\d+){0,2}$"), total)
 
 
@@ -122,7 +128,7 @@ def last_progress_block(text: Column) -> Column:
 
 
 def pretty_duration(seconds: Column) -> Column:
-    """``1d 2h 3m``, ``2h 3m`` or ``<1m``; NULL stays NULL."""
+    """``1d 2h 3m``, ``2h 3m`` or ``<1m``; NULL stays NULL. ``seconds`` is used several times: give a column, not a long expression."""
     s = F.floor(seconds).cast("bigint")
     minutes, hours, days = F.floor(s / 60) % 60, F.floor(s / 3600) % 24, F.floor(s / 86400)
     return (F.when(s < 60, F.lit("<1m"))

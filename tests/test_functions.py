@@ -192,3 +192,20 @@ def test_cast_to_mixed_targets(spark):
                                "i int, f array<float>, t string").coalesce(1)
     got = {r.i: r.f for r in df.select("i", precision.cast_to(F.col("f"), F.col("t")).alias("f")).collect()}
     assert got == {0: [x, 0.0], 1: [1.0, 1.0], 2: [x, 2.0], 3: [x, 3.0], 4: [x, 4.0], 9: None}
+
+
+def test_elapsed_text_is_parsed_once(spark, tmp_path):
+    """The pattern of a duration stands once in the plan of the query, however often the seconds are used."""
+    from lamella.plans import QUERIES
+
+    spark.range(3).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "id * 900 AS l_partkey", "id AS l_suppkey", "12.0D AS l_quantity",
+                              "timestamp '2024-01-01' AS l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    df = QUERIES["elapsed_text"](spark, str(tmp_path))
+    assert [(r.seconds, r.pretty) for r in df.orderBy("l_orderkey").collect()] == [(0, "<1m"), (108000, "1d 6h 0m"), (216000, "2d 12h 0m")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1 and plan.lower().count("split(") == 0 and "regexp_" not in plan
+
+
+@pytest.mark.parametrize("s,want", [("2-7", 172807), ("1-02:03", 86523), (" 0:01:00 ", 60), ("1:2:3:4", None), ("1-", None), ("-5", None), ("1-2-3", None), ("5:", None), ("99999999999999999999", 0)])
+def test_elapsed_edges(spark, s, want):
+    assert value(spark, text.elapsed_seconds(F.col("s")), s=s) == want
