@@ -70,12 +70,16 @@ def grid_class(geometry: DataFrame, mask: DataFrame) -> DataFrame:
             .select("slide_id", (F.col("i") * F.col("step")).alias("x"), (F.col("j") * F.col("step")).alias("y"), "side", "class"))
 
 
-def grid_shares(geometry: DataFrame, mask: DataFrame) -> DataFrame:
-    """slide_id, x, y, side and ``shares`` (class, share) of the grid's tiles that a mask class covers.
+#: So many rectangles of a block are measured by plain arithmetic; the rest of a longer list by a fold.
+PLAIN = 3
 
-    Rectangles are gathered per block of ``GRID_BLOCK`` by ``GRID_BLOCK`` tiles, with all that reach into one of its
-    tiles; disjoint rectangles are bounded by the area of a block. The tiles come after that, and each finds its shares in its
-    block's list, so none is shuffled.
+
+def grid_cover(geometry: DataFrame, mask: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """slide_id, x, y, side, the columns ``by`` and ``covered``, the pixels of a tile under rectangles, for the grid's tiles that have some.
+
+    Rectangles are gathered per block of ``GRID_BLOCK`` by ``GRID_BLOCK`` tiles (and value of ``by``), with all that reach into one
+    of its tiles; disjoint rectangles are bounded by the area of a block. The tiles come after that, and each is measured against
+    its block's list, so none is shuffled or kept.
     """
     def block(place: Column) -> Column:
         return F.floor(place / GRID_BLOCK).cast("bigint")
@@ -87,42 +91,41 @@ def grid_shares(geometry: DataFrame, mask: DataFrame) -> DataFrame:
 
     solid = mask.where((F.col("x0") < F.col("x1")) & (F.col("y0") < F.col("y1"))).join(geometry, "slide_id")
     blocks = (solid.withColumn("bi", reach("x0", "x1", "nx")).withColumn("bj", reach("y0", "y1", "ny"))
-              .groupBy("slide_id", "bi", "bj", "side", "step", "nx", "ny")
-              .agg(F.collect_list(F.struct("x0", "x1", "y0", "y1", "class")).alias("rects")))
+              .groupBy("slide_id", "bi", "bj", "side", "step", "nx", "ny", *by)
+              .agg(F.collect_list(F.struct("x0", "x1", "y0", "y1")).alias("rects")))
 
     def inside(number: str, count: str) -> Column:
         start = F.col(number) * GRID_BLOCK
         return _span(start, F.least(start + GRID_BLOCK, F.col(count)) - 1)
 
-    tiles = blocks.withColumn("i", inside("bi", "nx")).withColumn("j", inside("bj", "ny")).withColumns(
-        {"x": F.col("i") * F.col("step"), "y": F.col("j") * F.col("step")})
+    x, y = F.col("i") * F.col("step"), F.col("j") * F.col("step")
 
     def overlap(rect: Column) -> Column:
-        wide = F.least(F.col("x") + F.col("side"), rect["x1"]) - F.greatest(F.col("x"), rect["x0"])
-        high = F.least(F.col("y") + F.col("side"), rect["y1"]) - F.greatest(F.col("y"), rect["y0"])
+        wide = F.least(x + F.col("side"), rect["x1"]) - F.greatest(x, rect["x0"])
+        high = F.least(y + F.col("side"), rect["y1"]) - F.greatest(y, rect["y0"])
         return F.when((wide > 0) & (high > 0), wide * high).otherwise(F.lit(0)).cast("bigint")
 
-    met = F.filter("rects", lambda r: overlap(r) > 0)
+    none = F.lit(0).cast("bigint")
+    plain = [F.when(F.size("rects") > k, overlap(F.get("rects", F.lit(k)))).otherwise(none) for k in range(PLAIN)]
+    rest = F.aggregate(F.slice("rects", PLAIN + 1, F.size("rects")), none, lambda total, r: total + overlap(r))
+    covered = sum(plain[1:], plain[0]) + F.when(F.size("rects") > PLAIN, rest).otherwise(none)
+    return (blocks.withColumn("i", inside("bi", "nx")).withColumn("j", inside("bj", "ny"))
+            .select("slide_id", x.alias("x"), y.alias("y"), "side", *by, covered.alias("covered")).where(F.col("covered") > 0))
 
-    def share(c: Column) -> Column:
-        covered = F.aggregate("met", F.lit(0).cast("bigint"), lambda total, r: total + F.when(r["class"].eqNullSafe(c), overlap(r)).otherwise(F.lit(0)))
-        return F.struct(c.alias("class"), (covered / (F.col("side") * F.col("side"))).alias("share"))
 
-    own = F.array_distinct(F.transform("met", lambda r: r["class"]))
-    return (tiles.withColumn("met", met).where(F.size("met") > 0).withColumn("shares", F.transform(own, share))
-            .select("slide_id", "x", "y", "side", "shares"))
+def _share() -> Column:
+    return F.col("covered") / (F.col("side") * F.col("side"))
 
 
 def grid_class_shares(geometry: DataFrame, mask: DataFrame) -> DataFrame:
     """``class_shares`` of all tiles of the grid."""
-    return grid_shares(geometry, mask).select("slide_id", "x", "y", "side", F.inline("shares"))
+    return grid_cover(geometry, mask, ["class"]).select("slide_id", "x", "y", "side", "class", _share().alias("share"))
 
 
 def grid_min_tissue(geometry: DataFrame, mask: DataFrame, tissue_classes: Sequence[int], minimum: float) -> DataFrame:
     """``min_tissue`` of all tiles of the grid."""
-    tissue = F.aggregate(F.filter("shares", lambda s: s["class"].isin(*tissue_classes)), F.lit(0.0), lambda total, s: total + s["share"])
-    some = F.exists("shares", lambda s: s["class"].isin(*tissue_classes))
-    return (grid_shares(geometry, mask).where(some).select("slide_id", "x", "y", "side", tissue.alias("tissue_share"))
+    tissue = mask.where(F.col("class").isin(*tissue_classes))
+    return (grid_cover(geometry, tissue).select("slide_id", "x", "y", "side", _share().alias("tissue_share"))
             .where(F.col("tissue_share") >= minimum))
 
 

@@ -76,6 +76,15 @@ def test_grid_forms_equal_tile_forms_and_shuffle_no_tile(spark, monkeypatch, sce
         assert any("Generate explode(CASE WHEN" in line or "Generate explode(sequence" in line for line in plan.splitlines()[:last])
 
 
+def test_grid_cover_keeps_no_shares_in_lists(spark, scene):
+    """Tiles are measured by arithmetic: no list of shares or classes is built per tile, and only long lists of rectangles are folded."""
+    _, m, _, _ = scene
+    geometry = tiles.grid_geometry(spark.createDataFrame([("big", 1000, 930, 0.5)], "slide_id string, width int, height int, native_mpp double"), 32, 0.5, 0)
+    for frame in (tiles.grid_class_shares(geometry, m), tiles.grid_min_tissue(geometry, m, [1], 0.1)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(word in plan for word in ("transform(", "filter(", "exists(", "array_distinct("))
+
+
 def test_artifact_fallback(spark):
     data = [("lost", i, 4 if i < 19 else 1) for i in range(20)] + [("fine", i, 4 if i < 17 else 1) for i in range(20)] + [("edge", i, 4 if i < 18 else 1) for i in range(20)]
     df = spark.createDataFrame(data, "slide_id string, tile_idx int, class int")
