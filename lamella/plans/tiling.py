@@ -91,8 +91,8 @@ def tile_min_tissue(t: Tables) -> DataFrame:
 WITH {_MASK_SQL}, kept AS (SELECT slide_id, avg(CASE WHEN class IN (4, 7) THEN 0.0 ELSE 1.0 END) AS k FROM classed GROUP BY 1)
 SELECT c.slide_id, x, y, class FROM classed c JOIN kept USING (slide_id) WHERE class NOT IN (4, 7) OR k < 0.1""")
 def artifact_fallback(t: Tables) -> DataFrame:
-    classed = tiles.grid_class(_geometry(t), _mask(t))
-    return tiles.remove_artifacts(classed, rules.artifact_classes(None, False, True)).select("slide_id", "x", "y", "class")
+    kept = tiles.grid_without_artifacts(_geometry(t), _mask(t), rules.artifact_classes(None, False, True))
+    return kept.select("slide_id", "x", "y", "class")
 
 
 @query(f"""

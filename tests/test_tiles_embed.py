@@ -93,6 +93,18 @@ def test_artifact_fallback(spark):
     assert tiles.remove_artifacts(df, []).count() == 60
 
 
+@pytest.mark.parametrize("excluded,max_loss", [([4, 7], 0.9), ([0, 1, 2, 3], 0.3), ([1, 2], 0.1), ([], 0.9)])
+def test_grid_without_artifacts_makes_tiles_last(spark, scene, excluded, max_loss):
+    _, m, _, _ = scene
+    m = m.unionByName(spark.createDataFrame([("small", 0, 400, 0, 90, None)], m.schema))
+    geometry = tiles.grid_geometry(spark.createDataFrame([("big", 1000, 930, 0.5), ("small", 700, 1000, 0.3), ("none", 90, 90, 0.5)],
+                                                         "slide_id string, width int, height int, native_mpp double"), 32, 0.5, 8)
+    frame = tiles.grid_without_artifacts(geometry, m, excluded, max_loss)
+    assert rows(frame) == rows(tiles.remove_artifacts(tiles.grid_class(geometry, m), excluded, max_loss))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert max(i for i, line in enumerate(plan) if "Generate explode" in line) < min(i for i, line in enumerate(plan) if "Join" in line)
+
+
 def test_annotation_mapping(spark):
     df = spark.createDataFrame([(0,), (1,), (4,), (9,)], "class int")
     assert rows(tiles.annotate(df, {0: 5, 1: 1, 4: 0}), "class", "annotation") == [(1, 1), (4, 0)]
