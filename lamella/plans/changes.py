@@ -9,7 +9,7 @@ from lamella.functions.numeric import portable_hash
 from lamella.operators import merge
 from lamella.plans.catalog import Tables, hash_sql, query, text
 from lamella.session import scratch_dir
-from lamella.sinks.buckets import BUCKETS, BucketTable
+from lamella.sinks.buckets import BUCKETS, BucketTable, buckets_for
 from lamella.streaming import jobs
 
 
@@ -49,16 +49,15 @@ def stream_state_tables(t: Tables) -> DataFrame:
     base = scratch_dir(t.spark, "cycle")
     orders = t.orders.select("o_orderkey", "o_custkey", text("o_orderstatus").alias("kind"), (F.col("o_orderpriority") == "1-URGENT").alias("lost"),
                              (F.col("o_orderkey") % 3).alias("part"))
-    for part in range(3):
-        orders.where(F.col("part") == part).coalesce(1).write.parquet(f"{base}/in/n={part}")
+    buckets = buckets_for(orders.count())
     path = F.concat(F.lit("p"), F.col("o_orderkey").cast("string"))
-    state = jobs.StateTable(t.spark, f"{base}/state")
+    state = jobs.StateTable(t.spark, f"{base}/state", buckets=buckets)
     state.create(orders.where("kind <> 'P'").select(
         path.alias("slide_path"), F.col("o_orderkey").cast("string").alias("slide_id"),
         F.when(F.col("kind") == "F", "FAILED").otherwise("SUCCEEDED").alias("status"), F.lit("b").alias("batch_id"),
         (F.col("o_orderkey") % 5).cast("int").alias("fail_count"), *[F.lit(None).cast("timestamp").alias(c) for c in ("dispatched_at", "first_seen_at")],
         F.lit("e").alias("error_msg"), F.lit("").alias("oncotree_code"), F.lit(False).alias("needs_download")))
-    export = jobs.StateTable(t.spark, f"{base}/export")
+    export = jobs.StateTable(t.spark, f"{base}/export", buckets=buckets)
     export.create(t.spark.createDataFrame([], "custkey string, at bigint, last string, part bigint"))
     keyed = lambda b: b.select(path.alias("slide_path"), F.col("o_orderkey").cast("string").alias("slide_id"), "kind", "lost")
     arrive, lost = jobs.intake_to_state(state, F.current_timestamp()), jobs.requeue_lost(state)
@@ -71,8 +70,12 @@ def stream_state_tables(t: Tables) -> DataFrame:
     hooks.add("lost", lambda batch, batch_id, limit: lost(keyed(batch).where("lost AND kind = 'O'"), batch_id))
     hooks.add("retry", lambda batch, batch_id, limit: jobs.retry_sweep(state, limit)(batch, batch_id))
     hooks.add("intake", lambda batch, batch_id, limit: arrive(keyed(batch).where("kind = 'P'").select("slide_path", "slide_id"), batch_id))
-    stream = t.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
-    (stream.writeStream.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True)
-     .foreachBatch(jobs.in_order(hooks.steps(limit=3), f"{base}/done")).start().awaitTermination())
+    steps = jobs.in_order(hooks.steps(limit=3), f"{base}/done")
+    for part in range(3):
+        # What arrives between two runs is one micro-batch, of as many files as tasks wrote.
+        orders.where(F.col("part") == part).write.parquet(f"{base}/in/n={part}")
+        stream = t.spark.readStream.schema(orders.schema).parquet(f"{base}/in/*")
+        (stream.writeStream.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True)
+         .foreachBatch(steps).start().awaitTermination())
     now = state.read().select(F.lit("state").alias("kind"), F.col("slide_path").alias("key"), F.col("status").alias("value"), F.col("fail_count").cast("bigint").alias("n"))
     return now.unionByName(export.read().select(F.lit("export").alias("kind"), F.col("custkey").alias("key"), F.col("last").alias("value"), F.col("part").alias("n")))

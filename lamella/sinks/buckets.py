@@ -20,10 +20,17 @@ from lamella.functions.numeric import portable_hash
 from lamella.sources.files import path_exists
 
 BUCKETS = 16
+#: A bucket is rewritten by one task, so a large table gets more buckets.
+ROWS_PER_BUCKET = 500_000
 _LIVE, _BUCKET, _VERSION = "__live", "__bucket", "__version"
 Change = Callable[[DataFrame], DataFrame]
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of a table that will hold about so many rows."""
+    return max(BUCKETS, -(-rows // ROWS_PER_BUCKET))
+
+
 def _children(spark: SparkSession, path: str) -> list[str]:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -41,7 +48,7 @@ class BucketTable:
     """A table with bucketed versions. ``key`` names the column that decides the bucket (the first one if not given).
 
     The number of buckets is fixed by the first version; a task rewrites one
-    bucket, so it should follow from the size of the table.
+    bucket, so it should follow from the size of the table (``buckets_for``).
     """
 
     def __init__(self, spark: SparkSession, folder: str, key: str | None = None, buckets: int = BUCKETS) -> None:
@@ -134,7 +141,8 @@ class BucketTable:
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields], F.lit(False).alias(_LIVE), _BUCKET)
         if len(changed) < count:
             numbered = numbered.where(F.col(_BUCKET).isin(changed))
-        (numbered.unionByName(marks).repartition(max(len(changed), 1), _BUCKET)
+        # By the number itself: a hash of it would put several buckets into one task.
+        (numbered.unionByName(marks).repartitionById(count, F.col(_BUCKET))
          .write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(version)))
 
     def expire(self, keep: int = 2) -> int:

@@ -274,3 +274,21 @@ def test_completed_samples_are_forgotten(spark, tmp_path):
     assert rows(got) == [("P", 2)]
     left = spark.read.format("statestore").option("stateVarName", "count").load(str(tmp_path / "out" / "progress"))
     assert {r.key.sample_id for r in left.collect()} <= {"R", "S", "X"}
+
+
+def test_each_bucket_is_written_by_its_own_task(spark, tmp_path):
+    """Sixteen buckets of a first version, and the changed ones of a later version, are sixteen tasks' files, not several in one task."""
+    table = BucketTable(spark, str(tmp_path / "t"), "id")
+    table.create(spark.range(2000).select("id", F.lit(0).alias("v")))
+    keys = spark.range(100, 104)
+    changed = table.advance(1, lambda rows: rows.withColumn("v", F.lit(1)), lambda _: keys)
+    for version, wanted in ((0, 16), (1, len(changed))):
+        files = list((tmp_path / "t" / f"__version={version:012d}").glob("__bucket=*/part-*.parquet"))
+        assert len(files) == len({f.name.split("-")[1] for f in files}) == wanted
+    assert table.read().count() == 2000
+
+
+def test_buckets_follow_the_rows():
+    from lamella.sinks.buckets import buckets_for
+
+    assert [buckets_for(n) for n in (0, 8_000_000, 8_000_001, 54_000_000)] == [16, 16, 17, 108]
