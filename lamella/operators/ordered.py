@@ -25,13 +25,19 @@ def _named(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def chunked(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+#: About so many rows of a chunk that a Python task holds at once.
+CHUNK_ROWS = 100_000
+
+
+def chunked(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], rows: int | None = None) -> DataFrame:
     """``df`` cut into ordered chunks: adds the group as one non-null struct and the chunk number.
 
     Chunk numbers are partition numbers of a sampled range partitioning, so the
-    rows are written once: every later job has to see the same cut.
+    rows are written once: every later job has to see the same cut. With ``rows``
+    there are as many chunks as hold about that many rows each (one more count).
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in by], *_named(order))
+    count = -(-df.count() // rows) if rows else 0
+    ranged = df.repartitionByRange(*([count] if count > 1 else []), *[F.col(c) for c in by], *_named(order))
     group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
     return stable(ranged.withColumn(_CHUNK, F.spark_partition_id()).withColumn(_GROUP, group))
 
@@ -178,12 +184,12 @@ def greedy_segments(df: DataFrame, by: Sequence[str], order: Sequence[str], weig
     open segment is, and that decides just where the chunk's first break falls.
     So every chunk is reduced to its breakpoints (``_Passage``). These are put together
     ``FAN`` at a time up a tree, and the state in front of each goes back down it, so that
-    no task holds more than one chunk or the breakpoints of ``FAN`` nodes. The chunks then number
+    no task holds more than one chunk (of about ``CHUNK_ROWS`` rows) or the breakpoints of ``FAN`` nodes. The chunks then number
     their rows independently. Sums of weights have to be exact doubles, as those of whole numbers are.
     """
     parts = chunked(
         df.withColumn("_w", F.col(weight).cast("double"))
-          .withColumn("_p", F.col(position).cast("double") if position else F.lit(0.0)), by, order)
+          .withColumn("_p", F.col(position).cast("double") if position else F.lit(0.0)), by, order, CHUNK_ROWS)
     ordered = list(order)
 
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:

@@ -159,3 +159,19 @@ def test_a_chunk_is_reduced_to_its_breakpoints():
     long = ordered._Passage(float(upto[-1]), 0.0, False, upto[:60], np.zeros(60), np.full(60, 16), np.full(60, 3.0), np.zeros(60))
     assert len(long.reduced().count) == 1
     assert long.reduced().leave(60, np.inf, 4, 10.0, 0.0, False) == long.leave(60, np.inf, 4, 10.0, 0.0, False) == (20, 3.0, 0.0, False)
+
+
+def test_chunks_of_segments_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 60)
+    cuts, whole = [], ordered.chunked
+
+    def cut(*args):
+        cuts.append(whole(*args))
+        return cuts[-1]
+
+    monkeypatch.setattr(ordered, "chunked", cut)
+    df = spark.range(1200).select("id", F.lit(1).alias("size"))
+    got = {r.id: r.segment for r in ordered.greedy_segments(df, [], ["id"], "size", 7).collect()}
+    assert got == {i: i // 7 for i in range(1200)}
+    sizes = [r["count"] for r in cuts[0].groupBy("__chunk").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 120
