@@ -8,8 +8,13 @@ split over ``queues`` by hash.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -99,6 +104,24 @@ def fires(n: int, waited_s: float, size: int, max_wait_s: float, min_size: int)
     return n > 0 and n >= min_size and (n >= size or waited_s >= max_wait_s)
 
 
+#: So many rows are Python objects at a time.
+WALK_ROWS = 50_000
+
+
+def _in_order(rows: Iterator[pd.DataFrame]) -> Iterator[tuple[float, str]]:
+    """(seconds, slide_id) by arrival. All rows of a key are held as plain columns; only ``WALK_ROWS`` at a time become objects."""
+    times, slides = [], []
+    for part in rows:
+        times.append(_seconds(part["arrived_at"]).to_numpy())
+        slides.append(pa.array(part["slide_id"], pa.large_string(), from_pandas=True))
+    at, slide = np.concatenate(times), pa.concat_arrays(slides)
+    del times, slides
+    order = pc.sort_indices(pa.table({"at": at, "slide": slide}), sort_keys=[("at", "ascending"), ("slide", "ascending")])
+    for start in range(0, len(order), WALK_ROWS):
+        here = order.slice(start, WALK_ROWS)
+        yield from zip(at[here.to_numpy()].tolist(), slide.take(here).to_pylist())
+
+
 class BatchTrigger(StatefulProcessor):
     """Cuts a queue into batches by size or waiting time, with rotating sizes.
 
@@ -116,23 +139,18 @@ class BatchTrigger(StatefulProcessor):
         self.head = handle.getValueState("head", "batch_no long, first_at double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows)).sort_values(["arrived_at", "slide_id"], kind="stable")
-        times = _seconds(arrived["arrived_at"]).to_list()
-        slides = arrived["slide_id"].to_list()
         pending = [tuple(r) for r in self.queue.get()] if self.queue.exists() else []
         batch_no, first_at = self._head()
         out: list = []
-        start = 0
-        while start < len(times):
-            at, stop = times[start], start
-            while stop < len(times) and times[stop] == at:
-                stop += 1
+        for at, same in groupby(_in_order(rows), itemgetter(0)):
             batch_no, first_at = self._drain(key, pending, batch_no, first_at, at, out, by_time=True)
             if not pending:
                 first_at = at
-            pending += [(s, at) for s in slides[start:stop]]
+            pending += [(s, at) for _, s in same]
             batch_no, first_at = self._drain(key, pending, batch_no, first_at, at, out, by_time=False)
-            start = stop
+            if len(out) >= WALK_ROWS:
+                yield pd.DataFrame(out, columns=["queue", "batch_no", "slide_id"])
+                out = []
         self._keep(pending, batch_no, first_at, timerValues)
         if out:
             yield pd.DataFrame(out, columns=["queue", "batch_no", "slide_id"])
@@ -244,11 +262,16 @@ def stuck_batches(heartbeats: DataFrame, limit_s: float, late: str) -> DataFrame
 
 # Group completion -----------------------------------------------------------
 
+#: New ids of a sample that a task holds before they go into the state.
+FRESH = 10_000
+
+
 class GroupCompletion(StatefulProcessor):
     """Emits a sample as soon as its expected number of slides has arrived.
 
     The state is a set of ids that grows entry by entry and a count; nothing is
-    rewritten per micro-batch, and the ids go when the sample is complete. With ``keep_s`` all of a sample's
+    rewritten per micro-batch, and the ids go when the sample is complete. Ids of a micro-batch that completes
+    its sample are not written at all, up to ``FRESH`` of them. With ``keep_s`` all of a sample's
     state goes when its last row lies so long before the watermark, complete or not.
     """
 
@@ -266,8 +289,16 @@ class GroupCompletion(StatefulProcessor):
         self.count = handle.getValueState("count", "n int, emitted boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, emitted = self.count.get() if self.count.exists() else (0, False)
+        stored = self.count.exists()
+        n, emitted = self.count.get() if stored else (0, False)
         expected, newest = 0, 0.0
+        fresh: set[str] = set()
+
+        def store() -> None:
+            for slide in fresh:
+                self.seen.updateValue((slide,), (True,))
+            fresh.clear()
+
         for part in rows:
             if self.keep_s is not None:
                 newest = max(newest, float(_seconds(part["at"]).max()))
@@ -275,16 +306,22 @@ class GroupCompletion(StatefulProcessor):
                 continue
             expected = max(expected, int(part["n_slides"].max()))
             for slide in part["slide_id"].astype(str).unique():
-                if not self.seen.containsKey((slide,)):
-                    self.seen.updateValue((slide,), (True,))
+                if slide not in fresh and not (stored and self.seen.containsKey((slide,))):
+                    fresh.add(slide)
                     n += 1
+                    if len(fresh) >= FRESH:
+                        store()
+                        stored = True
         _expire_after(self.handle, self.keep_s, newest)
         if emitted:
             return
         complete = n >= expected
         self.count.update((n, complete))
-        if complete:
+        if not complete:
+            store()
+        elif stored:
             self.seen.clear()
+        if complete:
             yield pd.DataFrame({"sample_id": [str(key[0])], "n_slides": [n]})
 
     def close(self) -> None:

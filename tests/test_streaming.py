@@ -292,3 +292,65 @@ def test_buckets_follow_the_rows():
     from lamella.sinks.buckets import buckets_for
 
     assert [buckets_for(n) for n in (0, 8_000_000, 8_000_001, 54_000_000)] == [16, 16, 17, 108]
+
+
+class Cell:
+    """Stands for a value, list or map state, and counts the writes to a map."""
+
+    def __init__(self):
+        self.value, self.map, self.writes = None, {}, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    put = update
+
+    def clear(self):
+        self.value, self.map = None, {}
+
+    def containsKey(self, key):
+        return key in self.map
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+        self.writes += 1
+
+
+def test_batches_of_one_key_are_walked_in_pieces(monkeypatch):
+    """All arrivals of one key in one micro-batch: never more output at once than a piece, and the batches of a plain loop."""
+    import pandas as pd
+
+    monkeypatch.setattr(processors, "WALK_ROWS", 40)
+    seen = [(i * 7919 % 1000, f"{i:04d}") for i in range(1000)]
+    frame = pd.DataFrame({"slide_id": [s for _, s in seen], "arrived_at": pd.to_datetime([t // 3 for t, _ in seen], unit="s")})
+    trigger = processors.BatchTrigger([6], 40)
+    trigger.queue, trigger.head = Cell(), Cell()
+    parts = list(trigger.handleInputRows(("q",), iter([frame[i:i + 90] for i in range(0, 1000, 90)]), None))
+    assert len(parts) > 10 and max(len(p) for p in parts) < 40 + 6
+    got = [s for p in parts for s in p["slide_id"]] + [s for s, _ in trigger.queue.value or []]
+    assert got == [s for _, s in sorted((t // 3, s) for t, s in seen)]
+    assert [n for p in parts for n in p["batch_no"]] == [i // 6 for i in range(996)]
+
+
+@pytest.mark.parametrize("fresh,writes", [(100, 0), (4, 8)])
+def test_a_sample_complete_at_once_writes_no_ids(monkeypatch, fresh, writes):
+    import pandas as pd
+
+    monkeypatch.setattr(processors, "FRESH", fresh)
+    ids = [0, 1, 2, 2, 3, 4, 5, 5, 6, 7, 8, 9, 0]
+    done = processors.GroupCompletion()
+    done.handle, done.seen, done.count = None, Cell(), Cell()
+    part = lambda x, n: iter([pd.DataFrame({"slide_id": [str(i) for i in y], "n_slides": n}) for y in (x[:5], x[5:]) if y])
+    assert [tuple(r) for p in done.handleInputRows(("s",), part(ids, 10), None) for r in p.itertuples(index=False)] == [("s", 10)]
+    assert done.seen.writes == writes and not done.seen.map and done.count.value == (10, True)
+    open_ = processors.GroupCompletion()
+    open_.handle, open_.seen, open_.count = None, Cell(), Cell()
+    assert not list(open_.handleInputRows(("s",), part([1, 2, 2], 4), None)) and len(open_.seen.map) == 2
+    assert [tuple(r) for p in open_.handleInputRows(("s",), part([2, 3, 4], 4), None) for r in p.itertuples(index=False)] == [("s", 4)]
+    assert not open_.seen.map
